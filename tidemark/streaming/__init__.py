@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The pipeline this library re-expresses is a nightly full-refresh batch job:
+raw loads replace their tables, marts rebuild, and "late data" means an
+invoice dated before the customer's first dimension version, which the batch
+quarantine (`fact_invoice_rejected`) classifies. There is no watermark,
+trigger, state or incremental model to carry over, so no Structured Streaming
+operator is provided.
+"""
