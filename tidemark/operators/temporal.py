@@ -4,9 +4,11 @@
 closed range [valid_from, valid_to], open end NULL -- and adds a coarse equi
 key so the join never pairs a fact with every version of its key:
 
-* every version is listed once per calendar month it overlaps (open versions
-  up to the month of the latest fact date, one scalar subquery);
-* a fact carries its own month;
+* every version is listed once per calendar month it overlaps; H is the
+  latest `valid_from` of the dimension (a scalar subquery over the small
+  side, never a pass over the facts), and an open version runs to H's month;
+* a fact carries its own month, clamped to H's month: a fact after H can
+  only fall in an open version, and every open version covers H's month;
 * the join is an equi join on (key, month) plus the range residual.
 
 A fact meets at most the versions overlapping its month (with daily snapshots,
@@ -51,12 +53,13 @@ def temporal_join(facts: DataFrame, dim: DataFrame, key: str, fact_date: str,
         cond = (F.col(key) == F.col(_K)) & in_range
         return facts.join(d, cond, how).drop(_K, _VF, _VT)
 
-    last_fact = facts.select(F.max(F.col(fact_date))).scalar()
+    horizon = _month(dim.select(F.max(F.col(valid_from))).scalar())
     first_month = _month(F.col(_VF))
-    last_month = F.greatest(first_month, _month(F.coalesce(F.col(_VT), last_fact)))
+    last_month = F.greatest(first_month,
+                            F.coalesce(_month(F.col(_VT)), horizon))
     d = d.select("*", F.explode(F.sequence(first_month, last_month,
                                            F.expr("interval 1 month"))).alias(_B))
-    f = facts.withColumn(_FB, _month(F.col(fact_date)))
+    f = facts.withColumn(_FB, F.least(_month(F.col(fact_date)), horizon))
     cond = (F.col(key) == F.col(_K)) & (F.col(_FB) == F.col(_B)) & in_range
     joined = f.join(d, cond, how)
     return joined.select(*[F.col(c) for c in facts.columns], *[F.col(c) for c in dim_cols])
