@@ -90,7 +90,23 @@ def test_untracked_change_splits_rows_with_same_key(spark):
 
 
 def test_one_exchange_serves_the_whole_window_chain(spark):
+    from tidemark.operators.scd import close_ranges, snapshot_versions
     rows = [("C1", "2026-08-01", "A", "EU", "SMB"), ("C1", "2026-08-02", "B", "EU", "SMB")]
-    df = marts.int_customer_scd(marts.int_customer_history(snapshots(spark, rows)))
-    plan = plan_text(df)
+    snaps = snapshots(spark, rows)
+    plain = close_ranges(snapshot_versions(snaps, "customer_id", ["plan_id", "region", "segment"],
+                                           ["name"], collapse_copies=False), "customer_id")
+    plan = plan_text(plain)
     assert plan.count("Exchange hashpartitioning") == 1, plan
+    # with copies collapsed: one more exchange, after a map-side partial distinct
+    plan = plan_text(marts.int_customer_scd(marts.int_customer_history(snaps)))
+    assert plan.count("Exchange hashpartitioning") == 2, plan
+    assert "partial_" in plan or "HashAggregate" in plan
+
+
+def test_copies_do_not_change_versions(spark):
+    rows = [("C1", "2026-08-01", "A", "EU", "SMB"), ("C1", "2026-08-02", "B", "EU", "SMB"),
+            ("C1", "2026-08-03", "B", "EU", "SMB"), ("C2", "2026-08-01", "A", "EU", "SMB")]
+    once = scd(spark, rows)
+    many = scd(spark, rows * 50)
+    assert [tuple(r) for r in once] == [tuple(r) for r in many]
+    assert len(once) == 3

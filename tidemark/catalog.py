@@ -223,7 +223,9 @@ def scd_from_orders(spark, sf_dir):
         F.col("o_orderdate").cast("date").alias("order_day"))
     daily = dedup_first(orders, ["o_custkey", "order_day"],
                         [F.col("o_orderkey").desc_nulls_last()])
-    history = snapshot_versions(daily, "o_custkey", ["o_orderpriority"], [], "order_day")
+    # one row per (customer, day) already: no copies to collapse
+    history = snapshot_versions(daily, "o_custkey", ["o_orderpriority"], [], "order_day",
+                                collapse_copies=False)
     return close_ranges(history, "o_custkey", key_name="version_key")
 
 

@@ -1,11 +1,15 @@
 """Daily snapshots -> Type 2 slowly changing dimension (gaps and islands).
 
-Plan shape: the snapshots are shuffled once, by key. The three `lag`s, the
-running sum, the island `groupBy` and the `lead` that closes ranges all need
-clustering by key only, so Catalyst reuses that one exchange through the whole
-chain (two sorts: by day, then by version). The rows of one key are the
-key's snapshot days, bounded by the length of the snapshot calendar rather
-than by data volume; the window buffers spill to disk beyond
+Plan shape: exact copies of a snapshot row are collapsed first (a `distinct`,
+aggregated map-side before its shuffle), so a key whose rows were delivered
+many times -- or a placeholder key shared by a third of the extract -- reaches
+the window stage as one row per distinct (day, attributes). Then the rows are
+shuffled once, by key: the three `lag`s, the running sum, the island
+`groupBy` and the `lead` that closes ranges all need clustering by key only,
+so Catalyst reuses that exchange through the whole chain (two sorts: by day,
+then by version). After the collapse a key holds at most its snapshot days
+(times its distinct tuples per day), bounded by the snapshot calendar rather
+than by data volume; window buffers spill beyond
 `spark.sql.windowExec.buffer.spill.threshold`.
 """
 
@@ -19,7 +23,7 @@ from tidemark.functions.columns import any_of, surrogate_key
 
 def snapshot_versions(snapshots: DataFrame, key: str, tracked: list[str],
                       carried: list[str] | None = None, day: str = "snapshot_date",
-                      null_safe: bool = False) -> DataFrame:
+                      null_safe: bool = False, collapse_copies: bool = True) -> DataFrame:
     """One row per island of unchanged tracked attributes.
 
     Output: key, attributes (input order), version_id, valid_from, last_seen_date.
@@ -37,9 +41,17 @@ def snapshot_versions(snapshots: DataFrame, key: str, tracked: list[str],
     `null_safe=True` instead compares with `<=>`, opens a version only on the
     key's first row or a real change, and takes carried columns as of the
     version's last day, so (key, version) is unique.
+
+    `collapse_copies` (default) drops exact duplicate rows before the window
+    chain. Copies never change the versions, except where the first tracked
+    column is NULL: there each copy would open one more, empty, version (in
+    an arbitrary order). Turn it off only for extracts known to hold one row
+    per key and day; it saves one shuffle of the snapshots.
     """
     carried = list(carried or [])
     attrs = [c for c in snapshots.columns if c in set(tracked) | set(carried)]
+    if collapse_copies:
+        snapshots = snapshots.select(key, *attrs, day).distinct()
     w = Window.partitionBy(key).orderBy(day)
     prev = {c: F.lag(c).over(w) for c in tracked}
     if null_safe:
