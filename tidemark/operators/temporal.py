@@ -37,11 +37,14 @@ def _month(c) -> F.Column:
 def temporal_join(facts: DataFrame, dim: DataFrame, key: str, fact_date: str,
                   dim_cols: list[str], how: str = "left",
                   valid_from: str = "valid_from", valid_to: str = "valid_to",
-                  bucketed: bool = True) -> DataFrame:
+                  bucketed: bool = True, horizon=None) -> DataFrame:
     """facts ⋈ dim on key and fact_date within [valid_from, valid_to].
 
     `how` is "left" (unmatched facts kept, dim columns NULL) or "inner".
     `bucketed=False` gives the plain equi-key + residual join.
+    `horizon`: any date Column (e.g. a scalar subquery) known to be >= every
+    `valid_from`, such as the last snapshot day of the source the dimension
+    was built from; by default the dimension's own max(valid_from).
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
@@ -53,7 +56,9 @@ def temporal_join(facts: DataFrame, dim: DataFrame, key: str, fact_date: str,
         cond = (F.col(key) == F.col(_K)) & in_range
         return facts.join(d, cond, how).drop(_K, _VF, _VT)
 
-    horizon = _month(dim.select(F.max(F.col(valid_from))).scalar())
+    if horizon is None:
+        horizon = dim.select(F.max(F.col(valid_from))).scalar()
+    horizon = _month(horizon)
     first_month = _month(F.col(_VF))
     last_month = F.greatest(first_month,
                             F.coalesce(_month(F.col(_VT)), horizon))

@@ -32,9 +32,10 @@ def int_customer_scd(history: DataFrame) -> DataFrame:
 
 
 def int_invoice_resolved(stg_invoices: DataFrame, scd: DataFrame,
-                         bucketed: bool = True) -> DataFrame:
+                         bucketed: bool = True, horizon: Column | None = None) -> DataFrame:
     return temporal_join(stg_invoices, scd, "customer_id", "invoice_date",
-                         ["customer_key"], how="left", bucketed=bucketed).select(
+                         ["customer_key"], how="left", bucketed=bucketed,
+                         horizon=horizon).select(
         "invoice_id", "customer_id", "plan_id", "invoice_date", "amount", "status",
         "has_bad_amount", "customer_key")
 
@@ -66,6 +67,12 @@ def dim_date(spark: SparkSession, start: str | Column, end: str | Column) -> Dat
     )
 
 
+def snapshot_horizon(stg_customers: DataFrame) -> Column:
+    """Last snapshot day (scalar subquery): every version starts on or
+    before it, so it bounds the open versions of the temporal join."""
+    return stg_customers.select(F.max("snapshot_date")).scalar()
+
+
 def calendar_bounds(stg_customers: DataFrame, days_before: int = 7,
                     days_after: int = 3) -> tuple[Column, Column]:
     """The pipeline window: first snapshot day minus a buffer for late
@@ -91,7 +98,7 @@ def fact_invoice_rejected(resolved: DataFrame, scd: DataFrame) -> DataFrame:
 
 
 def fact_usage_daily(stg_usage_events: DataFrame, scd: DataFrame,
-                     bucketed: bool = True) -> DataFrame:
+                     bucketed: bool = True, horizon: Column | None = None) -> DataFrame:
     """Events per customer-version-day. The event day fixes the version, so
     events are first counted per (customer, day) and only those daily rows
     are joined to the dimension; events with no version are left out."""
@@ -102,7 +109,7 @@ def fact_usage_daily(stg_usage_events: DataFrame, scd: DataFrame,
         F.count_if(et == "login").alias("login_count"),
         F.count_if(et == "api_call").alias("api_call_count"))
     joined = temporal_join(daily, scd, "customer_id", "event_date", ["customer_key"],
-                           how="inner", bucketed=bucketed)
+                           how="inner", bucketed=bucketed, horizon=horizon)
     return joined.select("customer_id", "customer_key", "event_date", "event_count",
                          "distinct_event_types", "login_count", "api_call_count")
 

@@ -47,6 +47,14 @@ class Warehouse:
     def _shared(self, df: DataFrame, name: str) -> DataFrame:
         return write_and_reread(df, name, self.run_id) if self.materialize else df
 
+    @property
+    def horizon(self):
+        """Bound for open versions in temporal joins. A written dimension
+        answers max(valid_from) from one column of its files (the default);
+        a lazy one would recompute its window chain, so the last snapshot
+        day of the source is used instead (one column of the extract)."""
+        return None if self.materialize else marts.snapshot_horizon(self.stg_customers)
+
     # staging
     @cached_property
     def stg_plans(self) -> DataFrame:
@@ -78,7 +86,7 @@ class Warehouse:
     def int_invoice_resolved(self) -> DataFrame:
         return self._shared(
             marts.int_invoice_resolved(self.stg_invoices, self.int_customer_scd,
-                                       bucketed=self.bucketed_joins),
+                                       bucketed=self.bucketed_joins, horizon=self.horizon),
             "int_invoice_resolved")
 
     # marts
@@ -109,7 +117,7 @@ class Warehouse:
     @cached_property
     def fact_usage_daily(self) -> DataFrame:
         return marts.fact_usage_daily(self.stg_usage_events, self.int_customer_scd,
-                                      bucketed=self.bucketed_joins)
+                                      bucketed=self.bucketed_joins, horizon=self.horizon)
 
     @cached_property
     def mrr_monthly(self) -> DataFrame:
