@@ -349,7 +349,7 @@ _LINEITEM_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l
 
 
 def oracle_queries() -> dict[str, str]:
-    from tidemark.catalog import ACCEPTED_VALUES, NOT_NULL, RELATIONSHIPS, UNIQUE
+    from tidemark.plans.checks import ACCEPTED_VALUES, NOT_NULL, RELATIONSHIPS, UNIQUE
     from tidemark.plans.pipeline import MODELS
 
     q = {name: model(name) for name in MODELS}

@@ -14,42 +14,13 @@ from pyspark.sql import functions as F
 from tidemark.operators import profile, quality
 from tidemark.operators.dedup import dedup_first
 from tidemark.operators.scd import close_ranges, snapshot_versions
-from tidemark.plans import reports
+from tidemark.plans import checks, reports
 from tidemark.plans.pipeline import MODELS, Warehouse
 from tidemark.sources import extracts, testviews
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# The declared expectations of the warehouse.
-UNIQUE = [("stg_plans", "plan_id"), ("stg_invoices", "invoice_id"),
-          ("stg_usage_events", "event_id"), ("dim_customer", "customer_key"),
-          ("dim_plan", "plan_id"), ("dim_date", "date_day"), ("fact_invoice", "invoice_id")]
-NOT_NULL = {
-    "stg_plans": ["plan_id"],
-    "stg_customers": ["customer_id", "snapshot_date"],
-    "stg_invoices": ["invoice_id"],
-    "stg_usage_events": ["event_id"],
-    "dim_customer": ["customer_key", "customer_id", "valid_from"],
-    "dim_plan": ["plan_id"],
-    "dim_date": ["date_day"],
-    "fact_invoice": ["invoice_id", "customer_key"],
-    "fact_invoice_rejected": ["invoice_id"],
-    "fact_usage_daily": ["customer_key"],
-    "mrr_monthly": ["mrr"],
-}
-ACCEPTED_VALUES = [
-    ("dim_customer", "segment", ["SMB", "Mid-Market", "Enterprise"]),
-    ("dim_plan", "tier", ["starter", "growth", "scale", "enterprise"]),
-    ("fact_invoice", "status_clean", ["paid", "failed", "refunded", "flagged_for_review"]),
-    ("fact_invoice_rejected", "rejection_reason",
-     ["orphan_customer_id", "invoice_predates_scd_coverage"]),
-]
-RELATIONSHIPS = [("fact_invoice", "customer_key", "dim_customer", "customer_key"),
-                 ("fact_invoice", "plan_id", "dim_plan", "plan_id"),
-                 ("fact_usage_daily", "customer_key", "dim_customer", "customer_key")]
-
-
 def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse.from_testdata(spark, sf_dir)
 
@@ -80,8 +51,7 @@ def load_summary(spark, sf_dir):
 # ------------------------------------------------------------ expectations
 @register("expect_unique")
 def expect_unique(spark, sf_dir):
-    wh = _wh(spark, sf_dir)
-    frames = [quality.expect_unique(wh.model(m), c, m) for m, c in UNIQUE]
+    frames = [checks.unique_checks(_wh(spark, sf_dir))]
     lineitem = testviews.table(spark, sf_dir, "lineitem")
     frames.append(quality.expect_unique(lineitem, ["l_orderkey", "l_linenumber"], "lineitem"))
     return quality.union_all(frames)
@@ -89,24 +59,17 @@ def expect_unique(spark, sf_dir):
 
 @register("expect_not_null")
 def expect_not_null(spark, sf_dir):
-    wh = _wh(spark, sf_dir)
-    return quality.union_all([quality.expect_not_null(wh.model(m), cols, m)
-                              for m, cols in NOT_NULL.items()])
+    return checks.not_null_checks(_wh(spark, sf_dir))
 
 
 @register("expect_accepted_values")
 def expect_accepted_values(spark, sf_dir):
-    wh = _wh(spark, sf_dir)
-    return quality.union_all([quality.expect_accepted_values(wh.model(m), c, vals, m)
-                              for m, c, vals in ACCEPTED_VALUES])
+    return checks.accepted_values_checks(_wh(spark, sf_dir))
 
 
 @register("expect_relationships")
 def expect_relationships(spark, sf_dir):
-    wh = _wh(spark, sf_dir)
-    return quality.union_all([
-        quality.expect_relationships(wh.model(m), c, wh.model(pm), pf, m)
-        for m, c, pm, pf in RELATIONSHIPS])
+    return checks.relationship_checks(_wh(spark, sf_dir))
 
 
 @register("assert_no_scd_overlap")

@@ -128,18 +128,52 @@ class Warehouse:
             raise KeyError(name)
         return getattr(self, name)
 
+    __getitem__ = model
 
-def run(spark: SparkSession, sources: dict[str, DataFrame], out_dir: str,
-        run_id: str | None = None) -> dict[str, str]:
-    """Build every mart, write each as Parquet under `out_dir`, return paths.
 
-    The SCD2 dimension and the resolved invoices are written once and shared;
-    each mart is one Spark job reading them.
+class _Written(dict):
+    """Written marts first, the warehouse's lazy models for the rest."""
+
+    def __init__(self, written: dict[str, DataFrame], wh: Warehouse):
+        super().__init__(written)
+        self.wh = wh
+
+    def __missing__(self, name: str) -> DataFrame:
+        return self.wh.model(name)
+
+
+def run(spark: SparkSession, sources: dict[str, DataFrame], out_dir: str,
+        run_id: str | None = None, with_checks: bool = True,
+        z_threshold: float = 2.0, warn_threshold: float = 0.05) -> dict[str, str]:
+    """The nightly job. Writes under `out_dir`:
+
+    * every mart as Parquet (the SCD2 dimension and the resolved invoices are
+      written once under the checkpoint folder and shared);
+    * `_checks`: the 32 declared data tests, one row each, run over the
+      written marts;
+    * `dq_report`: the health report (snapshot volume z-score on the raw
+      CRM rows + invoice quarantine rate) as one JSON document.
+
+    Returns the paths by name.
     """
+    from tidemark.operators import quality
+    from tidemark.plans import checks as declared
+    from tidemark.sources.extracts import write_json_report
+
+    root = out_dir.rstrip("/")
     wh = Warehouse(spark, sources, materialize=True, run_id=run_id)
-    paths = {}
+    paths: dict[str, str] = {}
     for name in MART_MODELS:
-        path = f"{out_dir.rstrip('/')}/{name}"
+        path = f"{root}/{name}"
         wh.model(name).write.mode("overwrite").parquet(path)
         paths[name] = path
+    written = _Written({n: spark.read.parquet(p) for n, p in paths.items()}, wh)
+    if with_checks:
+        paths["_checks"] = f"{root}/_checks"
+        declared.all_checks(written).write.mode("overwrite").parquet(paths["_checks"])
+        report = quality.health_report_nested(
+            sources["crm_customers"], written["fact_invoice"], written["fact_invoice_rejected"],
+            z_threshold=z_threshold, warn_threshold=warn_threshold)
+        paths["dq_report"] = f"{root}/dq_report"
+        write_json_report(report, paths["dq_report"])
     return paths
