@@ -129,3 +129,15 @@ def test_health_report_nested_shape(spark):
     assert rep["invoice_quarantine_rate"]["quarantine_rate"] == 0.0
     assert rep["overall_status"] == "ok"
     assert dim.count() == 1
+
+
+def test_calendar_filled_counts_expose_a_missing_day(spark):
+    rows = [("C1", f"2026-08-{i:02d}", "A", "EU", "SMB") for i in range(1, 15) if i != 7]
+    rows += [("C2", f"2026-08-{i:02d}", "A", "EU", "SMB") for i in range(1, 15) if i != 7]
+    snaps = snapshots(spark, rows)
+    plain = quality.volume_zscore(quality.daily_counts(snaps, "snapshot_date"))
+    assert plain.count() == 13 and plain.where("is_anomaly").count() == 0
+    filled = quality.volume_zscore(quality.daily_counts(snaps, "snapshot_date", fill_calendar=True))
+    out = {r.snapshot_date: r for r in filled.collect()}
+    assert len(out) == 14 and out[d("2026-08-07")].row_count == 0
+    assert out[d("2026-08-07")].is_anomaly and out[d("2026-08-07")].z_score == -999.0

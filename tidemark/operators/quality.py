@@ -115,11 +115,25 @@ def assert_fact_resolved(fact: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------ health checks
 
-def daily_counts(df: DataFrame, day: str, day_expr: Column | None = None) -> DataFrame:
+def daily_counts(df: DataFrame, day: str, day_expr: Column | None = None,
+                 fill_calendar: bool = False) -> DataFrame:
     """(day, row_count) for the days that have rows. A day with no rows at
-    all is invisible here, as in a GROUP BY over the loaded rows."""
+    all is invisible here, as in a GROUP BY over the loaded rows.
+
+    `fill_calendar=True` lists every day between the first and the last one
+    seen (as DATE), with 0 for a day that delivered nothing, so a missing
+    daily file becomes an anomaly instead of disappearing. The calendar is
+    generated from the one-row min/max aggregate: bounded by the day span.
+    """
     d = (day_expr if day_expr is not None else F.col(day)).alias(day)
-    return df.groupBy(d).agg(F.count(F.lit(1)).alias("row_count"))
+    counts = df.groupBy(d).agg(F.count(F.lit(1)).alias("row_count"))
+    if not fill_calendar:
+        return counts
+    dated = counts.select(F.col(day).cast("date").alias(day), "row_count")
+    calendar = (dated.agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
+                .select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias(day)))
+    return (calendar.join(dated, day, "left")
+            .select(day, F.coalesce("row_count", F.lit(0).cast("bigint")).alias("row_count")))
 
 
 def volume_zscore(counts: DataFrame, day: str = "snapshot_date",
@@ -197,18 +211,26 @@ def health_report(snapshots_raw: DataFrame, fact: DataFrame, rejected: DataFrame
     """Volume check on the raw snapshot rows + quarantine rate: one flat row,
     `overall_status` 'alert' if either check fires."""
     scored = volume_zscore(daily_counts(snapshots_raw, day), day, z_threshold)
-    vol = volume_summary(scored)
-    rate = quarantine_rate_report(fact, rejected, warn_threshold)
-    row = _one_row_concat(vol, rate)
+    return _flat_report(scored, fact, rejected, warn_threshold)
+
+
+def _flat_report(scored: DataFrame, fact: DataFrame, rejected: DataFrame,
+                 warn_threshold: float) -> DataFrame:
+    row = _one_row_concat(volume_summary(scored),
+                          quarantine_rate_report(fact, rejected, warn_threshold))
     overall = F.when((F.col("volume_status") == "alert") | (F.col("rate_status") == "warn"),
                      "alert").otherwise("ok")
     return row.select("*", overall.alias("overall_status"))
 
 
 def _one_row_concat(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Side by side concatenation of two one-row frames: the second frame's
-    columns enter as scalar subqueries."""
-    return a.select("*", *[b.select(c).scalar().alias(c) for c in b.columns])
+    """Side by side concatenation of two one-row frames without a join or
+    per-column subqueries: union them (missing columns NULL) and fold the two
+    rows with one global aggregate; each column is non-NULL on one side only,
+    so `max` just picks it. Each input is computed once."""
+    cols = a.columns + [c for c in b.columns if c not in a.columns]
+    both = a.unionByName(b, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in cols])
 
 
 def health_report_nested(snapshots_raw: DataFrame, fact: DataFrame, rejected: DataFrame,
@@ -222,7 +244,7 @@ def health_report_nested(snapshots_raw: DataFrame, fact: DataFrame, rejected: Da
                      F.col(day).cast("string").alias("date"),
                      F.col("row_count").alias("count"),
                      F.round("z_score", 2).alias("z_score")))).alias("anomalies")))
-    flat = health_report(snapshots_raw, fact, rejected, z_threshold, warn_threshold, day)
+    flat = _flat_report(scored, fact, rejected, warn_threshold)
     return flat.select(
         F.struct(F.col("n_days_checked"), F.col("mean_count"), F.col("std_count"),
                  F.coalesce(anomalies.select("anomalies").scalar(),

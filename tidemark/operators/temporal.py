@@ -107,7 +107,10 @@ def classify_unresolved(unresolved: DataFrame, dim: DataFrame, key: str,
                         uncovered: str = "invoice_predates_scd_coverage") -> DataFrame:
     """Reason for each fact the temporal join could not resolve: its key is
     in no version at all (NULL keys included), or it is, but no version
-    covers the fact's date."""
+    covers the fact's date.
+
+    `dim` only supplies the set of known keys: the dimension itself, or the
+    snapshots it was built from (the same set of keys)."""
     known = dim.select(F.col(key).alias("_known_key")).distinct()
     joined = unresolved.join(known, F.col(key) == F.col("_known_key"), "left")
     reason = F.when(F.col("_known_key").isNull(), F.lit(unknown)).otherwise(F.lit(uncovered))

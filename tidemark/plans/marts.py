@@ -92,6 +92,8 @@ def fact_invoice(resolved: DataFrame) -> DataFrame:
 
 
 def fact_invoice_rejected(resolved: DataFrame, scd: DataFrame) -> DataFrame:
+    """Unresolved invoices with a reason. `scd` supplies the known customer
+    ids: the dimension, or the snapshots it was built from."""
     unresolved = resolved.where(F.col("customer_key").isNull()).select(
         "invoice_id", "customer_id", "plan_id", "invoice_date", "amount", "status")
     return classify_unresolved(unresolved, scd, "customer_id")

@@ -112,7 +112,10 @@ class Warehouse:
 
     @cached_property
     def fact_invoice_rejected(self) -> DataFrame:
-        return marts.fact_invoice_rejected(self.int_invoice_resolved, self.int_customer_scd)
+        # known customer ids: the written dimension's, or (lazy) the same set
+        # read straight from the snapshots, without re-running the window chain
+        known = self.int_customer_scd if self.materialize else self.stg_customers
+        return marts.fact_invoice_rejected(self.int_invoice_resolved, known)
 
     @cached_property
     def fact_usage_daily(self) -> DataFrame:
