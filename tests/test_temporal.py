@@ -75,3 +75,4 @@ def test_range_join_is_an_equi_join_not_a_nested_loop(spark):
     plan = plan_text(wh.int_invoice_resolved)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "_tj_month" in plan   # the month bucket is part of the join key
+    assert "_tj_salt" in plan    # NULL keys are spread, not sent to one task

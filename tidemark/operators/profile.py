@@ -3,8 +3,6 @@ messiness the pipeline is built to absorb is present, and how much."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,8 +25,10 @@ def daily_changes(snapshots: DataFrame, key: str, tracked: list[str],
     over a key's whole history. One row per (key, day) is kept first, so the
     join is one-to-one even if a day was delivered twice.
     """
+    # a NULL key never pairs with anything: keep it out of both shuffles
+    rows = snapshots.where(F.col(key).isNotNull())
     one = dedup_first(
-        snapshots.select(key, F.col(day).cast("date").alias(day), *tracked), [key, day], tracked)
+        rows.select(key, F.col(day).cast("date").alias(day), *tracked), [key, day], tracked)
     prev = one.select(F.col(key).alias("_pk"), F.date_add(day, 1).alias("_pd"),
                       *[F.col(c).alias(f"_p_{c}") for c in tracked])
     joined = one.join(prev, (F.col(key) == F.col("_pk")) & (F.col(day) == F.col("_pd")))
@@ -38,7 +38,18 @@ def daily_changes(snapshots: DataFrame, key: str, tracked: list[str],
 
 
 def _known_keys(snapshots: DataFrame, key: str) -> DataFrame:
-    return snapshots.select(F.col(key).alias("_known")).distinct()
+    return snapshots.select(F.col(key).alias("_known")).where(F.col("_known").isNotNull()).distinct()
+
+
+def _unknown_count(rows: DataFrame, snapshots: DataFrame, key: str):
+    """Rows whose key is in no snapshot (scalar). NULL keys are unknown by
+    definition and are counted without entering the anti join, where they
+    would all hash to one partition."""
+    nulls = rows.select(F.count_if(F.col(key).isNull())).scalar()
+    unmatched = (rows.select(key).where(F.col(key).isNotNull())
+                 .join(_known_keys(snapshots, key), F.col(key) == F.col("_known"), "left_anti")
+                 .select(F.count(F.lit(1))).scalar())
+    return nulls + unmatched
 
 
 def invoice_profile(invoices: DataFrame, snapshots: DataFrame,
@@ -51,9 +62,7 @@ def invoice_profile(invoices: DataFrame, snapshots: DataFrame,
     negative = amount.rlike(r"^-[0-9.]+$") & (amount.try_cast("double") < 0)
     bad = amount.isNull() | (amount == "") | F.coalesce(negative, F.lit(False))
     first_day = snapshots.select(F.min(F.col(day).cast("date"))).scalar()
-    orphans = (invoices.select(key)
-               .join(_known_keys(snapshots, key), F.col(key) == F.col("_known"), "left_anti")
-               .select(F.count(F.lit(1))).scalar())
+    orphans = _unknown_count(invoices, snapshots, key)
     stats = invoices.agg(
         F.count(F.lit(1)).alias("raw_rows"),
         F.count_distinct("invoice_id").alias("distinct_ids"),
@@ -67,9 +76,7 @@ def invoice_profile(invoices: DataFrame, snapshots: DataFrame,
 
 def event_profile(events: DataFrame, snapshots: DataFrame, key: str = "customer_id") -> DataFrame:
     """One row: events, events whose customer is in no snapshot, all known?"""
-    unknown = (events.select(key)
-               .join(_known_keys(snapshots, key), F.col(key) == F.col("_known"), "left_anti")
-               .select(F.count(F.lit(1))).scalar())
+    unknown = _unknown_count(events, snapshots, key)
     return events.agg(F.count(F.lit(1)).alias("event_rows")).select(
         "event_rows", unknown.alias("unknown_customer_rows"),
         (unknown == 0).alias("all_known"))
@@ -86,6 +93,3 @@ def plan_profile(plans: DataFrame, key: str = "plan_id") -> DataFrame:
     return stats.select("plan_rows", "distinct_plan_ids", "rows_with_missing",
                         complete.alias("complete"))
 
-
-def combine(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

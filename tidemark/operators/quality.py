@@ -69,7 +69,7 @@ def expect_accepted_values(df: DataFrame, column: str, values: list[str],
 def expect_relationships(child: DataFrame, column: str, parent: DataFrame, field: str,
                          model: str) -> DataFrame:
     """Every non-NULL child key exists in the parent (left anti join)."""
-    keys = parent.select(F.col(field).alias("_parent_key"))
+    keys = parent.select(F.col(field).alias("_parent_key")).where(F.col("_parent_key").isNotNull())
     orphans = (child.select(column).where(F.col(column).isNotNull())
                .join(keys, F.col(column) == F.col("_parent_key"), "left_anti")
                .agg(F.count(F.lit(1)).alias("n")))

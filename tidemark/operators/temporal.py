@@ -20,6 +20,10 @@ planner or by AQE at runtime, both size-checked against their thresholds.
 
 The result equals the plain range join exactly: a version containing the
 fact's date overlaps the fact's month, so the candidate set always holds it.
+
+A NULL key (or date) never matches, yet hash partitioning would send every
+such row to one task; a deterministic salt in the join key spreads them
+(`null_salt`), with the dimension side fixed at salt 0.
 """
 
 from __future__ import annotations
@@ -28,12 +32,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _K, _VF, _VT, _B, _FB = "_tj_key", "_tj_from", "_tj_to", "_tj_month", "_tj_fact_month"
+_S, _DS = "_tj_salt", "_tj_dim_salt"
+
+# Rows that can never match (NULL key or NULL date) are spread over this many
+# salt values instead of all hashing to the one partition of the NULL key.
+NULL_SPREAD = 1024
 
 
 def _month(c) -> F.Column:
     return F.trunc(c, "month")
 
 
+def null_salt(df: DataFrame, unmatchable: F.Column) -> F.Column:
+    """0 for rows that may match; 1..NULL_SPREAD for rows that cannot (a
+    deterministic hash of the row, so a recomputed task routes every row as
+    before). Joined against a constant 0 on the other side."""
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(NULL_SPREAD)) + 1
+    return F.when(unmatchable, spread).otherwise(F.lit(0).cast("long"))
+
+
 def temporal_join(facts: DataFrame, dim: DataFrame, key: str, fact_date: str,
                   dim_cols: list[str], how: str = "left",
                   valid_from: str = "valid_from", valid_to: str = "valid_to",
@@ -64,8 +81,12 @@ def temporal_join(facts: DataFrame, dim: DataFrame, key: str, fact_date: str,
                             F.coalesce(_month(F.col(_VT)), horizon))
     d = d.select("*", F.explode(F.sequence(first_month, last_month,
                                            F.expr("interval 1 month"))).alias(_B))
-    f = facts.withColumn(_FB, F.least(_month(F.col(fact_date)), horizon))
-    cond = (F.col(key) == F.col(_K)) & (F.col(_FB) == F.col(_B)) & in_range
+    unmatchable = F.col(key).isNull() | F.col(fact_date).isNull()
+    f = facts.select("*", F.least(_month(F.col(fact_date)), horizon).alias(_FB),
+                     null_salt(facts, unmatchable).alias(_S))
+    d = d.withColumn(_DS, F.lit(0).cast("long"))
+    cond = ((F.col(key) == F.col(_K)) & (F.col(_FB) == F.col(_B))
+            & (F.col(_S) == F.col(_DS)) & in_range)
     joined = f.join(d, cond, how)
     return joined.select(*[F.col(c) for c in facts.columns], *[F.col(c) for c in dim_cols])
 
@@ -111,7 +132,10 @@ def classify_unresolved(unresolved: DataFrame, dim: DataFrame, key: str,
 
     `dim` only supplies the set of known keys: the dimension itself, or the
     snapshots it was built from (the same set of keys)."""
-    known = dim.select(F.col(key).alias("_known_key")).distinct()
-    joined = unresolved.join(known, F.col(key) == F.col("_known_key"), "left")
+    known = (dim.select(F.col(key).alias("_known_key")).where(F.col("_known_key").isNotNull())
+             .distinct().withColumn(_DS, F.lit(0).cast("long")))
+    facts = unresolved.withColumn(_S, null_salt(unresolved, F.col(key).isNull()))
+    joined = facts.join(known, (F.col(key) == F.col("_known_key")) & (F.col(_S) == F.col(_DS)),
+                        "left")
     reason = F.when(F.col("_known_key").isNull(), F.lit(unknown)).otherwise(F.lit(uncovered))
     return joined.select(*unresolved.columns, reason.alias(reason_col))
