@@ -1,6 +1,5 @@
 """Temporal join, quarantine classification, and the join forms agreeing."""
 from conftest import SF_CHECK, d, plan_text, snapshots
-from pyspark.sql import functions as F
 
 from tidemark.operators.temporal import asof_join, temporal_join
 from tidemark.plans import marts, staging
