@@ -38,14 +38,27 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     for k, v in settings.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no SparkContext
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str | None:
     """The shared folder the cluster names in `spark.checkpoint.dir`, if any."""
-    value = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    value = None
+    sc = _context(spark)
+    if sc is not None:
+        value = sc.getConf().get("spark.checkpoint.dir", None)
     if not value:
         try:
             value = spark.conf.get("spark.checkpoint.dir", None)
@@ -63,11 +76,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     root = checkpoint_root(spark)
     if root:
         return root
-    existing = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    existing = sc.getCheckpointDir() if sc is not None else None
     if existing:
         return existing
     root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-    spark.sparkContext.setCheckpointDir(root)
+    if sc is not None:
+        sc.setCheckpointDir(root)
     return root
 
 
