@@ -20,6 +20,8 @@ def built(spark):
     out = tempfile.mkdtemp(prefix="tidemark-marts-")
     paths = run(spark, testviews.load_sources(spark, SF_SMALL), out)
     built = {k: spark.read.parquet(v) for k, v in paths.items() if k != "dq_report"}
+    assert {r.table_name: r.row_count for r in built["_load_summary"].collect()} == \
+        {"plans": 5, "crm_customers": 4371, "invoices": 1530, "usage_events": 1000}
     built["_report_path"] = paths["dq_report"]
     return built
 

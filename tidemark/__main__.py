@@ -88,7 +88,10 @@ def main(argv: list[str] | None = None) -> int:
     failed = [r.asDict() for r in spark.read.parquet(paths["_checks"])
               .where(~F.col("passed")).drop("passed").collect()]
     status = spark.read.json(paths["dq_report"]).select("overall_status").first()[0]
-    print(json.dumps({"paths": paths, "failed_checks": failed, "overall_status": status}))
+    loaded = {r.table_name: r.row_count
+              for r in spark.read.parquet(paths["_load_summary"]).collect()}   # 4 rows
+    print(json.dumps({"loaded": loaded, "paths": paths, "failed_checks": failed,
+                      "overall_status": status}))
     return 0
 
 

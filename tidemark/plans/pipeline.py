@@ -146,10 +146,13 @@ class _Written(dict):
 
 
 def run(spark: SparkSession, sources: dict[str, DataFrame], out_dir: str,
-        run_id: str | None = None, with_checks: bool = True,
+        run_id: str | None = None, with_checks: bool = True, persist_raw: bool = True,
         z_threshold: float = 2.0, warn_threshold: float = 0.05) -> dict[str, str]:
     """The nightly job. Writes under `out_dir`:
 
+    * `raw/<source>`: each source landed once as Parquet (full refresh), so
+      a CSV extract is parsed once however many models read it, and
+      `_load_summary`: rows per source;
     * every mart as Parquet (the SCD2 dimension and the resolved invoices are
       written once under the checkpoint folder and shared);
     * `_checks`: the 32 declared data tests, one row each, run over the
@@ -161,16 +164,25 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], out_dir: str,
     """
     from tidemark.operators import quality
     from tidemark.plans import checks as declared
-    from tidemark.sources.extracts import write_json_report
+    from tidemark.sources.extracts import load_summary, write_json_report
 
     root = out_dir.rstrip("/")
-    wh = Warehouse(spark, sources, materialize=True, run_id=run_id)
     paths: dict[str, str] = {}
+    if persist_raw:
+        landed = {}
+        for name, df in sources.items():
+            paths[f"raw/{name}"] = f"{root}/raw/{name}"
+            df.write.mode("overwrite").parquet(paths[f"raw/{name}"])
+            landed[name] = spark.read.parquet(paths[f"raw/{name}"])
+        sources = landed
+        paths["_load_summary"] = f"{root}/_load_summary"
+        load_summary(sources).write.mode("overwrite").parquet(paths["_load_summary"])
+    wh = Warehouse(spark, sources, materialize=True, run_id=run_id)
     for name in MART_MODELS:
         path = f"{root}/{name}"
         wh.model(name).write.mode("overwrite").parquet(path)
         paths[name] = path
-    written = _Written({n: spark.read.parquet(p) for n, p in paths.items()}, wh)
+    written = _Written({n: spark.read.parquet(paths[n]) for n in MART_MODELS}, wh)
     if with_checks:
         paths["_checks"] = f"{root}/_checks"
         declared.all_checks(written).write.mode("overwrite").parquet(paths["_checks"])
