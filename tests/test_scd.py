@@ -90,19 +90,39 @@ def test_untracked_change_splits_rows_with_same_key(spark):
 
 
 def test_one_exchange_serves_the_whole_window_chain(spark):
-    from tidemark.operators.scd import close_ranges, snapshot_versions
+    from tidemark.operators.scd import BUCKET, close_ranges, snapshot_versions
     rows = [("C1", "2026-08-01", "A", "EU", "SMB"), ("C1", "2026-08-02", "B", "EU", "SMB")]
     snaps = snapshots(spark, rows)
     plain = close_ranges(snapshot_versions(snaps, "customer_id", ["plan_id", "region", "segment"],
-                                           ["name"], collapse_copies=False), "customer_id")
+                                           ["name"], collapse_copies=False, keep_bucket=True),
+                         "customer_id", bucket=BUCKET)
     plan = plan_text(plain)
     assert plan.count("Exchange hashpartitioning") == 1, plan
     # with copies collapsed: one more exchange, after a map-side partial distinct
-    plan = plan_text(marts.int_customer_scd(marts.int_customer_history(snaps)))
+    plan = plan_text(marts.int_customer_scd(marts.int_customer_history(snaps, keep_bucket=True)))
     assert plan.count("Exchange hashpartitioning") == 2, plan
     assert "partial_" in plan or "HashAggregate" in plan
 
 
+def test_null_key_rows_are_spread_and_grouped_by_record(spark):
+    """Rows without a customer id: each record keeps its own history, and a
+    large NULL group does not form one window partition."""
+    rows = [("C1", f"2026-08-{i:02d}", "A", "EU", "SMB") for i in (1, 2, 3)]
+    rows += [(None, f"2026-08-{i:02d}", "A", "EU", "SMB", f"p{j}@x") for i in (1, 2, 3)
+             for j in range(40)]
+    rows += [(None, "2026-08-04", "B", "EU", "SMB", "p0@x")]
+    hist = marts.int_customer_history(snapshots(spark, rows), keep_bucket=True)
+    plan = plan_text(marts.int_customer_scd(hist))
+    assert "_null_key_bucket" in plan.split("Exchange hashpartitioning", 1)[1].split("\n")[0]
+    out = marts.int_customer_scd(hist).where("customer_id IS NULL").collect()
+    assert len(out) == 41   # 40 records, one of which changed plan once
+    p0 = sorted((r.valid_from, r.plan_id, r.valid_to) for r in out if r.email == "p0@x")
+    assert p0 == [(d("2026-08-01"), "A", d("2026-08-03")), (d("2026-08-04"), "B", None)]
+    assert all(r.customer_key is None for r in out)
+    from tidemark.operators import quality
+    assert quality.assert_no_scd_overlap(marts.int_customer_scd(hist)).count() == 0
+
+
 def test_copies_do_not_change_versions(spark):
     rows = [("C1", "2026-08-01", "A", "EU", "SMB"), ("C1", "2026-08-02", "B", "EU", "SMB"),
             ("C1", "2026-08-03", "B", "EU", "SMB"), ("C2", "2026-08-01", "A", "EU", "SMB")]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import profile, quality
 from tidemark.operators.dedup import dedup_first
-from tidemark.operators.scd import close_ranges, snapshot_versions
+from tidemark.operators.scd import BUCKET, close_ranges, snapshot_versions
 from tidemark.plans import checks, reports
 from tidemark.plans.pipeline import MODELS, Warehouse
 from tidemark.sources import extracts, testviews
@@ -188,8 +188,8 @@ def scd_from_orders(spark, sf_dir):
                         [F.col("o_orderkey").desc_nulls_last()])
     # one row per (customer, day) already: no copies to collapse
     history = snapshot_versions(daily, "o_custkey", ["o_orderpriority"], [], "order_day",
-                                collapse_copies=False)
-    return close_ranges(history, "o_custkey", key_name="version_key")
+                                collapse_copies=False, keep_bucket=True)
+    return close_ranges(history, "o_custkey", key_name="version_key", bucket=BUCKET)
 
 
 @register("volume_events")

@@ -20,10 +20,27 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import any_of, surrogate_key
 
+BUCKET = "_null_key_bucket"
+# NULL-key rows are spread over this many window partitions.
+NULL_KEY_BUCKETS = 1024
+
+
+def null_key_bucket(key: str, attrs: list[str]) -> F.Column:
+    """0 for a real key. Rows without a key share no entity, and in one
+    window partition their same-day order would be arbitrary anyway; they are
+    grouped by a hash of `attrs` instead -- the carried (identity) columns, so
+    the rows of one record stay together across tracked changes -- which also
+    keeps a NULL key holding a large share of the extract from landing in a
+    single task."""
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in attrs] or [F.lit(0)]),
+                    F.lit(NULL_KEY_BUCKETS)) + 1
+    return F.when(F.col(key).isNull(), spread).otherwise(F.lit(0).cast("long"))
+
 
 def snapshot_versions(snapshots: DataFrame, key: str, tracked: list[str],
                       carried: list[str] | None = None, day: str = "snapshot_date",
-                      null_safe: bool = False, collapse_copies: bool = True) -> DataFrame:
+                      null_safe: bool = False, collapse_copies: bool = True,
+                      keep_bucket: bool = False) -> DataFrame:
     """One row per island of unchanged tracked attributes.
 
     Output: key, attributes (input order), version_id, valid_from, last_seen_date.
@@ -47,12 +64,18 @@ def snapshot_versions(snapshots: DataFrame, key: str, tracked: list[str],
     column is NULL: there each copy would open one more, empty, version (in
     an arbitrary order). Turn it off only for extracts known to hold one row
     per key and day; it saves one shuffle of the snapshots.
+
+    Rows with a NULL key are versioned per `null_key_bucket` (see there).
+    `keep_bucket=True` keeps that column for `close_ranges(bucket=...)`, so
+    the whole chain runs on the one exchange.
     """
     carried = list(carried or [])
     attrs = [c for c in snapshots.columns if c in set(tracked) | set(carried)]
     if collapse_copies:
         snapshots = snapshots.select(key, *attrs, day).distinct()
-    w = Window.partitionBy(key).orderBy(day)
+    identity = [c for c in attrs if c in carried] or attrs
+    snapshots = snapshots.withColumn(BUCKET, null_key_bucket(key, identity))
+    w = Window.partitionBy(key, BUCKET).orderBy(day)
     prev = {c: F.lag(c).over(w) for c in tracked}
     if null_safe:
         is_new = F.when(F.row_number().over(w) == 1, 1).when(
@@ -60,33 +83,39 @@ def snapshot_versions(snapshots: DataFrame, key: str, tracked: list[str],
     else:
         is_new = F.when(prev[tracked[0]].isNull(), 1).when(
             any_of([F.col(c) != prev[c] for c in tracked]), 1).otherwise(0)
-    flagged = snapshots.select(key, *attrs, day, is_new.alias("is_new_version"))
+    flagged = snapshots.select(key, *attrs, day, BUCKET, is_new.alias("is_new_version"))
     grouped = flagged.withColumn(
         "version_id",
         F.sum("is_new_version").over(
             w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("bigint"))
+    extra = [BUCKET] if keep_bucket else []
     if not null_safe:
-        return (grouped.groupBy(key, *attrs, "version_id")
+        return (grouped.groupBy(key, *attrs, "version_id", BUCKET)
                 .agg(F.min(day).alias("valid_from"), F.max(day).alias("last_seen_date"))
-                .select(key, *attrs, "version_id", "valid_from", "last_seen_date"))
+                .select(key, *attrs, "version_id", "valid_from", "last_seen_date", *extra))
     latest = F.max_by(F.struct(*carried), F.col(day)) if carried else None
     aggs = [F.min(day).alias("valid_from"), F.max(day).alias("last_seen_date")]
     if latest is not None:
         aggs.append(latest.alias("_carried"))
-    out = grouped.groupBy(key, *[c for c in attrs if c in tracked], "version_id").agg(*aggs)
+    out = grouped.groupBy(key, *[c for c in attrs if c in tracked], "version_id", BUCKET).agg(*aggs)
     cols = [F.col(f"_carried.{c}").alias(c) if c in carried else F.col(c) for c in attrs]
-    return out.select(key, *cols, "version_id", "valid_from", "last_seen_date")
+    return out.select(key, *cols, "version_id", "valid_from", "last_seen_date", *extra)
 
 
 def close_ranges(history: DataFrame, key: str, version: str = "version_id",
                  valid_from: str = "valid_from", key_name: str = "customer_key",
-                 drop: tuple[str, ...] = ("last_seen_date",)) -> DataFrame:
+                 drop: tuple[str, ...] = ("last_seen_date",),
+                 bucket: str | None = None) -> DataFrame:
     """Add the surrogate key, `valid_to` (next valid_from - 1 day, NULL when
     open) and `is_current` (no next version). A key that stops appearing in
-    the snapshots keeps an open, current last version."""
-    w = Window.partitionBy(key).orderBy(version, valid_from)
+    the snapshots keeps an open, current last version.
+
+    `bucket`: the NULL-key bucket column kept by `snapshot_versions`; ranges
+    are then closed within (key, bucket) and the column is dropped."""
+    parts = [key] + ([bucket] if bucket else [])
+    w = Window.partitionBy(*parts).orderBy(version, valid_from)
     nxt = F.lead(valid_from).over(w)
-    body = [c for c in history.columns if c not in drop]
+    body = [c for c in history.columns if c not in drop and c != bucket]
     return history.select(
         surrogate_key(key, version).alias(key_name),
         *body,

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import day_of_week_sunday0, half_up_div, month_start
-from tidemark.operators.scd import close_ranges, snapshot_versions
+from tidemark.operators.scd import BUCKET, close_ranges, snapshot_versions
 from tidemark.operators.temporal import classify_unresolved, temporal_join
 
 # SCD2 attribute roles of the CRM snapshot.
@@ -22,13 +22,18 @@ SCD_COLUMNS = ["customer_key", "customer_id", "name", "email", "company", "plan_
                "valid_to", "is_current"]
 
 
-def int_customer_history(stg_customers: DataFrame, null_safe: bool = False) -> DataFrame:
+def int_customer_history(stg_customers: DataFrame, null_safe: bool = False,
+                         keep_bucket: bool = False) -> DataFrame:
     return snapshot_versions(stg_customers, "customer_id", CUSTOMER_TRACKED,
-                             CUSTOMER_CARRIED, "snapshot_date", null_safe=null_safe)
+                             CUSTOMER_CARRIED, "snapshot_date", null_safe=null_safe,
+                             keep_bucket=keep_bucket)
 
 
 def int_customer_scd(history: DataFrame) -> DataFrame:
-    return close_ranges(history, "customer_id").select(*SCD_COLUMNS)
+    """Closes the ranges. Given a history built with `keep_bucket=True` the
+    whole chain stays on one exchange (a plain history works too)."""
+    bucket = BUCKET if BUCKET in history.columns else None
+    return close_ranges(history, "customer_id", bucket=bucket).select(*SCD_COLUMNS)
 
 
 def int_invoice_resolved(stg_invoices: DataFrame, scd: DataFrame,

@@ -79,8 +79,10 @@ class Warehouse:
 
     @cached_property
     def int_customer_scd(self) -> DataFrame:
-        return self._shared(marts.int_customer_scd(self.int_customer_history),
-                            "int_customer_scd")
+        # built from the history with its NULL-key bucket kept, so the lag,
+        # running sum, island grouping and lead share one exchange
+        history = marts.int_customer_history(self.stg_customers, keep_bucket=True)
+        return self._shared(marts.int_customer_scd(history), "int_customer_scd")
 
     @cached_property
     def int_invoice_resolved(self) -> DataFrame:
