@@ -138,3 +138,35 @@ def test_csv_round_trip_gives_the_same_marts(spark):
     fa = a.fact_usage_daily.select("customer_key", "event_date", "event_count")
     fb = b.fact_usage_daily.select(F.col("customer_key"), "event_date", "event_count")
     assert fa.exceptAll(fb).count() == 0 and fa.count() == 389
+
+
+def test_checkpoint_folder_comes_from_the_session_on_a_cluster():
+    """A cluster master with no spark.checkpoint.dir is refused rather than
+    given a machine-local folder; a set value is used as is."""
+    import pytest
+    from tidemark import session
+
+    class Conf(dict):
+        def get(self, k, default=None):
+            return dict.get(self, k, default)
+
+    class Ctx:
+        def __init__(self, master, conf):
+            self.master, self._conf = master, conf
+
+        def getConf(self):
+            return self._conf
+
+        def getCheckpointDir(self):
+            return None
+
+    class Spark:
+        def __init__(self, master, conf):
+            self.sparkContext = Ctx(master, Conf(conf))
+            self.conf = Conf(conf)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Spark("yarn", {}))
+    shared = "hdfs:///shared/ckpt"
+    assert session.ensure_checkpoint_dir(
+        Spark("yarn", {"spark.checkpoint.dir": shared})) == shared

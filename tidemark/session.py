@@ -53,6 +53,16 @@ def _context(spark: SparkSession):
         return None
 
 
+def _master(spark: SparkSession) -> str | None:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.master
+    try:
+        return spark.conf.get("spark.master", None)
+    except Exception:  # noqa: BLE001 - not readable under some Connect servers
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str | None:
     """The shared folder the cluster names in `spark.checkpoint.dir`, if any."""
     value = None
@@ -71,7 +81,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder; create a private one only when none is set.
 
     On a cluster the setting is always present and is used as is. The local
-    fallback exists for tests and single-machine runs.
+    fallback exists for tests and single-machine runs; on any other master a
+    missing setting is an error, since a machine-local folder is not shared
+    by the executors.
     """
     root = checkpoint_root(spark)
     if root:
@@ -80,6 +92,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir() if sc is not None else None
     if existing:
         return existing
+    master = _master(spark)
+    if master is not None and not master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: name a folder shared by all executors "
+            "(e.g. --conf spark.checkpoint.dir=hdfs:///...) for the shared intermediates")
     root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(root)
