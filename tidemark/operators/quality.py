@@ -141,7 +141,8 @@ def daily_counts(df: DataFrame, day: str, day_expr: Column | None = None,
 def volume_zscore(counts: DataFrame, day: str = "snapshot_date",
                   z_threshold: float = 2.0) -> DataFrame:
     """Leave-one-out z-score of each day's row count against all OTHER days
-    (population std). The totals enter as scalar subqueries; the variance
+    (population std). The totals enter as one scalar subquery (a struct, so
+    the daily counts are aggregated once for all three); the variance
     is computed exactly in decimal, n^2 * var = n(S2 - x^2) - (S1 - x)^2 with
     n = N - 1, so a constant baseline is recognised exactly: then z is 0 for
     an equal day, +999 above and -999 below. With one day there is no
@@ -149,11 +150,10 @@ def volume_zscore(counts: DataFrame, day: str = "snapshot_date",
     """
     dec = "decimal(38,0)"
     x = F.col("row_count").cast(dec)
-    totals = counts.agg(F.count(F.lit(1)).alias("N"),
-                        F.sum(x).cast(dec).alias("S1"), F.sum(x * x).cast(dec).alias("S2"))
-    N = totals.select("N").scalar()
-    S1 = totals.select("S1").scalar()
-    S2 = totals.select("S2").scalar()
+    totals = counts.agg(F.struct(F.count(F.lit(1)).alias("N"),
+                                 F.sum(x).cast(dec).alias("S1"),
+                                 F.sum(x * x).cast(dec).alias("S2"))).scalar()
+    N, S1, S2 = totals["N"], totals["S1"], totals["S2"]
     n = (N - 1).cast(dec)
     rest = S1 - x
     var_n2 = (n * (S2 - x * x) - rest * rest).cast(dec)
