@@ -170,3 +170,18 @@ def test_checkpoint_folder_comes_from_the_session_on_a_cluster():
     shared = "hdfs:///shared/ckpt"
     assert session.ensure_checkpoint_dir(
         Spark("yarn", {"spark.checkpoint.dir": shared})) == shared
+
+
+def test_run_drops_its_intermediates_unless_asked(spark):
+    """The shared intermediates exist for the run only; the marts stay."""
+    from tidemark.session import run_folder
+    sources = testviews.load_sources(spark, SF_SMALL)
+    out = tempfile.mkdtemp(prefix="tidemark-marts-")
+    paths = run(spark, sources, out, run_id="drop-me", with_checks=False, persist_raw=False)
+    assert not os.path.exists(run_folder(spark, "drop-me"))
+    assert spark.read.parquet(paths["dim_customer"]).count() > 0
+    out = tempfile.mkdtemp(prefix="tidemark-marts-")
+    run(spark, sources, out, run_id="keep-me", with_checks=False, persist_raw=False,
+        keep_intermediates=True)
+    kept = run_folder(spark, "keep-me")
+    assert sorted(os.listdir(kept)) == ["int_customer_scd", "int_invoice_resolved"]

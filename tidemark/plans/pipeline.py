@@ -17,6 +17,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans import marts, staging
+from tidemark.session import drop_run_folder
 from tidemark.session import materialize as write_and_reread
 from tidemark.sources import testviews
 
@@ -149,7 +150,8 @@ class _Written(dict):
 
 def run(spark: SparkSession, sources: dict[str, DataFrame], out_dir: str,
         run_id: str | None = None, with_checks: bool = True, persist_raw: bool = True,
-        z_threshold: float = 2.0, warn_threshold: float = 0.05) -> dict[str, str]:
+        z_threshold: float = 2.0, warn_threshold: float = 0.05,
+        keep_intermediates: bool = False) -> dict[str, str]:
     """The nightly job. Writes under `out_dir`:
 
     * `raw/<source>`: each source landed once as Parquet (full refresh), so
@@ -162,6 +164,10 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], out_dir: str,
     * `dq_report`: the health report (snapshot volume z-score on the raw
       CRM rows + invoice quarantine rate) as one JSON document.
 
+    The shared intermediates live under `spark.checkpoint.dir` for the run
+    only and are deleted when it ends (`keep_intermediates=True` keeps them),
+    so nightly runs do not pile up copies of the resolved invoices.
+
     Returns the paths by name.
     """
     from tidemark.operators import quality
@@ -180,17 +186,24 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], out_dir: str,
         paths["_load_summary"] = f"{root}/_load_summary"
         load_summary(sources).write.mode("overwrite").parquet(paths["_load_summary"])
     wh = Warehouse(spark, sources, materialize=True, run_id=run_id)
-    for name in MART_MODELS:
-        path = f"{root}/{name}"
-        wh.model(name).write.mode("overwrite").parquet(path)
-        paths[name] = path
-    written = _Written({n: spark.read.parquet(paths[n]) for n in MART_MODELS}, wh)
-    if with_checks:
-        paths["_checks"] = f"{root}/_checks"
-        declared.all_checks(written).write.mode("overwrite").parquet(paths["_checks"])
-        report = quality.health_report_nested(
-            sources["crm_customers"], written["fact_invoice"], written["fact_invoice_rejected"],
-            z_threshold=z_threshold, warn_threshold=warn_threshold)
-        paths["dq_report"] = f"{root}/dq_report"
-        write_json_report(report, paths["dq_report"])
+    try:
+        for name in MART_MODELS:
+            path = f"{root}/{name}"
+            wh.model(name).write.mode("overwrite").parquet(path)
+            paths[name] = path
+        # checks and report read the written marts (and lazy staging models),
+        # never the intermediates
+        written = _Written({n: spark.read.parquet(paths[n]) for n in MART_MODELS}, wh)
+        if with_checks:
+            paths["_checks"] = f"{root}/_checks"
+            declared.all_checks(written).write.mode("overwrite").parquet(paths["_checks"])
+            report = quality.health_report_nested(
+                sources["crm_customers"], written["fact_invoice"],
+                written["fact_invoice_rejected"],
+                z_threshold=z_threshold, warn_threshold=warn_threshold)
+            paths["dq_report"] = f"{root}/dq_report"
+            write_json_report(report, paths["dq_report"])
+    finally:
+        if not keep_intermediates:
+            drop_run_folder(spark, wh.run_id)
     return paths

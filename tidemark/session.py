@@ -103,10 +103,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return root
 
 
+def run_folder(spark: SparkSession, run_id: str) -> str:
+    """Where `materialize` writes the intermediates of one run."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemark/{run_id}"
+
+
 def materialize(df: DataFrame, name: str, run_id: str | None = None) -> DataFrame:
     """Write `df` once as Parquet under the checkpoint folder and re-read it."""
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/tidemark/{run_id or uuid.uuid4().hex}/{name}"
+    path = f"{run_folder(spark, run_id or uuid.uuid4().hex)}/{name}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def drop_run_folder(spark: SparkSession, run_id: str) -> bool:
+    """Delete the intermediates `materialize` wrote for `run_id`, through the
+    Hadoop FileSystem of the folder (any shared store the cluster names).
+    Returns False when the session has no JVM handle (Spark Connect); the
+    folder is then left to the store's retention."""
+    sc = _context(spark)
+    if sc is None:
+        return False
+    jvm = sc._jvm
+    path = jvm.org.apache.hadoop.fs.Path(run_folder(spark, run_id))
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    return bool(fs.delete(path, True))
