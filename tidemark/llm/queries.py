@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe
+from tidemark.llm import bpe, chat, html_extract, token_counts, url_rules, warc
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,3 +36,104 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     token count and the digests of the ids and of the decoded bytes."""
     path, pattern = tokenizer()
     return bpe.round_trip(table(spark, sf_dir, "documents"), "doc_id", "text", path, pattern)
+
+
+@register("op2_html")
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+END_OF_DOCUMENT = 50256  # the id that the vocabulary leaves free
+
+
+@register("op3_token_counts")
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`documents` written as flat token files; every document's token count
+    found by scanning them for the end-of-document identifier."""
+    path, pattern = tokenizer()
+    return token_counts.token_counts(spark, table(spark, sf_dir, "documents"), "doc_id", "text",
+                                     path, pattern, END_OF_DOCUMENT)
+
+
+# A user and an assistant row that say control strings.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+@register("op7_chat", sql="""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+  SELECT *, length(role) + length(text)
+    + list_sum(list_transform(['\\', '<s>', '</s>', '[INST]', '[/INST]'], lambda w:
+        (length(role) - length(replace(role, w, ''))) / length(w)
+        + (length(text) - length(replace(text, w, ''))) / length(w))) AS chars
+  FROM c)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text))
+    AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+    FILTER (role = 'assistant'), '')) AS loss_sha256,
+  (3 + sum(chars + 7 + 8 + 4))::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+""")
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one that says control strings, formatted and
+    read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.createDataFrame(
+        [(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)],
+        "conv_id long, turn long, role string, text string")
+    return chat.digest_conversations(rows.unionByName(control))
+
+
+@register("op9_warc", sql="""
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+    sha1(coalesce(html, '')) AS hex,
+    min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id FROM pages),
+d AS (
+  SELECT *, list_aggregate(list_transform(range(0, 32), lambda i:
+      substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        ((('0x' || substr(hex, (i // 4 * 5 + 1)::INT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31)
+        + 1, 1)), 'string_agg', '') AS payload_digest
+  FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM d
+""")
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A WARC record per page in ZIP packages, read back by ranges."""
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
+             ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+@register("op10_url_rules", sql="""
+WITH u AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0
+    THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+s AS (
+  SELECT page_id,
+    translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+r(rule_host, rule_path, v) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+  ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+m AS (
+  SELECT s.*, rule_host || rule_path AS rule, v, row_number() OVER (PARTITION BY page_id
+    ORDER BY length(rule_host) DESC NULLS LAST, length(rule_path) DESC) AS k
+  FROM s LEFT JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host))
+    AND starts_with(path, rule_path))
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM m WHERE k = 1
+""")
+def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by the rules."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_rules.apply_rules(spark, table(spark, sf_dir, "pages"), rules)
