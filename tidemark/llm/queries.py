@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, chat, html_extract, token_counts, url_rules, warc
+from tidemark.llm import bpe, chat, html_extract, jaccard, token_counts, url_rules, warc
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,33 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      path, pattern, END_OF_DOCUMENT)
 
 
+@register("op6_jaccard", sql=r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(words) < 5 THEN array_to_string(words, ' ')
+    ELSE array_to_string(words[i:i + 4], ' ') END AS gram
+  FROM w, unnest(range(1, greatest(len(words) - 4, 1) + 1)) t(i) WHERE len(words) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (gram)
+  WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+  WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
+reach(doc, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT l.y, r.other FROM reach r JOIN links l ON l.x = r.doc),
+c AS (SELECT doc, min(other) AS component_id FROM reach GROUP BY doc)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id
+FROM documents d JOIN c ON c.doc = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+""")
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of `documents` that share 80 % of their 5-word shingles."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 # A user and an assistant row that say control strings.
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
