@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, chat, html_extract, jaccard, token_counts, url_rules, warc
+from tidemark.llm import (
+    bpe, chat, decontaminate, html_extract, jaccard, token_counts, url_rules, warc)
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,6 +118,13 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest_conversations(rows.unionByName(control))
 
 
+@register("op8_decontaminate")
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of `documents` within the edit budget of a `benchmark` item."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"),
+                               table(spark, sf_dir, "benchmark"))
+
+
 @register("op9_warc", sql="""
 WITH p AS (
   SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
