@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
-    bpe, chat, decontaminate, html_extract, jaccard, token_counts, url_rules, warc)
+    ann, bpe, chat, decontaminate, html_extract, jaccard, token_counts, url_rules, warc)
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,12 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      path, pattern, END_OF_DOCUMENT)
 
 
+@register("op4_ann")
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest found of every vector whose id is divisible by 50."""
+    return ann.search(spark, table(spark, sf_dir, "embeddings"), "id % 50 = 0")
+
+
 @register("op6_jaccard", sql=r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
