@@ -1,28 +1,54 @@
-"""The training-data pipeline over `documents`, as stages that are each
-written as Parquet and read again."""
+"""The training-data pipeline over `documents`: stages that are each written as
+Parquet and read again."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe
-from tidemark.llm.common import persist, table
+from tidemark.llm import bpe, decontaminate, jaccard, quality
+from tidemark.llm.common import anti_join, persist, table
 from tidemark.llm.queries import tokenizer
 
 
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality.kept(spark, docs, table(spark, sf_dir, "labels"))
+
+
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near duplicates the document of the smallest id
+    stays. Documents without words are no duplicates and stay."""
+    found = jaccard.near_duplicates(docs)
+    copies = persist(found.filter("doc_id <> component_id").select("doc_id"), "near-copies")
+    return anti_join(docs, "doc_id", copies, "doc_id")
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-level BPE ids of what is left."""
+    """Byte-level BPE ids of what is left, without the texts."""
     path, pattern = tokenizer()
-    return bpe.encode(docs, "text", path, pattern, "token_ids")
+    encoded = bpe.encode(docs.select("doc_id", "text", "lang", "source"), "text", path, pattern)
+    return encoded.selectExpr("doc_id", "lang", "source", "size(token_ids) AS n_tokens",
+                              "token_ids")
 
 
-STAGES = [("bpe_encoding", encode_tokens)]
+STAGES = [("quality_classifier", keep_quality),
+          ("ngram_jaccard_join", keep_one_of_near_copies),
+          ("benchmark_decontamination", drop_benchmark_leaks),
+          ("bpe_encoding", encode_tokens)]
 
+# SQL has neither the language model, nor aligned edits, nor byte pair merges:
+# tests/llm holds run() against a brute-force version instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stage on all that the one before kept."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = persist(stage(spark, docs, sf_dir), name)
+        docs = persist(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
-    ann, bpe, chat, decontaminate, html_extract, jaccard, token_counts, url_rules, warc)
+    ann, bpe, chat, decontaminate, html_extract, jaccard, quality, token_counts, url_rules, warc)
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,15 @@ def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(spark, table(spark, sf_dir, "embeddings"), "id % 50 = 0")
 
 
+@register("op5_quality")
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that the quality classifier keeps, with their perplexity
+    and the threshold of their language."""
+    judged = quality.classify(spark, table(spark, sf_dir, "documents"),
+                              table(spark, sf_dir, "labels"))
+    return judged.filter("keep").withColumnRenamed("id", "doc_id")
+
+
 @register("op6_jaccard", sql=r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
