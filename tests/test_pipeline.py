@@ -18,7 +18,7 @@ from tidemark.sources import extracts, testviews
 @pytest.fixture(scope="module")
 def built(spark):
     out = tempfile.mkdtemp(prefix="tidemark-marts-")
-    paths = run(spark, testviews.load_sources(spark, SF_SMALL), out)
+    paths = run(spark, testviews.load_sources(spark, SF_SMALL), out, gate=False)
     built = {k: spark.read.parquet(v) for k, v in paths.items() if k != "dq_report"}
     assert {r.table_name: r.row_count for r in built["_load_summary"].collect()} == \
         {"plans": 5, "crm_customers": 4371, "invoices": 1530, "usage_events": 1000}
@@ -184,4 +184,119 @@ def test_run_drops_its_intermediates_unless_asked(spark):
     run(spark, sources, out, run_id="keep-me", with_checks=False, persist_raw=False,
         keep_intermediates=True)
     kept = run_folder(spark, "keep-me")
-    assert sorted(os.listdir(kept)) == ["int_customer_scd", "int_invoice_resolved"]
+    assert os.listdir(kept) == ["int_invoice_resolved"]
+
+
+def clean_sources(spark):
+    """The test views with the segment and tier names of the declared lists."""
+    src = testviews.load_sources(spark, SF_SMALL)
+    src["plans"] = src["plans"].withColumn("tier", F.lit("growth"))
+    src["crm_customers"] = src["crm_customers"].withColumn(
+        "segment", F.when(F.col("segment") == "SWITCHED", "SMB").otherwise("Enterprise"))
+    return src
+
+
+def test_a_failing_test_stops_the_run_before_it_is_published(spark):
+    from tidemark.plans.pipeline import ChecksFailed, published
+    out = tempfile.mkdtemp(prefix="tidemark-gate-")
+    first = run(spark, clean_sources(spark), out, calendar=("2024-01-01", "2024-01-31"))
+    assert published(spark, out) == first
+    assert spark.read.parquet(first["dim_date"]).count() == 31
+    assert spark.read.parquet(first["_checks"]).where("not passed").count() == 0
+    with pytest.raises(ChecksFailed) as failed:
+        run(spark, testviews.load_sources(spark, SF_SMALL), out)
+    # the dimension's own tests stop the run before anything is built on it
+    assert [(r["model"], r["column_name"]) for r in failed.value.failed] == [
+        ("dim_customer", "segment")]
+    assert published(spark, out) == first
+    assert spark.read.parquet(first["mrr_monthly"]).count() > 0
+    runs = os.listdir(os.path.join(out, "runs"))
+    assert len(runs) == 2
+
+
+def test_a_run_broken_half_way_leaves_the_published_one(spark):
+    from tidemark.plans.pipeline import published
+    out = tempfile.mkdtemp(prefix="tidemark-broken-")
+    first = run(spark, clean_sources(spark), out, with_checks=False, persist_raw=False)
+    broken = clean_sources(spark)
+    broken["usage_events"] = broken["usage_events"].withColumn(
+        "feature_used", F.raise_error(F.lit("the disk is gone")).cast("string")).withColumn(
+        "event_type", F.coalesce("feature_used", "event_type"))
+    with pytest.raises(Exception, match="the disk is gone"):
+        run(spark, broken, out, with_checks=False, persist_raw=False)
+    assert published(spark, out) == first
+    assert spark.read.parquet(first["fact_usage_daily"]).count() == 389
+
+
+def test_facts_lie_by_month(spark, built):
+    fact = built["fact_invoice"]
+    assert "invoice_month_part" in fact.columns
+    months = fact.groupBy("invoice_month_part").count().count()
+    assert months == fact.selectExpr("date_trunc('month', invoice_date)").distinct().count()
+
+
+CSV = """a,b,c
+1,"Foo ""Bar"", Inc",x
+2,"line
+one",y
+3,short
+4,too,many,fields
+5,,""
+"""
+
+
+def csv_extract(spark, folder, text=CSV, **options):
+    from pyspark.sql import types as T
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, "one.csv"), "w") as f:
+        f.write(text)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in "abc"])
+    return extracts.read_extract(spark, folder + "/*.csv", schema, **options)
+
+
+def test_csv_keeps_quotes_and_line_ends_and_refuses_ragged_rows(spark, tmp_path):
+    df = csv_extract(spark, str(tmp_path / "x"))
+    good = extracts.good_rows(df, "x", "reject")
+    assert sorted(tuple(r) for r in good.collect()) == [
+        ("1", 'Foo "Bar", Inc', "x"), ("2", "line\none", "y"), ("5", None, None)]
+    assert sorted(tuple(r) for r in extracts.rejects({"x": df}).collect()) == [
+        ("x", "3,short"), ("x", "4,too,many,fields")]
+    assert good.count() == 3   # and with every column pruned
+    with pytest.raises(Exception, match="malformed row in extract x"):
+        extracts.good_rows(df, "x").collect()
+    with pytest.raises(Exception, match="malformed row in extract x"):
+        extracts.good_rows(df, "x").select("a").collect()
+
+
+def test_csv_in_single_lines_refuses_quoted_line_ends(spark, tmp_path):
+    df = csv_extract(spark, str(tmp_path / "x"), multi_line=False)
+    good = extracts.good_rows(df, "x", "reject")
+    assert sorted(r.a for r in good.collect()) == ["1", "5"]
+    assert extracts.rejects({"x": df}).count() == 4
+
+
+def test_csv_header_is_checked(spark, tmp_path):
+    with pytest.raises(Exception, match="(?i)header"):
+        csv_extract(spark, str(tmp_path / "x"), "a,c,b\n1,2,3\n").collect()
+
+
+def test_rejects_are_written_with_the_run(spark):
+    out = tempfile.mkdtemp(prefix="tidemark-rejects-")
+    rejects = spark.createDataFrame([("invoices", "1,2")], "table_name string, record string")
+    paths = run(spark, clean_sources(spark), out, with_checks=False, rejects=rejects)
+    assert spark.read.parquet(paths["_rejects"]).count() == 1
+
+
+def test_command_line_says_what_failed(spark, capsys):
+    from tidemark.__main__ import main
+    out = tempfile.mkdtemp(prefix="tidemark-cli-")
+    assert main(["run", "--testdata", SF_SMALL, "--out", out]) == 1
+    said = json.loads(capsys.readouterr().out.strip().split("\n")[-1])
+    assert said["published"] is False and said["failed_checks"][0]["column_name"] == "segment"
+    assert main(["run", "--testdata", SF_SMALL, "--out", out, "--no-gate"]) == 0
+
+
+def test_lazy_revenue_has_one_version_chain(spark):
+    from conftest import plan_text
+    plan = plan_text(Warehouse.from_testdata(spark, SF_SMALL).mrr_monthly)
+    assert plan.count("Window [lag(") == 1

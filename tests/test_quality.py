@@ -141,3 +141,51 @@ def test_calendar_filled_counts_expose_a_missing_day(spark):
     out = {r.snapshot_date: r for r in filled.collect()}
     assert len(out) == 14 and out[d("2026-08-07")].row_count == 0
     assert out[d("2026-08-07")].is_anomaly and out[d("2026-08-07")].z_score == -999.0
+
+
+def overlap_rows(spark, rows):
+    df = spark.createDataFrame(rows, "customer_id string, version_id long, valid_from date,"
+                                     " valid_to date")
+    return sorted((r.customer_id, r.version_a, r.version_b)
+                  for r in quality.assert_no_scd_overlap(df).collect())
+
+
+def test_every_overlapping_version_is_named(spark):
+    rows = [("C", 1, d("2026-01-01"), d("2026-01-31")), ("C", 2, d("2026-01-05"), d("2026-01-06")),
+            ("C", 3, d("2026-01-10"), d("2026-01-12"))]
+    assert overlap_rows(spark, rows) == [("C", 1, 2), ("C", 1, 3)]
+
+
+def test_rows_of_one_version_do_not_overlap(spark):
+    rows = [("C", 1, d("2026-01-01"), d("2026-01-31")), ("C", 1, d("2026-01-05"), None)]
+    assert overlap_rows(spark, rows) == []
+    rows += [("C", 2, d("2026-01-20"), None)]
+    assert overlap_rows(spark, rows) == [("C", 1, 2)]
+
+
+def test_overlaps_are_those_of_all_pairs(spark):
+    import random
+    rng = random.Random(8)
+    rows = []
+    for key in range(120):
+        for _ in range(rng.randint(1, 7)):
+            start = rng.randint(1, 25)
+            end = rng.choice([None, start + rng.randint(0, 6), start + rng.randint(0, 6)])
+            rows.append((f"K{key}", rng.randint(1, 3), d(f"2026-01-{start:02d}"),
+                         None if end is None else d(f"2026-01-{min(end, 31):02d}")))
+
+    def end(r):
+        return r[3] or d("9999-12-31")
+
+    def order(r):
+        return (r[2], r[1], end(r))
+
+    want = {}
+    for b in rows:
+        hit = any(a[0] == b[0] and a[1] != b[1] and a[2] <= end(b) and b[2] <= end(a)
+                  and order(a) < order(b) for a in rows)
+        want[b[0]] = want.get(b[0], 0) + hit
+    got = {}
+    for key, _, _ in overlap_rows(spark, rows):
+        got[key] = got.get(key, 0) + 1
+    assert got == {k: n for k, n in want.items() if n}

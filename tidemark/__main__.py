@@ -5,7 +5,9 @@
     python -m tidemark query NAME --testdata SF_DIR [--out DIR]
     python -m tidemark list
 
-`run` prints a JSON summary: written paths, failed checks, overall status.
+`run` prints a JSON summary: written paths, failed checks, overall status. It
+exits with 1, and publishes nothing, if a declared test fails (`--no-gate`
+publishes anyway and exits with 0).
 The master and every other setting come from spark-submit / the session
 defaults unless `--master` is given.
 """
@@ -37,11 +39,15 @@ def _default_session():
 
 
 def _sources(spark, args):
-    if args.extracts:
-        from tidemark.sources.extracts import read_sources
-        return read_sources(spark, args.extracts)
-    from tidemark.sources.testviews import load_sources
-    return load_sources(spark, args.testdata)
+    """The sources, and the malformed rows that were left out of them."""
+    if not args.extracts:
+        from tidemark.sources.testviews import load_sources
+        return load_sources(spark, args.testdata), None
+    from tidemark.sources import extracts
+    read = extracts.read_extracts(spark, args.extracts,
+                                  {name: False for name in args.single_line})
+    good = {name: extracts.good_rows(df, name, args.on_malformed) for name, df in read.items()}
+    return good, extracts.rejects(read) if args.on_malformed == "reject" else None
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -56,6 +62,16 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--master")
     r.add_argument("--z-threshold", type=float, default=2.0)
     r.add_argument("--warn-threshold", type=float, default=0.05)
+    r.add_argument("--no-gate", action="store_true", help="publish whatever the tests say")
+    r.add_argument("--on-malformed", choices=("fail", "reject"), default="fail",
+                   help="stop at a malformed CSV row, or write it to _rejects")
+    r.add_argument("--single-line", action="append", default=[], metavar="SOURCE",
+                   help="an extract without quoted line ends, to be read in splits")
+    r.add_argument("--calendar", nargs=2, metavar=("FIRST", "LAST"), help="days of dim_date")
+    r.add_argument("--null-safe", action="store_true",
+                   help="a change to or from NULL opens a version")
+    r.add_argument("--fill-calendar", action="store_true",
+                   help="days without snapshot rows count as 0 in the volume check")
     q = sub.add_parser("query", help="run one registered query")
     q.add_argument("name")
     q.add_argument("--testdata", required=True)
@@ -81,17 +97,24 @@ def main(argv: list[str] | None = None) -> int:
 
     from pyspark.sql import functions as F
 
-    from tidemark.plans.pipeline import run
-    paths = run(spark, _sources(spark, args), args.out,
-                z_threshold=args.z_threshold, warn_threshold=args.warn_threshold)
+    from tidemark.plans.pipeline import ChecksFailed, run
+    sources, rejects = _sources(spark, args)
+    try:
+        paths = run(spark, sources, args.out, z_threshold=args.z_threshold,
+                    warn_threshold=args.warn_threshold, gate=not args.no_gate,
+                    calendar=tuple(args.calendar) if args.calendar else None,
+                    null_safe=args.null_safe, fill_calendar=args.fill_calendar, rejects=rejects)
+    except ChecksFailed as e:
+        print(json.dumps({"published": False, "failed_checks": e.failed, "checks": e.path}))
+        return 1
     # one row per declared test: 32 rows at most
     failed = [r.asDict() for r in spark.read.parquet(paths["_checks"])
               .where(~F.col("passed")).drop("passed").collect()]
     status = spark.read.json(paths["dq_report"]).select("overall_status").first()[0]
     loaded = {r.table_name: r.row_count
               for r in spark.read.parquet(paths["_load_summary"]).collect()}   # 4 rows
-    print(json.dumps({"loaded": loaded, "paths": paths, "failed_checks": failed,
-                      "overall_status": status}))
+    print(json.dumps({"published": True, "loaded": loaded, "paths": paths,
+                      "failed_checks": failed, "overall_status": status}))
     return 0
 
 

@@ -66,6 +66,28 @@ def expect_accepted_values(df: DataFrame, column: str, values: list[str],
                 F.col("values"), F.coalesce(F.col("rows"), F.lit(0)))
 
 
+def row_level_checks(df: DataFrame, model: str, counts: dict[tuple[str, str], Column],
+                     accepted: dict[str, list[str]] | None = None) -> DataFrame:
+    """Several row-level tests of one model in one aggregate. counts: offending
+    rows by (check, column); accepted: allowed values by column (their failures
+    are distinct values, counted as a set of at most those that offend)."""
+    accepted = accepted or {}
+    totals = [F.count_if(c).alias(f"c{i}") for i, c in enumerate(counts.values())]
+    for i, (column, values) in enumerate(accepted.items()):
+        bad = F.col(column).isNotNull() & ~F.col(column).isin(*values)
+        totals += [F.count_distinct(F.when(bad, F.col(column))).alias(f"v{i}"),
+                   F.count_if(bad).alias(f"r{i}")]
+    rows = [F.struct(F.lit(check).alias("check_name"), F.lit(model).alias("model"),
+                     F.lit(column).alias("column_name"), F.col(f"c{i}").alias("failures"),
+                     F.col(f"c{i}").alias("failing_rows"))
+            for i, (check, column) in enumerate(counts)]
+    rows += [F.struct(F.lit("accepted_values").alias("check_name"), F.lit(model).alias("model"),
+                      F.lit(column).alias("column_name"), F.col(f"v{i}").alias("failures"),
+                      F.col(f"r{i}").alias("failing_rows"))
+             for i, column in enumerate(accepted)]
+    return df.agg(*totals).select(F.inline(F.array(*rows)))
+
+
 def expect_relationships(child: DataFrame, column: str, parent: DataFrame, field: str,
                          model: str) -> DataFrame:
     """Every non-NULL child key exists in the parent (left anti join)."""
@@ -81,34 +103,67 @@ def expect_relationships(child: DataFrame, column: str, parent: DataFrame, field
 def assert_no_scd_overlap(dim: DataFrame, key: str = "customer_id",
                           version: str = "version_id", valid_from: str = "valid_from",
                           valid_to: str = "valid_to") -> DataFrame:
-    """Versions of one key whose [valid_from, valid_to] ranges overlap.
-
-    Ranges sorted by start overlap somewhere iff some neighbour pair
-    overlaps (if i < j overlap, so do i and i+1), so each version is compared
-    with its successor only: one sort per key and no pairing of every version
-    with every other. Zero rows exactly when the pairwise test finds none;
-    on failure each reported row is one overlapping neighbour pair.
+    """Versions of one key whose [valid_from, valid_to] ranges overlap those of
+    another version.
+
+    Rows of a key are taken in the order of (valid_from, version). A row whose
+    range begins before an earlier row of another version has ended overlaps it,
+    and every overlapping pair has a later row; so one running maximum of range
+    ends finds every offending version. The result has one row per offending
+    row, with the earlier one of the latest end (`a` is the smaller version):
+    linear in the dimension, one sort per key, zero rows exactly when no two
+    versions overlap.
+
+    Rows of one version do not offend each other: where the row of the latest
+    end is of the same version, the latest of the other versions counts. That
+    is the greatest "loser" so far, a loser being, at each row of another version
+    than the leader's, the one of the two that ends first.
+
+    NULL keys, versions or starts compare as unknown and a range that ends
+    before it begins holds no day: they are left out, which also keeps a large
+    NULL group out of one window partition.
     """
-    w = Window.partitionBy(key).orderBy(valid_from, version)
     end = F.coalesce(F.col(valid_to), F.lit(OPEN_END).cast("date"))
-    # NULL keys never pair (`a.key = b.key` is unknown): leave them out, which
-    # also keeps a large NULL group out of one window partition
-    nxt = dim.where(F.col(key).isNotNull()).select(
-        key, F.col(version).alias("v1"), F.col(valid_from).alias("f1"), F.col(valid_to).alias("t1"),
-        F.lead(version).over(w).alias("v2"), F.lead(valid_from).over(w).alias("f2"),
-        F.lead(valid_to).over(w).alias("t2"), end.alias("_end"))
-    hits = nxt.where(F.col("v2").isNotNull() & (F.col("f2") <= F.col("_end")))
-    first = F.col("v1") <= F.col("v2")
-    pick = lambda a, b: F.when(first, F.col(a)).otherwise(F.col(b))
-    return hits.select(key, pick("v1", "v2").alias("version_a"),
-                       pick("f1", "f2").alias("a_valid_from"), pick("t1", "t2").alias("a_valid_to"),
-                       pick("v2", "v1").alias("version_b"),
-                       pick("f2", "f1").alias("b_valid_from"), pick("t2", "t1").alias("b_valid_to"))
+    ranges = dim.where(F.col(key).isNotNull() & F.col(version).isNotNull()
+                       & F.col(valid_from).isNotNull() & (F.col(valid_from) <= end)).select(
+        key, F.struct(end.alias("end"), F.col(version).alias("version"),
+                      F.col(valid_from).alias("valid_from"),
+                      F.col(valid_to).alias("valid_to")).alias("own"))
+    order = Window.partitionBy(key).orderBy("own.valid_from", "own.version", "own.end")
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    led = ranges.withColumn("leader", F.max("own").over(earlier))
+    other = F.col("leader").isNotNull() & (F.col("leader.version") != F.col("own.version"))
+    led = led.withColumn("loser", F.when(other, F.least("own", "leader")))
+    # Of losers that end together both ends of the order by version are kept:
+    # one of them is of another version than the row's.
+    second = F.max(F.col("loser")).over(earlier)
+    low = F.min(F.struct(-F.datediff(F.col("loser.end"), F.lit("1970-01-01").cast("date")),
+                         F.col("loser.version"), F.col("loser").alias("row"))).over(earlier)
+    led = led.withColumn("second", second).withColumn("low", F.when(second.isNotNull(), low["row"]))
+    found = led.withColumn("hit", F.when(other, F.col("leader")).when(
+        F.col("second.version") != F.col("own.version"), F.col("second")).when(
+        F.col("low.version") != F.col("own.version"), F.col("low")))
+    hits = found.where(F.col("hit").isNotNull() & (F.col("own.valid_from") <= F.col("hit.end")))
+    first = F.col("hit.version") < F.col("own.version")
+
+    def pick(name: str, small: bool) -> Column:
+        a, b = F.col(f"hit.{name}"), F.col(f"own.{name}")
+        return F.when(first, a if small else b).otherwise(b if small else a)
+
+    return hits.select(
+        key, pick("version", True).alias("version_a"),
+        pick("valid_from", True).alias("a_valid_from"), pick("valid_to", True).alias("a_valid_to"),
+        pick("version", False).alias("version_b"),
+        pick("valid_from", False).alias("b_valid_from"),
+        pick("valid_to", False).alias("b_valid_to"))
+
+
+def paid_negative() -> Column:
+    return (F.col("status_clean") == "paid") & (F.col("amount").isNull() | (F.col("amount") < 0))
 
 
 def assert_paid_non_negative(fact: DataFrame) -> DataFrame:
-    return fact.where((F.col("status_clean") == "paid")
-                      & (F.col("amount").isNull() | (F.col("amount") < 0)))
+    return fact.where(paid_negative())
 
 
 def assert_fact_resolved(fact: DataFrame) -> DataFrame:
@@ -237,10 +292,13 @@ def _one_row_concat(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def health_report_nested(snapshots_raw: DataFrame, fact: DataFrame, rejected: DataFrame,
                          z_threshold: float = 2.0, warn_threshold: float = 0.05,
-                         day: str = "snapshot_date") -> DataFrame:
+                         day: str = "snapshot_date", fill_calendar: bool = False) -> DataFrame:
     """The report shaped for the JSON sink: two sections, anomalies listed
-    (one entry per anomalous day: bounded by the calendar)."""
-    scored = volume_zscore(daily_counts(snapshots_raw, day), day, z_threshold)
+    (one entry per anomalous day: bounded by the calendar). `fill_calendar`:
+    see `daily_counts`; a day is then taken as a date."""
+    counts = daily_counts(snapshots_raw, day, F.col(day).cast("date") if fill_calendar else None,
+                          fill_calendar)
+    scored = volume_zscore(counts, day, z_threshold)
     anomalies = (scored.where("is_anomaly")
                  .agg(F.sort_array(F.collect_list(F.struct(
                      F.col(day).cast("string").alias("date"),

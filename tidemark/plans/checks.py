@@ -44,8 +44,20 @@ RELATIONSHIPS = [("fact_invoice", "customer_key", "dim_customer", "customer_key"
                  ("fact_usage_daily", "customer_key", "dim_customer", "customer_key")]
 
 
-def unique_checks(models: Mapping[str, DataFrame]) -> DataFrame:
-    return quality.union_all([quality.expect_unique(models[m], c, m) for m, c in UNIQUE])
+def unique_checks(models: Mapping[str, DataFrame], only=None) -> DataFrame:
+    return quality.union_all([quality.expect_unique(models[m], c, m) for m, c in UNIQUE
+                              if only is None or m in only])
+
+
+def row_checks(models: Mapping[str, DataFrame], model: str) -> DataFrame:
+    """All row-level tests of one model -- not_null, accepted_values and the two
+    row-level singular ones -- in one aggregate over it."""
+    counts = {("not_null", c): F.col(c).isNull() for c in NOT_NULL.get(model, [])}
+    if model == "fact_invoice":
+        counts["assert_paid_non_negative", ""] = quality.paid_negative()
+        counts["assert_fact_resolved", ""] = F.col("customer_key").isNull()
+    accepted = {c: values for m, c, values in ACCEPTED_VALUES if m == model}
+    return quality.row_level_checks(models[model], model, counts, accepted)
 
 
 def not_null_checks(models: Mapping[str, DataFrame]) -> DataFrame:
@@ -58,32 +70,36 @@ def accepted_values_checks(models: Mapping[str, DataFrame]) -> DataFrame:
                               for m, c, vals in ACCEPTED_VALUES])
 
 
-def relationship_checks(models: Mapping[str, DataFrame]) -> DataFrame:
+def relationship_checks(models: Mapping[str, DataFrame], only=None) -> DataFrame:
     return quality.union_all([
         quality.expect_relationships(models[m], c, models[pm], pf, m)
-        for m, c, pm, pf in RELATIONSHIPS])
-
-
-def singular_checks(models: Mapping[str, DataFrame]) -> DataFrame:
-    """The three invariants, one result row each (failures = offending rows)."""
-    asserts = [
-        ("assert_no_scd_overlap", "dim_customer",
-         quality.assert_no_scd_overlap(models["dim_customer"])),
-        ("assert_paid_non_negative", "fact_invoice",
-         quality.assert_paid_non_negative(models["fact_invoice"])),
-        ("assert_fact_resolved", "fact_invoice",
-         quality.assert_fact_resolved(models["fact_invoice"])),
-    ]
-    return quality.union_all([
-        rows.agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(name).alias("check_name"), F.lit(model).alias("model"),
-            F.lit("").alias("column_name"), F.col("n").alias("failures"),
-            F.col("n").alias("failing_rows"))
-        for name, model, rows in asserts])
+        for m, c, pm, pf in RELATIONSHIPS if only is None or m in only])
+
+
+def overlap_check(models: Mapping[str, DataFrame]) -> DataFrame:
+    rows = quality.assert_no_scd_overlap(models["dim_customer"])
+    return rows.agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("assert_no_scd_overlap").alias("check_name"), F.lit("dim_customer").alias("model"),
+        F.lit("").alias("column_name"), F.col("n").alias("failures"),
+        F.col("n").alias("failing_rows"))
+
+
+def model_checks(model: str | None, models: Mapping[str, DataFrame]) -> DataFrame:
+    """The declared tests of one mart, or (None) of the staging models, with a
+    `passed` flag. Row-level tests share one scan of their model; uniqueness,
+    relationships and the overlap check each need a shuffle of their own."""
+    names = [model] if model else [m for m in NOT_NULL if m.startswith("stg_")]
+    frames = [row_checks(models, m) for m in names if m in NOT_NULL]
+    if any(m in names for m, _ in UNIQUE):
+        frames.append(unique_checks(models, names))
+    if any(r[0] in names for r in RELATIONSHIPS):
+        frames.append(relationship_checks(models, names))
+    if "dim_customer" in names:
+        frames.append(overlap_check(models))
+    return quality.union_all(frames).withColumn("passed", F.col("failures") == 0)
 
 
 def all_checks(models: Mapping[str, DataFrame]) -> DataFrame:
     """Every declared test (29 generic + 3 singular) with a `passed` flag."""
-    frames = [unique_checks(models), not_null_checks(models), accepted_values_checks(models),
-              relationship_checks(models), singular_checks(models)]
-    return quality.union_all(frames).withColumn("passed", F.col("failures") == 0)
+    marts = [m for m in NOT_NULL if not m.startswith("stg_")]
+    return quality.union_all([model_checks(m, models) for m in (None, *marts)])

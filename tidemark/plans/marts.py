@@ -7,40 +7,42 @@ millions of events or invoices enters the join as a handful of rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import day_of_week_sunday0, half_up_div, month_start
-from tidemark.operators.scd import BUCKET, close_ranges, snapshot_versions
+from tidemark.operators.scd import IDENTITY, WIDE, close_ranges, snapshot_versions
 from tidemark.operators.temporal import classify_unresolved, temporal_join
 
 # SCD2 attribute roles of the CRM snapshot.
 CUSTOMER_TRACKED = ["plan_id", "region", "segment"]
 CUSTOMER_CARRIED = ["name", "email", "company", "signup_date"]
+# Fixed value: the status of an invoice whose amount is bad.
+FLAGGED = "flagged_for_review"
 SCD_COLUMNS = ["customer_key", "customer_id", "name", "email", "company", "plan_id",
                "region", "segment", "signup_date", "version_id", "valid_from",
                "valid_to", "is_current"]
 
 
 def int_customer_history(stg_customers: DataFrame, null_safe: bool = False,
-                         keep_bucket: bool = False) -> DataFrame:
+                         wide_rows: int | None = None, keep_helpers: bool = False) -> DataFrame:
     return snapshot_versions(stg_customers, "customer_id", CUSTOMER_TRACKED,
                              CUSTOMER_CARRIED, "snapshot_date", null_safe=null_safe,
-                             keep_bucket=keep_bucket)
+                             wide_rows=wide_rows, keep_helpers=keep_helpers)
 
 
 def int_customer_scd(history: DataFrame) -> DataFrame:
-    """Closes the ranges. Given a history built with `keep_bucket=True` the
+    """Closes the ranges. Given a history built with `keep_helpers=True` the
     whole chain stays on one exchange (a plain history works too)."""
-    bucket = BUCKET if BUCKET in history.columns else None
-    return close_ranges(history, "customer_id", bucket=bucket).select(*SCD_COLUMNS)
+    return close_ranges(history, "customer_id",
+                        identity=IDENTITY if IDENTITY in history.columns else None,
+                        wide=WIDE if WIDE in history.columns else None).select(*SCD_COLUMNS)
 
 
 def int_invoice_resolved(stg_invoices: DataFrame, scd: DataFrame,
-                         bucketed: bool = True, horizon: Column | None = None) -> DataFrame:
+                         exclusive: bool = True) -> DataFrame:
     return temporal_join(stg_invoices, scd, "customer_id", "invoice_date",
-                         ["customer_key"], how="left", bucketed=bucketed,
-                         horizon=horizon).select(
+                         ["customer_key"], how="left", exclusive=exclusive).select(
         "invoice_id", "customer_id", "plan_id", "invoice_date", "amount", "status",
         "has_bad_amount", "customer_key")
 
@@ -72,12 +74,6 @@ def dim_date(spark: SparkSession, start: str | Column, end: str | Column) -> Dat
     )
 
 
-def snapshot_horizon(stg_customers: DataFrame) -> Column:
-    """Last snapshot day (scalar subquery): every version starts on or
-    before it, so it bounds the open versions of the temporal join."""
-    return stg_customers.select(F.max("snapshot_date")).scalar()
-
-
 def calendar_bounds(stg_customers: DataFrame, days_before: int = 7,
                     days_after: int = 3) -> tuple[Column, Column]:
     """The pipeline window: first snapshot day minus a buffer for late
@@ -89,7 +85,7 @@ def calendar_bounds(stg_customers: DataFrame, days_before: int = 7,
 
 
 def fact_invoice(resolved: DataFrame) -> DataFrame:
-    status_clean = F.when(F.col("has_bad_amount"), F.lit("flagged_for_review")) \
+    status_clean = F.when(F.col("has_bad_amount"), F.lit(FLAGGED)) \
                     .otherwise(F.col("status"))
     return resolved.where(F.col("customer_key").isNotNull()).select(
         "invoice_id", "customer_key", "customer_id", "plan_id", "invoice_date",
@@ -105,7 +101,7 @@ def fact_invoice_rejected(resolved: DataFrame, scd: DataFrame) -> DataFrame:
 
 
 def fact_usage_daily(stg_usage_events: DataFrame, scd: DataFrame,
-                     bucketed: bool = True, horizon: Column | None = None) -> DataFrame:
+                     exclusive: bool = True) -> DataFrame:
     """Events per customer-version-day. The event day fixes the version, so
     events are first counted per (customer, day) and only those daily rows
     are joined to the dimension; events with no version are left out."""
@@ -116,7 +112,7 @@ def fact_usage_daily(stg_usage_events: DataFrame, scd: DataFrame,
         F.count_if(et == "login").alias("login_count"),
         F.count_if(et == "api_call").alias("api_call_count"))
     joined = temporal_join(daily, scd, "customer_id", "event_date", ["customer_key"],
-                           how="inner", bucketed=bucketed, horizon=horizon)
+                           how="inner", exclusive=exclusive)
     return joined.select("customer_id", "customer_key", "event_date", "event_count",
                          "distinct_event_types", "login_count", "api_call_count")
 
@@ -131,8 +127,33 @@ def mrr_monthly(fact: DataFrame, plans: DataFrame, customers: DataFrame) -> Data
     joined = (per_key
               .join(plans.select("plan_id", "plan_name", "tier"), "plan_id")
               .join(customers.select("customer_key", "segment"), "customer_key"))
+    return _mrr(joined)
+
+
+def _mrr(joined: DataFrame) -> DataFrame:
     agg = joined.groupBy("invoice_month", "plan_name", "tier", "segment").agg(
         F.count_distinct("customer_id").alias("paying_customers"),
         F.sum("amount").cast("decimal(38,2)").alias("mrr"))
     return (agg.withColumn("arpu", half_up_div(F.col("mrr"), F.col("paying_customers"), 2))
                .orderBy("invoice_month", "tier"))
+
+
+def mrr_from_invoices(stg_invoices: DataFrame, plans: DataFrame, scd: DataFrame,
+                      exclusive: bool = True) -> DataFrame:
+    """`mrr_monthly` straight from the typed invoices, with the SCD2 chain in the
+    plan once: the segments of all rows that share a customer key travel with
+    the version through the temporal join, instead of a second join with the
+    dimension by that key. (Rows share a key where a change that opens no
+    version split them; each of them counts.)"""
+    by_key = Window.partitionBy("customer_id", "version_id")
+    versions = scd.select("customer_id", "customer_key", "version_id", "valid_from", "valid_to",
+                          F.collect_list(F.struct("segment")).over(by_key).alias("segments"))
+    paid = stg_invoices.where(~F.col("has_bad_amount") & (F.col("status") == "paid"))
+    month = month_start("invoice_date").alias("invoice_month")
+    resolved = temporal_join(paid, versions, "customer_id", "invoice_date", ["segments"],
+                             how="inner", exclusive=exclusive)
+    per_key = resolved.groupBy("customer_id", month, "plan_id", "segments").agg(
+        F.sum("amount").alias("amount"))
+    joined = per_key.join(plans.select("plan_id", "plan_name", "tier"), "plan_id").withColumn(
+        "segment", F.explode("segments.segment"))
+    return _mrr(joined)

@@ -2,11 +2,11 @@
 marts, checks and reports out.
 
 `Warehouse` builds each model once as a DataFrame, in dependency order, on
-first use. With `materialize=True` the two relations that several models
-read -- the SCD2 dimension and the resolved invoices -- are written once under
-`spark.checkpoint.dir` and re-read (see `tidemark.session.materialize`);
-otherwise every model stays a lazy plan, which is what a single ad-hoc query
-wants.
+first use. With `materialize=True` the resolved invoices, which two marts read,
+are written once under `spark.checkpoint.dir` and re-read (see
+`tidemark.session.materialize`), and models read the marts that `run` has
+written; otherwise every model stays a lazy plan, which is what a single ad-hoc
+query wants.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.plans import marts, staging
 from tidemark.session import drop_run_folder
@@ -31,15 +32,23 @@ MART_MODELS = ("dim_customer", "dim_plan", "dim_date", "fact_invoice",
 
 
 class Warehouse:
+    """calendar: (first, last) day of `dim_date`; by default the snapshot days
+    with a margin. null_safe: compare tracked attributes with `<=>`. wide_rows:
+    see `operators.scd`. exclusive=False joins facts by the plain range form."""
+
     def __init__(self, spark: SparkSession, sources: dict[str, DataFrame],
                  materialize: bool = False, run_id: str | None = None,
-                 calendar: tuple[str, str] | None = None, bucketed_joins: bool = True):
+                 calendar: tuple[str, str] | None = None, exclusive: bool = True,
+                 null_safe: bool = False, wide_rows: int | None = None):
         self.spark = spark
         self.sources = sources
         self.materialize = materialize
         self.run_id = run_id or uuid.uuid4().hex
         self.calendar = calendar
-        self.bucketed_joins = bucketed_joins
+        self.exclusive = exclusive
+        self.null_safe = null_safe
+        self.wide_rows = wide_rows
+        self.written: dict[str, DataFrame] = {}
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> "Warehouse":
@@ -48,14 +57,6 @@ class Warehouse:
     def _shared(self, df: DataFrame, name: str) -> DataFrame:
         return write_and_reread(df, name, self.run_id) if self.materialize else df
 
-    @property
-    def horizon(self):
-        """Bound for open versions in temporal joins. A written dimension
-        answers max(valid_from) from one column of its files (the default);
-        a lazy one would recompute its window chain, so the last snapshot
-        day of the source is used instead (one column of the extract)."""
-        return None if self.materialize else marts.snapshot_horizon(self.stg_customers)
-
     # staging
     @cached_property
     def stg_plans(self) -> DataFrame:
@@ -76,20 +77,23 @@ class Warehouse:
     # intermediate
     @cached_property
     def int_customer_history(self) -> DataFrame:
-        return marts.int_customer_history(self.stg_customers)
+        return marts.int_customer_history(self.stg_customers, self.null_safe, self.wide_rows)
 
     @cached_property
     def int_customer_scd(self) -> DataFrame:
-        # built from the history with its NULL-key bucket kept, so the lag,
+        """The written dimension where there is one: it holds the same rows."""
+        if "dim_customer" in self.written:
+            return self.written["dim_customer"]
+        # built from the history with its helper columns kept, so the lag,
         # running sum, island grouping and lead share one exchange
-        history = marts.int_customer_history(self.stg_customers, keep_bucket=True)
-        return self._shared(marts.int_customer_scd(history), "int_customer_scd")
+        return marts.int_customer_scd(marts.int_customer_history(
+            self.stg_customers, self.null_safe, self.wide_rows, keep_helpers=True))
 
     @cached_property
     def int_invoice_resolved(self) -> DataFrame:
         return self._shared(
             marts.int_invoice_resolved(self.stg_invoices, self.int_customer_scd,
-                                       bucketed=self.bucketed_joins, horizon=self.horizon),
+                                       exclusive=self.exclusive),
             "int_invoice_resolved")
 
     # marts
@@ -123,11 +127,15 @@ class Warehouse:
     @cached_property
     def fact_usage_daily(self) -> DataFrame:
         return marts.fact_usage_daily(self.stg_usage_events, self.int_customer_scd,
-                                      bucketed=self.bucketed_joins, horizon=self.horizon)
+                                      exclusive=self.exclusive)
 
     @cached_property
     def mrr_monthly(self) -> DataFrame:
-        return marts.mrr_monthly(self.fact_invoice, self.dim_plan, self.dim_customer)
+        if "fact_invoice" in self.written:
+            return marts.mrr_monthly(self.written["fact_invoice"], self.dim_plan,
+                                     self.int_customer_scd)
+        return marts.mrr_from_invoices(self.stg_invoices, self.dim_plan, self.int_customer_scd,
+                                       exclusive=self.exclusive)
 
     def model(self, name: str) -> DataFrame:
         if name not in MODELS:
@@ -148,25 +156,57 @@ class _Written(dict):
         return self.wh.model(name)
 
 
+class ChecksFailed(RuntimeError):
+    """Declared tests failed, so nothing was published. `failed`: their rows;
+    `path`: where the results of all tests are."""
+
+    def __init__(self, failed: list[dict], path: str):
+        names = ", ".join(f"{r['check_name']}({r['model']}.{r['column_name']})" for r in failed)
+        super().__init__(f"{len(failed)} declared tests failed: {names}; see {path}")
+        self.failed, self.path = failed, path
+
+
+PUBLISHED = "_published"
+
+
+def published(spark: SparkSession, out_dir: str) -> dict[str, str]:
+    """Paths by table name of the run that was published last."""
+    rows = spark.read.parquet(f"{out_dir.rstrip('/')}/{PUBLISHED}")
+    latest = rows.groupBy("run_id").agg(
+        F.max("published_at").alias("at"), F.max("tables").alias("tables")).orderBy(
+        F.desc("at"), "run_id").first()
+    return {t: f"{out_dir.rstrip('/')}/runs/{latest.run_id}/{t}" for t in latest.tables}
+
+
 def run(spark: SparkSession, sources: dict[str, DataFrame], out_dir: str,
         run_id: str | None = None, with_checks: bool = True, persist_raw: bool = True,
         z_threshold: float = 2.0, warn_threshold: float = 0.05,
-        keep_intermediates: bool = False) -> dict[str, str]:
-    """The nightly job. Writes under `out_dir`:
+        keep_intermediates: bool = False, gate: bool = True,
+        calendar: tuple[str, str] | None = None, null_safe: bool = False,
+        fill_calendar: bool = False, wide_rows: int | None = 10_000,
+        rejects: DataFrame | None = None) -> dict[str, str]:
+    """The nightly job. Writes under `out_dir/runs/<run_id>`:
 
     * `raw/<source>`: each source landed once as Parquet (full refresh), so
-      a CSV extract is parsed once however many models read it, and
-      `_load_summary`: rows per source;
-    * every mart as Parquet (the SCD2 dimension and the resolved invoices are
-      written once under the checkpoint folder and shared);
-    * `_checks`: the 32 declared data tests, one row each, run over the
-      written marts;
+      a CSV extract is parsed once however many models read it,
+      `_load_summary`: rows per source, and `_rejects`: malformed extract rows,
+      if `rejects` is given;
+    * every mart as Parquet, the invoice facts by invoice month. The customer
+      dimension is written first and read back by what needs it; the resolved
+      invoices are written once under the checkpoint folder;
+    * `_checks`: the 32 declared data tests, one row each;
     * `dq_report`: the health report (snapshot volume z-score on the raw
       CRM rows + invoice quarantine rate) as one JSON document.
 
+    The tests of a mart run before the marts that read it are built. If any
+    fails, the run ends with `ChecksFailed` and nothing is published
+    (`gate=False` publishes anyway). Publishing is the last step: one row
+    appended to `out_dir/_published`, which `published` reads. Until then
+    readers see the tables of the run before, and a run that breaks half way
+    leaves them whole; folders of old runs are the store's to expire.
+
     The shared intermediates live under `spark.checkpoint.dir` for the run
-    only and are deleted when it ends (`keep_intermediates=True` keeps them),
-    so nightly runs do not pile up copies of the resolved invoices.
+    only and are deleted when it ends (`keep_intermediates=True` keeps them).
 
     Returns the paths by name.
     """
@@ -174,36 +214,63 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], out_dir: str,
     from tidemark.plans import checks as declared
     from tidemark.sources.extracts import load_summary, write_json_report
 
-    root = out_dir.rstrip("/")
+    wh = Warehouse(spark, sources, materialize=True, run_id=run_id, calendar=calendar,
+                   null_safe=null_safe, wide_rows=wide_rows)
+    root = f"{out_dir.rstrip('/')}/runs/{wh.run_id}"
     paths: dict[str, str] = {}
+
+    def write(name: str, df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+        paths[name] = f"{root}/{name}"
+        df.write.mode("overwrite").partitionBy(*by).parquet(paths[name])
+        return spark.read.schema(df.schema).parquet(paths[name])
+
     if persist_raw:
-        landed = {}
-        for name, df in sources.items():
-            paths[f"raw/{name}"] = f"{root}/raw/{name}"
-            df.write.mode("overwrite").parquet(paths[f"raw/{name}"])
-            landed[name] = spark.read.parquet(paths[f"raw/{name}"])
-        sources = landed
-        paths["_load_summary"] = f"{root}/_load_summary"
-        load_summary(sources).write.mode("overwrite").parquet(paths["_load_summary"])
-    wh = Warehouse(spark, sources, materialize=True, run_id=run_id)
+        wh.sources = {name: write(f"raw/{name}", df) for name, df in sources.items()}
+        write("_load_summary", load_summary(wh.sources))
+        if rejects is not None:
+            write("_rejects", rejects)
     try:
+        results = []
         for name in MART_MODELS:
-            path = f"{root}/{name}"
-            wh.model(name).write.mode("overwrite").parquet(path)
-            paths[name] = path
-        # checks and report read the written marts (and lazy staging models),
-        # never the intermediates
-        written = _Written({n: spark.read.parquet(paths[n]) for n in MART_MODELS}, wh)
+            wh.written[name] = _write_mart(write, name, wh.model(name))
+            if with_checks:
+                results.append(wh_checks := write(
+                    f"_checks_by_model/{name}", declared.model_checks(name, _Written(wh.written, wh))))
+                if gate:
+                    _stop_on_failure(wh_checks, paths[f"_checks_by_model/{name}"])
         if with_checks:
-            paths["_checks"] = f"{root}/_checks"
-            declared.all_checks(written).write.mode("overwrite").parquet(paths["_checks"])
+            staging_checks = write("_checks_by_model/staging", declared.model_checks(
+                None, _Written(wh.written, wh)))
+            write("_checks", quality.union_all([staging_checks, *results]))
+            if gate:
+                _stop_on_failure(staging_checks, paths["_checks"])
             report = quality.health_report_nested(
-                sources["crm_customers"], written["fact_invoice"],
-                written["fact_invoice_rejected"],
-                z_threshold=z_threshold, warn_threshold=warn_threshold)
+                wh.sources["crm_customers"], wh.written["fact_invoice"],
+                wh.written["fact_invoice_rejected"], z_threshold=z_threshold,
+                warn_threshold=warn_threshold, fill_calendar=fill_calendar)
             paths["dq_report"] = f"{root}/dq_report"
             write_json_report(report, paths["dq_report"])
     finally:
         if not keep_intermediates:
             drop_run_folder(spark, wh.run_id)
+    tables = F.array(*[F.lit(t) for t in paths])
+    (spark.range(1).select(F.lit(wh.run_id).alias("run_id"), F.current_timestamp().alias(
+        "published_at"), tables.alias("tables"))
+     .write.mode("append").parquet(f"{out_dir.rstrip('/')}/{PUBLISHED}"))
     return paths
+
+
+def _write_mart(write, name: str, df: DataFrame) -> DataFrame:
+    """Invoice facts lie by invoice month, so that readers skip other months."""
+    if name not in ("fact_invoice", "fact_invoice_rejected"):
+        return write(name, df)
+    month = F.date_format("invoice_date", "yyyy-MM")
+    stored = df.withColumn("invoice_month_part", month)
+    return write(name, stored, ("invoice_month_part",)).select(*df.columns)
+
+
+def _stop_on_failure(results: DataFrame, path: str) -> None:
+    """At most one row per declared test."""
+    failed = [r.asDict() for r in results.where(~F.col("passed")).collect()]
+    if failed:
+        raise ChecksFailed(failed, path)

@@ -93,7 +93,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if existing:
         return existing
     master = _master(spark)
-    if master is not None and not master.startswith("local"):
+    if master is None or not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set: name a folder shared by all executors "
             "(e.g. --conf spark.checkpoint.dir=hdfs:///...) for the shared intermediates")
