@@ -101,8 +101,8 @@ def test_temporal_join_matches_brute_force(spark, rows, invoices):
         hits = [k for c, k, f, t in versions
                 if cid is not None and d is not None and c == cid and f <= d and (t is None or d <= t)]
         expected += [(iid, k) for k in hits] or [(iid, None)]
-    for bucketed in (True, False):
+    for exclusive in (True, False):
         got = temporal_join(inv, scd, "customer_id", "invoice_date", ["customer_key"],
-                            bucketed=bucketed).collect()
+                            exclusive=exclusive).collect()
         assert sorted(((r.invoice_id, r.customer_key) for r in got), key=repr) == \
             sorted(expected, key=repr)

@@ -90,16 +90,16 @@ def test_untracked_change_splits_rows_with_same_key(spark):
 
 
 def test_one_exchange_serves_the_whole_window_chain(spark):
-    from tidemark.operators.scd import BUCKET, close_ranges, snapshot_versions
+    from tidemark.operators.scd import IDENTITY, WIDE, close_ranges, snapshot_versions
     rows = [("C1", "2026-08-01", "A", "EU", "SMB"), ("C1", "2026-08-02", "B", "EU", "SMB")]
     snaps = snapshots(spark, rows)
     plain = close_ranges(snapshot_versions(snaps, "customer_id", ["plan_id", "region", "segment"],
-                                           ["name"], collapse_copies=False, keep_bucket=True),
-                         "customer_id", bucket=BUCKET)
+                                           ["name"], collapse_copies=False, keep_helpers=True).drop(WIDE),
+                         "customer_id", identity=IDENTITY)
     plan = plan_text(plain)
     assert plan.count("Exchange hashpartitioning") == 1, plan
     # with copies collapsed: one more exchange, after a map-side partial distinct
-    plan = plan_text(marts.int_customer_scd(marts.int_customer_history(snaps, keep_bucket=True)))
+    plan = plan_text(marts.int_customer_scd(marts.int_customer_history(snaps, keep_helpers=True).drop(WIDE)))
     assert plan.count("Exchange hashpartitioning") == 2, plan
     assert "partial_" in plan or "HashAggregate" in plan
 
@@ -111,9 +111,9 @@ def test_null_key_rows_are_spread_and_grouped_by_record(spark):
     rows += [(None, f"2026-08-{i:02d}", "A", "EU", "SMB", f"p{j}@x") for i in (1, 2, 3)
              for j in range(40)]
     rows += [(None, "2026-08-04", "B", "EU", "SMB", "p0@x")]
-    hist = marts.int_customer_history(snapshots(spark, rows), keep_bucket=True)
+    hist = marts.int_customer_history(snapshots(spark, rows), keep_helpers=True)
     plan = plan_text(marts.int_customer_scd(hist))
-    assert "_null_key_bucket" in plan.split("Exchange hashpartitioning", 1)[1].split("\n")[0]
+    assert "_record_identity" in plan.split("Exchange hashpartitioning", 1)[1].split("\n")[0]
     out = marts.int_customer_scd(hist).where("customer_id IS NULL").collect()
     assert len(out) == 41   # 40 records, one of which changed plan once
     p0 = sorted((r.valid_from, r.plan_id, r.valid_to) for r in out if r.email == "p0@x")
@@ -130,3 +130,72 @@ def test_copies_do_not_change_versions(spark):
     many = scd(spark, rows * 50)
     assert [tuple(r) for r in once] == [tuple(r) for r in many]
     assert len(once) == 3
+
+
+def test_many_records_without_id_have_one_version_each(spark):
+    from pyspark.sql import functions as F
+    days = spark.range(3).select(F.expr("date_add(date'2026-08-01', cast(id as int))").alias(
+        "snapshot_date"))
+    records = spark.range(5000).select(
+        F.lit(None).cast("string").alias("customer_id"), F.concat(F.lit("n"), "id").alias("name"),
+        F.concat(F.lit("e"), "id").alias("email"), F.lit("Co").alias("company"),
+        F.lit("A").alias("plan_id"), F.lit("EU").alias("region"), F.lit("SMB").alias("segment"),
+        F.lit(d("2026-01-01")).alias("signup_date"))
+    snaps = records.join(F.broadcast(days))
+    for partitions in (3, 16):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            for wide_rows in (None, 1000):
+                scd = marts.int_customer_scd(marts.int_customer_history(
+                    snaps, wide_rows=wide_rows, keep_helpers=True))
+                assert scd.agg(F.count("*"), F.count_if("is_current"),
+                               F.count_if(F.col("valid_to") < F.col("valid_from"))).first()[:] == (
+                    5000, 5000, 0)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", 8)
+
+
+def placeholder_rows():
+    import random
+    rng = random.Random(4)
+    rows = []
+    for day in range(1, 9):
+        rows += [("UNKNOWN", f"2026-08-{day:02d}", rng.choice(["A", "B", None]),
+                  rng.choice(["EU", "US", None]), rng.choice(["SMB", "ENT"]),
+                  f"r{rng.randint(0, 30)}@x") for _ in range(40 if day != 4 else 0)]
+        rows += [(f"C{i}", f"2026-08-{day:02d}", "AB"[(i + day) // 3 % 2], "EU", "SMB")
+                 for i in range(20)]
+        rows += [(None, f"2026-08-{day:02d}", rng.choice("AB"), "EU", "SMB", "same@x")
+                 for _ in range(9)]
+    return rows
+
+
+def test_wide_keys_in_two_levels_have_the_same_versions(spark):
+    snaps = snapshots(spark, placeholder_rows())
+    for null_safe in (False, True):
+        def build(wide_rows):
+            return marts.int_customer_scd(marts.int_customer_history(
+                snaps, null_safe=null_safe, wide_rows=wide_rows, keep_helpers=True))
+        plain, split = build(None).collect(), build(2).collect()
+        assert sorted(map(repr, plain)) == sorted(map(repr, split))
+        assert len(plain) > 200
+
+
+def test_no_task_holds_a_wide_key(spark):
+    """Rows of the placeholder id are numbered within its days: what is chained
+    by the id alone is one row per day."""
+    snaps = snapshots(spark, placeholder_rows())
+    hist = marts.int_customer_history(snaps, wide_rows=10, keep_helpers=True)
+    plan = plan_text(hist)
+    rows_by_day = [x for x in plan.split("Exchange ") if x.startswith(
+        "hashpartitioning(customer_id") and "snapshot_date" in x.split(")")[0]]
+    assert rows_by_day, plan
+
+
+def test_rows_of_one_day_follow_in_a_fixed_order(spark):
+    rows = [("C1", "2026-08-01", p, "EU", "SMB") for p in "CAB"]
+    one = marts.int_customer_scd(marts.int_customer_history(snapshots(spark, rows))).collect()
+    two = marts.int_customer_scd(marts.int_customer_history(
+        snapshots(spark, rows[::-1]).repartition(3))).collect()
+    assert sorted(map(repr, one)) == sorted(map(repr, two))
+    assert [r.plan_id for r in sorted(one, key=lambda r: r.version_id)] == ["A", "B", "C"]

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import profile, quality
 from tidemark.operators.dedup import dedup_first
-from tidemark.operators.scd import BUCKET, close_ranges, snapshot_versions
-from tidemark.plans import checks, reports
+from tidemark.operators.scd import IDENTITY, WIDE, close_ranges, snapshot_versions
+from tidemark.operators.temporal import temporal_join
+from tidemark.plans import checks, marts, reports
 from tidemark.plans.pipeline import MODELS, Warehouse
 from tidemark.sources import extracts, testviews
 
@@ -87,6 +88,62 @@ def assert_fact_resolved(spark, sf_dir):
     return quality.assert_fact_resolved(_wh(spark, sf_dir).fact_invoice)
 
 
+# ---------------------------------------------- the same checks where they fail
+@register("scd_overlaps")
+def scd_overlaps(spark, sf_dir):
+    """A dimension with overlaps by rule: an order is a version of its customer
+    that lasts up to 39 days, or (one in 97) stays open."""
+    orders = testviews.table(spark, sf_dir, "orders")
+    day = F.col("o_orderdate").cast("date")
+    ends = F.when(F.col("o_orderkey") % 97 != 0,
+                  F.date_add(day, (F.col("o_orderkey") % 40).cast("int")))
+    return quality.assert_no_scd_overlap(orders.select(
+        F.col("o_custkey").alias("customer_id"), F.col("o_orderkey").alias("version_id"),
+        day.alias("valid_from"), ends.alias("valid_to")))
+
+
+@register("paid_negative_invoices")
+def paid_negative_invoices(spark, sf_dir):
+    """The invariant on invoices whose bad amounts are not yet flagged."""
+    raw = _wh(spark, sf_dir).stg_invoices
+    return quality.assert_paid_non_negative(raw.withColumn("status_clean", F.col("status")))
+
+
+@register("unresolved_invoices")
+def unresolved_invoices(spark, sf_dir):
+    """The invariant before rejected invoices are taken out."""
+    return quality.assert_fact_resolved(_wh(spark, sf_dir).int_invoice_resolved)
+
+
+# ------------------------------------------------------------ CSV
+def _csv_records(spark, sf_dir):
+    """`documents` as standard CSV records: one in 50 lacks its last field, one
+    in 50 has a field too many."""
+    docs = testviews.table(spark, sf_dir, "documents").select(
+        "doc_id", "text", "lang", "source", "n_chars")
+    fields = [F.coalesce(F.concat(F.lit('"'), F.replace(F.col(c).cast("string"), F.lit('"'),
+                                                        F.lit('""')), F.lit('"')), F.lit(""))
+              for c in docs.columns]
+    whole, short = F.concat_ws(",", *fields), F.concat_ws(",", *fields[:-1])
+    rest = F.col("doc_id") % 50
+    record = F.when(rest == 7, short).when(rest == 9, F.concat(whole, F.lit(',"x"'))).otherwise(
+        whole)
+    schema = extracts.with_malformed(docs.schema)
+    return docs.select(F.from_csv(record, schema.simpleString()[7:-1].replace(":", " "),
+                                  extracts.CSV_OPTIONS).alias("r")).select("r.*")
+
+
+@register("csv_documents")
+def csv_documents(spark, sf_dir):
+    """The records that fit, read with the options of every extract."""
+    return extracts.good_rows(_csv_records(spark, sf_dir), "documents", "reject")
+
+
+@register("csv_rejects")
+def csv_rejects(spark, sf_dir):
+    return extracts.rejects({"documents": _csv_records(spark, sf_dir)})
+
+
 # ------------------------------------------------------------ health checks
 def _snapshot_counts(spark, sf_dir):
     raw = testviews.load_sources(spark, sf_dir)["crm_customers"]
@@ -188,8 +245,31 @@ def scd_from_orders(spark, sf_dir):
                         [F.col("o_orderkey").desc_nulls_last()])
     # one row per (customer, day) already: no copies to collapse
     history = snapshot_versions(daily, "o_custkey", ["o_orderpriority"], [], "order_day",
-                                collapse_copies=False, keep_bucket=True)
-    return close_ranges(history, "o_custkey", key_name="version_key", bucket=BUCKET)
+                                collapse_copies=False, keep_helpers=True).drop(WIDE)
+    return close_ranges(history, "o_custkey", key_name="version_key", identity=IDENTITY)
+
+
+@register("scd_null_ids")
+def scd_null_ids(spark, sf_dir):
+    """The customer dimension of snapshots in which one id in ten is missing."""
+    crm = _wh(spark, sf_dir).stg_customers
+    lost = crm.withColumn("customer_id", F.when(F.col("customer_id") % 10 != 4,
+                                                F.col("customer_id")))
+    return marts.int_customer_scd(marts.int_customer_history(lost, keep_helpers=True))
+
+
+@register("lineitem_versions")
+def lineitem_versions(spark, sf_dir):
+    """Every line item with the customer's order priority as of its ship date,
+    over years of versions."""
+    lines = testviews.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("ship_day"))
+    orders = testviews.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    facts = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).select(
+        "l_orderkey", "l_linenumber", "o_custkey", "ship_day")
+    return temporal_join(facts, scd_from_orders(spark, sf_dir).withColumnRenamed(
+        "o_orderpriority", "priority"), "o_custkey", "ship_day", ["version_key", "priority"]
+    ).withColumnRenamed("priority", "o_orderpriority")
 
 
 @register("volume_events")

@@ -1,29 +1,23 @@
 """Join facts to the dimension version valid on the fact's date.
 
-`temporal_join` keeps the reference predicate -- same key, fact date in the
-closed range [valid_from, valid_to], open end NULL -- and adds a coarse equi
-key so the join never pairs a fact with every version of its key:
-
-* every version is listed once per calendar month it overlaps; H is the
-  latest `valid_from` of the dimension (a scalar subquery over the small
-  side, never a pass over the facts), and an open version runs to H's month;
-* a fact carries its own month, clamped to H's month: a fact after H can
-  only fall in an open version, and every open version covers H's month;
-* the join is an equi join on (key, month) plus the range residual.
-
-A fact meets at most the versions overlapping its month (with daily snapshots,
-at most 31), however long the key's history; the dimension grows by its
-versions' month spans only. Because keys are spread over (key, month) a key
-holding a third of all facts still lands in many shuffle partitions, and AQE's
-skew-join split handles what remains. A small dimension is broadcast by the
-planner or by AQE at runtime, both size-checked against their thresholds.
-
-The result equals the plain range join exactly: a version containing the
-fact's date overlaps the fact's month, so the candidate set always holds it.
-
-A NULL key (or date) never matches, yet hash partitioning would send every
-such row to one task; a deterministic salt in the join key spreads them
-(`null_salt`), with the dimension side fixed at salt 0.
+The predicate: same key, fact date in the closed range [valid_from, valid_to],
+open end NULL. `temporal_join` resolves it per (key, date), not per fact:
+
+* the facts' distinct (key, date) pairs are taken first (a partial aggregate,
+  so a key with millions of facts is at most one row per day);
+* pairs and versions of a key are sorted by date in one window, which carries
+  the latest version that has begun; a pair is resolved if that version has not
+  ended. The window holds a key's days and versions, never its facts, and no
+  version is expanded or paired with what it does not cover;
+* the facts meet their resolved pairs by (key, date), so a key that holds a third
+  of all facts is spread over its days, and AQE splits a single hot day.
+
+This needs ranges that do not overlap within a key, which is what
+`close_ranges` builds. For other dimensions `exclusive=False` gives the plain
+range join.
+
+Rows with a NULL key or date match nothing. They take no part in any shuffle:
+they are set aside and put back with NULL dimension columns.
 """
 
 from __future__ import annotations
@@ -31,111 +25,81 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_K, _VF, _VT, _B, _FB = "_tj_key", "_tj_from", "_tj_to", "_tj_month", "_tj_fact_month"
-_S, _DS = "_tj_salt", "_tj_dim_salt"
+# Why a fact was not resolved.
+ORPHAN, UNCOVERED = "orphan_customer_id", "invoice_predates_scd_coverage"
 
-# Rows that can never match (NULL key or NULL date) are spread over this many
-# salt values instead of all hashing to the one partition of the NULL key.
-NULL_SPREAD = 1024
-
-
-def _month(c) -> F.Column:
-    return F.trunc(c, "month")
-
-
-def null_salt(df: DataFrame, unmatchable: F.Column) -> F.Column:
-    """0 for rows that may match; 1..NULL_SPREAD for rows that cannot (a
-    deterministic hash of the row, so a recomputed task routes every row as
-    before). Joined against a constant 0 on the other side."""
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(NULL_SPREAD)) + 1
-    return F.when(unmatchable, spread).otherwise(F.lit(0).cast("long"))
+_K, _D, _V, _P = "_tj_key", "_tj_day", "_tj_version", "_tj_is_pair"
 
 
 def temporal_join(facts: DataFrame, dim: DataFrame, key: str, fact_date: str,
                   dim_cols: list[str], how: str = "left",
                   valid_from: str = "valid_from", valid_to: str = "valid_to",
-                  bucketed: bool = True, horizon=None) -> DataFrame:
+                  exclusive: bool = True) -> DataFrame:
     """facts ⋈ dim on key and fact_date within [valid_from, valid_to].
 
     `how` is "left" (unmatched facts kept, dim columns NULL) or "inner".
-    `bucketed=False` gives the plain equi-key + residual join.
-    `horizon`: any date Column (e.g. a scalar subquery) known to be >= every
-    `valid_from`, such as the last snapshot day of the source the dimension
-    was built from; by default the dimension's own max(valid_from).
+    `exclusive`: the ranges of a key do not overlap (see above).
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
-    d = dim.select(F.col(key).alias(_K), F.col(valid_from).alias(_VF),
-                   F.col(valid_to).alias(_VT), *dim_cols)
-    in_range = ((F.col(fact_date) >= F.col(_VF))
-                & (F.col(_VT).isNull() | (F.col(fact_date) <= F.col(_VT))))
-    if not bucketed:
-        cond = (F.col(key) == F.col(_K)) & in_range
-        return facts.join(d, cond, how).drop(_K, _VF, _VT)
-
-    if horizon is None:
-        horizon = dim.select(F.max(F.col(valid_from))).scalar()
-    horizon = _month(horizon)
-    first_month = _month(F.col(_VF))
-    last_month = F.greatest(first_month,
-                            F.coalesce(_month(F.col(_VT)), horizon))
-    d = d.select("*", F.explode(F.sequence(first_month, last_month,
-                                           F.expr("interval 1 month"))).alias(_B))
-    unmatchable = F.col(key).isNull() | F.col(fact_date).isNull()
-    f = facts.select("*", F.least(_month(F.col(fact_date)), horizon).alias(_FB),
-                     null_salt(facts, unmatchable).alias(_S))
-    d = d.withColumn(_DS, F.lit(0).cast("long"))
-    cond = ((F.col(key) == F.col(_K)) & (F.col(_FB) == F.col(_B))
-            & (F.col(_S) == F.col(_DS)) & in_range)
-    joined = f.join(d, cond, how)
-    return joined.select(*[F.col(c) for c in facts.columns], *[F.col(c) for c in dim_cols])
-
-
-def asof_join(facts: DataFrame, dim: DataFrame, key: str, fact_date: str,
-              dim_cols: list[str], valid_from: str = "valid_from") -> DataFrame:
-    """The as-of form: latest version with valid_from <= fact date.
-
-    Equal to the left `temporal_join` when a key's ranges are contiguous and
-    the last one is open (what `close_ranges` builds). Facts and versions are
-    unioned and a running `last(..., ignorenulls)` per key carries the version
-    forward, so the whole history of a key sits in one window partition; the
-    range join above is the default for that reason.
-    """
-    tag = "_asof_is_dim"
-    fact_rows = facts.select(
-        "*", F.lit(None).cast("struct<" + ",".join(
-            f"{c}:{t}" for c, t in dim.select(*dim_cols).dtypes) + ">").alias("_asof_v"),
-        F.col(fact_date).alias("_asof_d"), F.lit(1).alias(tag))
-    dim_rows = dim.select(
-        *[F.lit(None).cast(t).alias(c) if c != key else F.col(key)
-          for c, t in facts.dtypes],
-        F.struct(*dim_cols).alias("_asof_v"), F.col(valid_from).alias("_asof_d"),
-        F.lit(0).alias(tag))
-    w = (Window.partitionBy(key).orderBy("_asof_d", tag)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    carried = F.last("_asof_v", ignorenulls=True).over(w)
-    out = (fact_rows.unionByName(dim_rows)
-           .select("*", carried.alias("_asof_hit"))
-           .where(F.col(tag) == 1))
-    # A NULL key or date never matches, as in the range join.
-    hit = F.when(F.col(key).isNotNull() & F.col(fact_date).isNotNull(), F.col("_asof_hit"))
-    return out.select(*facts.columns, *[hit[c].alias(c) for c in dim_cols])
+    matchable = F.col(key).isNotNull() & F.col(fact_date).isNotNull()
+    keyed = facts.where(matchable)
+    match = _by_day if exclusive else _by_range
+    joined = match(keyed, dim, key, fact_date, dim_cols, how, valid_from, valid_to)
+    if how == "inner":
+        return joined
+    types = dict(dim.dtypes)
+    aside = facts.where(~matchable).select(
+        *facts.columns, *[F.lit(None).cast(types[c]).alias(c) for c in dim_cols])
+    return joined.unionByName(aside)
+
+
+def _by_day(facts, dim, key, fact_date, dim_cols, how, valid_from, valid_to) -> DataFrame:
+    day_type = dict(facts.dtypes)[fact_date]
+    body = F.struct(F.col(valid_to).alias("_end"), *dim_cols)
+    versions = dim.where(F.col(key).isNotNull() & F.col(valid_from).isNotNull()).select(
+        F.col(key).alias(_K), F.col(valid_from).cast(day_type).alias(_D), body.alias(_V),
+        F.lit(False).alias(_P))
+    pairs = facts.select(F.col(key).alias(_K), F.col(fact_date).alias(_D)).distinct().select(
+        _K, _D, F.lit(None).cast(versions.schema[_V].dataType).alias(_V), F.lit(True).alias(_P))
+    # Of versions that begin on one day all but the last have ended before it.
+    order = Window.partitionBy(_K).orderBy(
+        _D, _P, F.col(f"{_V}._end").asc_nulls_last()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    begun = versions.unionByName(pairs).withColumn(
+        _V, F.last(_V, ignorenulls=True).over(order))
+    end = F.col(f"{_V}._end")
+    resolved = begun.where(F.col(_P) & F.col(_V).isNotNull()
+                           & (end.isNull() | (F.col(_D) <= end))).drop(_P)
+    joined = facts.join(
+        resolved, (F.col(key) == F.col(_K)) & (F.col(fact_date) == F.col(_D)), how)
+    return joined.select(*[facts[c] for c in facts.columns],
+                         *[F.col(f"{_V}.{c}").alias(c) for c in dim_cols])
+
+
+def _by_range(facts, dim, key, fact_date, dim_cols, how, valid_from, valid_to) -> DataFrame:
+    d = dim.select(F.col(key).alias(_K), F.col(valid_from).alias(_D),
+                   F.col(valid_to).alias("_tj_end"), *dim_cols)
+    covers = ((F.col(key) == F.col(_K)) & (F.col(fact_date) >= F.col(_D))
+              & (F.col("_tj_end").isNull() | (F.col(fact_date) <= F.col("_tj_end"))))
+    return facts.join(d, covers, how).drop(_K, _D, "_tj_end")
 
 
 def classify_unresolved(unresolved: DataFrame, dim: DataFrame, key: str,
                         reason_col: str = "rejection_reason",
-                        unknown: str = "orphan_customer_id",
-                        uncovered: str = "invoice_predates_scd_coverage") -> DataFrame:
+                        unknown: str = ORPHAN, uncovered: str = UNCOVERED) -> DataFrame:
     """Reason for each fact the temporal join could not resolve: its key is
     in no version at all (NULL keys included), or it is, but no version
     covers the fact's date.
 
     `dim` only supplies the set of known keys: the dimension itself, or the
-    snapshots it was built from (the same set of keys)."""
+    snapshots it was built from (the same set of keys). Rows with a NULL key
+    need no lookup and are not shuffled."""
     known = (dim.select(F.col(key).alias("_known_key")).where(F.col("_known_key").isNotNull())
-             .distinct().withColumn(_DS, F.lit(0).cast("long")))
-    facts = unresolved.withColumn(_S, null_salt(unresolved, F.col(key).isNull()))
-    joined = facts.join(known, (F.col(key) == F.col("_known_key")) & (F.col(_S) == F.col(_DS)),
-                        "left")
+             .distinct())
+    keyed = unresolved.where(F.col(key).isNotNull())
     reason = F.when(F.col("_known_key").isNull(), F.lit(unknown)).otherwise(F.lit(uncovered))
-    return joined.select(*unresolved.columns, reason.alias(reason_col))
+    looked_up = keyed.join(known, F.col(key) == F.col("_known_key"), "left").select(
+        *unresolved.columns, reason.alias(reason_col))
+    return looked_up.unionByName(unresolved.where(F.col(key).isNull()).withColumn(
+        reason_col, F.lit(unknown)))
