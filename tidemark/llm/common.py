@@ -57,37 +57,41 @@ def _slot(key: str, bits: int):
 
 
 def maybe_members(df: DataFrame, key: str, ids: DataFrame, id_col: str,
-                  flag: str = "_maybe") -> DataFrame:
+                  flag: str = "__llm_maybe") -> DataFrame:
     """`df` with a boolean column: false only for rows whose key is certainly
     not in `ids`. The bitmap is aggregated by Spark and broadcast; its size is
     bounded by MAX_BITMAP_BITS whatever the number of ids (a full bitmap lets
     every row through, so results never depend on it)."""
     bits = bitmap_bits(ids.count())
-    words = (ids.select(_slot(id_col, bits).alias("_slot"))
-             .groupBy(F.floor(F.col("_slot") / 64).alias("_word"))
-             .agg(F.expr("bit_or(shiftleft(1L, cast(_slot % 64 as int)))").alias("_bits")))
+    words = (ids.select(_slot(id_col, bits).alias("__llm_slot"))
+             .groupBy(F.floor(F.col("__llm_slot") / 64).alias("__llm_word"))
+             .agg(F.expr("bit_or(shiftleft(1L, cast(__llm_slot % 64 as int)))").alias("__llm_bits")))
     words = persist(words, "bitmap")
-    return (df.withColumn("_slot", _slot(key, bits))
-            .withColumn("_word", F.floor(F.col("_slot") / 64))
-            .join(F.broadcast(words), "_word", "left")
+    return (df.withColumn("__llm_slot", _slot(key, bits))
+            .withColumn("__llm_word", F.floor(F.col("__llm_slot") / 64))
+            .join(F.broadcast(words), "__llm_word", "left")
             .withColumn(flag, F.expr(
-                "_bits is not null and getbit(_bits, cast(_slot % 64 as int)) = 1"))
-            .drop("_slot", "_word", "_bits"))
+                "__llm_bits is not null and getbit(__llm_bits, cast(__llm_slot % 64 as int)) = 1"))
+            .drop("__llm_slot", "__llm_word", "__llm_bits"))
 
 
 def semi_join(df: DataFrame, key: str, ids: DataFrame, id_col: str) -> DataFrame:
     """Rows of `df` whose key is in `ids` (NULL keys are in no set). Only rows
     that pass the bitmap are shuffled."""
-    ids = ids.select(F.col(id_col).alias("_id")).filter("_id is not null").distinct()
-    near = maybe_members(df, key, ids, "_id").filter("_maybe").drop("_maybe")
-    return near.join(ids, near[key] == ids["_id"], "left_semi")
+    ids = ids.select(F.col(id_col).alias("__llm_id")).filter("__llm_id is not null").distinct()
+    near = maybe_members(df, key, ids, "__llm_id").filter("__llm_maybe").drop("__llm_maybe")
+    # An inner join with distinct ids: the optimiser would push a semi join
+    # below the bitmap, and shuffle all rows.
+    return near.join(ids, near[key] == ids["__llm_id"]).drop("__llm_id")
 
 
 def anti_join(df: DataFrame, key: str, ids: DataFrame, id_col: str) -> DataFrame:
     """Rows of `df` whose key is not in `ids` (NULL keys stay). Rows that fail
     the bitmap stay where they are; only the others are shuffled."""
-    ids = ids.select(F.col(id_col).alias("_id")).filter("_id is not null").distinct()
-    flagged = maybe_members(df, key, ids, "_id")
-    far = flagged.filter("not _maybe").drop("_maybe")
-    near = flagged.filter("_maybe").drop("_maybe")
-    return far.unionByName(near.join(ids, near[key] == ids["_id"], "left_anti"))
+    ids = ids.select(F.col(id_col).alias("__llm_id")).filter("__llm_id is not null").distinct()
+    flagged = maybe_members(df, key, ids, "__llm_id")
+    far = flagged.filter("not __llm_maybe").drop("__llm_maybe")
+    near = flagged.filter("__llm_maybe").drop("__llm_maybe")
+    # An outer join, for the same reason.
+    met = near.join(ids, near[key] == ids["__llm_id"], "left")
+    return far.unionByName(met.filter("__llm_id is null").drop("__llm_id"))

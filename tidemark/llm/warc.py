@@ -43,7 +43,7 @@ from tidemark.llm.common import maybe_members, open_shared, persist, scratch_dir
 LOCAL, CENTRAL, END, END64, LOCATOR = (b"PK\x03\x04", b"PK\x01\x02", b"PK\x05\x06",
                                        b"PK\x06\x06", b"PK\x06\x07")
 MARK32, MARK16, STORED = 0xFFFFFFFF, 0xFFFF, 0
-DATA_FOLLOWS = 8  # flag bit 3: sizes and checksum come after the member
+FLAGS = 8 | 1 << 11  # sizes and checksum come after the member; names are UTF-8
 WARC_MEMBER, INDEX_MEMBER = "archive/data.warc", "indexes/index.csv"
 RECORDS_AT_ONCE = 2000  # records of one range that a task reads
 
@@ -104,7 +104,7 @@ class ZipWriter:
     def begin(self, name: str) -> None:
         self._name, self._start = name.encode("utf-8"), self._at
         self._size, self._crc = 0, 0
-        self._put(LOCAL + struct.pack("<5H3L2H", 45, DATA_FOLLOWS, STORED, 0, 0x21, 0, 0, 0,
+        self._put(LOCAL + struct.pack("<5H3L2H", 45, FLAGS, STORED, 0, 0x21, 0, 0, 0,
                                       len(self._name), 0) + self._name)
 
     def write(self, data: bytes) -> None:
@@ -133,7 +133,7 @@ class ZipWriter:
                 extra = struct.pack("<HH", 1, len(extra)) + extra
             short = MARK32 if wide_size else size
             self._put(CENTRAL + struct.pack(
-                "<6H3L5H2L", 45, 45, DATA_FOLLOWS, STORED, 0, 0x21, crc, short, short, len(name),
+                "<6H3L5H2L", 45, 45, FLAGS, STORED, 0, 0x21, crc, short, short, len(name),
                 len(extra), 0, 0, 0, 0, MARK32 if wide_start else start) + name + extra)
         size, n = self._at - first, len(self._members)
         if self._force or first >= MARK32 or size >= MARK32 or n >= MARK16:
@@ -252,10 +252,10 @@ def _with_targets(records: DataFrame, min_bytes: int) -> DataFrame:
               .filter("copies > 1").drop("copies"))
     targets = persist(light.join(shared, ["digest", "n"]).groupBy("id", "digest", "n").agg(
         F.max("target").alias("target"), F.count("*").alias("same")), "warc-targets")
-    flagged = maybe_members(records, "id", targets, "id")
-    alone = flagged.filter("not _maybe or id is null").select(
+    flagged = maybe_members(records, "id", targets, "id", "maybe")
+    alone = flagged.filter("not maybe or id is null").select(
         "id", "url", "payload", F.lit(None).cast("long").alias("target"))
-    near = (flagged.filter("_maybe and id is not null").drop("_maybe")
+    near = (flagged.filter("maybe and id is not null").drop("maybe")
             .join(targets, ["id", "digest", "n"], "left"))
     single = near.filter("same is null or same = 1 or id <> target").select(
         "id", "url", "payload", F.expr("if(id = target, null, target)").alias("target"))
