@@ -63,7 +63,7 @@ CONTENT_WORDS = frozenset("article content post entry story body text main".spli
 IN_CONTENT, IN_BOILERPLATE, IN_HEADER, CLASS_CONTENT = 4.0, -9.0, -7.0, 1.0
 OUTSIDE, PER_WORD, MOST_WORDS, LINKS, PARAGRAPH, RIGHTS = -1.0, 0.06, 3.0, -4.0, 0.5, -2.0
 # Smoothness: neighbours, by distance in the tree, and the chain of one parent.
-NEIGHBOUR, SAME_PARENT = 0.8, 1.2
+NEIGHBOUR, SAME_PARENT = 0.8, 2.0
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -77,16 +77,18 @@ _RIGHTS = re.compile("©|all rights reserved", re.I)
 class _Open:
     """An open element and what holds inside it."""
 
-    __slots__ = ("tag", "id", "content", "score", "link", "hidden", "depth", "block")
+    __slots__ = ("tag", "content", "score", "link", "hidden", "depth", "block", "home")
 
     def __init__(self, tag, number, parent):
-        self.tag, self.id = tag, number
+        self.tag = tag
         self.content = parent is not None and parent.content
         self.score = parent.score if parent else 0.0
         self.link = parent is not None and parent.link
         self.hidden = parent is not None and parent.hidden
         self.depth = parent.depth + 1 if parent else 0
+        # the nearest block element, and the one around that
         self.block = parent.block if parent else number
+        self.home = parent.home if parent else number
 
 
 def _open(tag: str, attributes: str, number: int, parent: _Open | None) -> _Open:
@@ -94,7 +96,7 @@ def _open(tag: str, attributes: str, number: int, parent: _Open | None) -> _Open
     node.link = node.link or tag == "a"
     node.hidden = node.hidden or tag in HIDDEN
     if tag in BLOCK:
-        node.block = number
+        node.block, node.home = number, node.block
     if tag in CONTENT_TAGS:
         node.content = True
     elif tag in BOILERPLATE_TAGS:
@@ -156,7 +158,7 @@ def blocks(html: str) -> list[tuple[str, float, int, int]]:
                     score += PARAGRAPH if top.tag in ("p", "h1", "h2", "h3", "blockquote") else 0.0
                 if _RIGHTS.search(joined) and words < 30:
                     score += RIGHTS
-                out.append((joined, score, top.block, top.depth))
+                out.append((joined, score, top.home, top.depth))
             parts.clear()
         chars = linked = 0
 
