@@ -43,7 +43,7 @@ SHARD_CHARS = 4_000_000
 CHUNK_CHARS = 1 << 20  # documents are scanned together up to so many characters
 HITS_AT_ONCE = 1 << 21
 TABLE_BITS = 22
-BASE = np.uint64(0x9E3779B97F4A7C15)
+BASE = 0x9E3779B97F4A7C15
 SPACE = np.uint32(32)
 GAP = np.uint32(0x110000)  # no character: stands between documents
 
@@ -89,10 +89,10 @@ def normal(text: str) -> tuple[np.ndarray, np.ndarray]:
 def qgram_hashes(chars: np.ndarray) -> np.ndarray:
     """Hash of the 8 characters that begin at each position."""
     h = chars.astype(np.uint64)
-    for step, factor in ((1, BASE), (2, BASE * BASE), (4, BASE * BASE * BASE * BASE)):
+    for step in (1, 2, 4):
         if len(h) <= step:
             return np.empty(0, np.uint64)
-        h = h[:-step] * factor + h[step:]
+        h = h[:-step] * np.uint64(pow(BASE, step, 1 << 64)) + h[step:]
     return h
 
 
