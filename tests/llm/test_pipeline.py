@@ -1,0 +1,44 @@
+"""The pipeline against stages by brute force, each on what the last one kept."""
+import tiktoken
+from conftest import SF_SMALL
+from test_jaccard import brute as components
+
+import corpus_pipeline
+from tidemark.llm import bpe, quality, queries
+from tidemark.llm.common import table
+
+
+def test_run_is_the_stages_by_brute_force(spark):
+    docs = {r.doc_id: r for r in table(spark, SF_SMALL, "documents").collect()}
+    judged = quality.classify(spark, table(spark, SF_SMALL, "documents"),
+                              table(spark, SF_SMALL, "labels"))
+    kept = {r.id for r in judged.collect() if r.keep}
+    assert 0.5 * len(docs) < len(kept) < len(docs)
+    kept = {i for i, _, c in components([(i, docs[i].text) for i in sorted(kept)]) if i == c}
+
+    def plain(t):
+        return " ".join((t or "").lower().split())
+
+    items = [plain(r.text) for r in table(spark, SF_SMALL, "benchmark").collect()]
+    kept = {i for i in kept if not any(x in plain(docs[i].text) for x in items)}
+    path, pattern = queries.tokenizer()
+    library = tiktoken.Encoding("own", pat_str=pattern, special_tokens={},
+                                mergeable_ranks=bpe.codec(path, pattern).vocab.ranks)
+    got = {r.doc_id: r for r in corpus_pipeline.run(spark, SF_SMALL).collect()}
+    assert set(got) == kept
+    for i, r in got.items():
+        assert r.token_ids == library.encode_ordinary(docs[i].text) and r.n_tokens == len(r.token_ids)
+
+
+def test_stages_keep_the_columns_and_take_any_rows(spark):
+    rows = [(1, None, None, None, 0, "x"), (2, "", "en", "s", 0, "x"),
+            (3, "word " * 3, "en", "s", 15, "x"), (3, "word " * 3, "en", "s", 15, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string,"
+                                       " n_chars long, keep string")
+    for frame in (docs, docs.limit(0)):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, frame, SF_SMALL)
+            assert out.columns == docs.columns
+            out.collect()
+        last = corpus_pipeline.STAGES[-1][1](spark, frame, SF_SMALL)
+        assert len(last.collect()) == frame.count()
