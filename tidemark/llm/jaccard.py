@@ -9,7 +9,8 @@ many documents ("hot") last, the others by hash. The order is cut into
 FRAGMENTS hash ranges and one fragment of hot n-grams; a set is cut into
 segments accordingly. The overlap of a pair is counted fragment by fragment
 and summed per pair; a pair is given up as soon as the fragments still to come
-cannot lift the sum to the bound.
+cannot lift the sum to the bound. Before that a pair is given up if the parity
+bitmaps of its sets (two bits per n-gram) differ in too many bits for a link.
 
 Which pairs are counted:
 
@@ -19,8 +20,8 @@ Which pairs are counted:
    at least percent % of the larger's n-grams.
 2. An n-gram in the prefixes of at most HOT nodes gives all its pairs, so at
    most (HOT - 1) / 2 per entry.
-3. An n-gram in more prefixes gives a star: every node is paired with the one
-   of the fewest rare n-grams (the least edited copy). The nodes around one
+3. An n-gram in more prefixes gives a star: every node is paired with one
+   centre, that of the fewest rare n-grams (the least edited copy). The nodes around one
    centre are a group. After the links so far are joined into components,
    the nodes of a group outside its largest component are compared with all
    nodes of the group, in blocks of bounded size, each block pair counting the
@@ -28,9 +29,8 @@ Which pairs are counted:
    component need no comparison: they are connected. So no link that could
    change a component is missed, and no group emits all its pairs.
 
-Hot n-grams are found from local counts and are at most MAX_HOT (the proven
-bound of what is broadcast); which n-grams are hot changes the work, never the
-result. Texts are not shuffled: sets are computed where the texts are read, and
+Hot n-grams are found by counting and are at most MAX_HOT (the proven bound of
+what is broadcast); which n-grams are hot changes the work, never the result. Texts are not shuffled: sets are computed where the texts are read, and
 those of the nodes to compare are computed again.
 
 Words are runs of bytes other than space and \\x09-\\x0D, with A-Z lowered. Fewer
@@ -49,31 +49,74 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import maybe_members, persist
+from tidemark.llm.common import anti_join, maybe_members, persist
 
 HOT = 16  # nodes in whose prefixes an n-gram may be before it is treated as a star
-MAX_HOT = 1 << 20
+MAX_HOT = 1 << 22  # 32 MB
+COUNTED = 0.3  # part of the order, from its beginning, whose n-grams are all counted
 FRAGMENTS = 4  # hash ranges; the hot fragment comes after them
 COUNT_AT_ONCE = 1 << 22  # n-grams counted together
-BLOCK_NGRAMS = 400_000  # n-grams of one side of a block pair
+BLOCK_NGRAMS = 200_000  # n-grams of one side of a block pair
 MATCHES_AT_ONCE = 1 << 22
 
 
+_random = np.random.default_rng(20)
+_BYTE = _random.integers(0, 1 << 64, 256, dtype=np.uint64)  # a random number per byte
+_BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2 ** 64
+_powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
+
+
+def _grown(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, at least n of each."""
+    global _powers
+    if len(_powers[0]) < n:
+        size = max(1 << 16, 1 << n.bit_length())
+        inverse = pow(_BASE, -1, 1 << 64)
+        _powers = tuple(np.multiply.accumulate(np.concatenate(
+            [np.ones(1, np.uint64), np.full(size, x, np.uint64)])) for x in (_BASE, inverse))
+    return _powers
+
+
 def ngrams(text: str | None, n: int = 5) -> np.ndarray:
-    """Sorted distinct hashes of the word n-grams of a text."""
-    from xxhash import xxh3_64_intdigest as digest
+    """Sorted distinct hashes of the word n-grams of a text. An n-gram is its
+    words joined by single spaces; its hash is that of the bytes as a polynomial
+    modulo 2 ** 64, taken from running sums, and mixed with the length."""
     words = text.encode("utf-8").lower().split() if text else []
     if not words:
         return np.empty(0, dtype=np.int64)
-    joined = b" ".join(words)
-    if len(words) < n:
-        found = [digest(joined)]
-    else:
-        ends = np.cumsum([len(w) + 1 for w in words]) - 1
-        starts = np.concatenate([[0], ends[:-1] + 1])
-        found = [digest(joined[a:b])
-                 for a, b in zip(starts[:len(words) - n + 1].tolist(), ends[n - 1:].tolist())]
-    return np.unique(np.array(found, dtype=np.uint64).view(np.int64))
+    joined = np.frombuffer(b" ".join(words), dtype=np.uint8)
+    up, down = _grown(len(joined) + 1)
+    sums = np.zeros(len(joined) + 1, dtype=np.uint64)
+    np.cumsum(_BYTE[joined] * up[:len(joined)], out=sums[1:])
+    blanks = np.flatnonzero(joined == 32)
+    ends = np.append(blanks, len(joined))[min(n, len(words)) - 1:]
+    starts = np.append(0, blanks + 1)[:len(ends)]
+    found = (sums[ends] - sums[starts]) * down[starts]
+    found ^= (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        found = (found ^ (found >> np.uint64(shift))) * np.uint64(factor)
+    return np.unique((found ^ (found >> np.uint64(31))).view(np.int64))
+
+
+def parity(grams: np.ndarray) -> bytes:
+    """A bitmap of twice as many bits as n-grams or more (a power of two): bit i
+    tells whether an odd number of them has i as its last bits."""
+    bits = 64
+    while bits < 2 * len(grams):
+        bits <<= 1
+    odd = np.bincount(grams & (bits - 1), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def most_overlap(n_a: int, parity_a: bytes, n_b: int, parity_b: bytes) -> int:
+    """At least the overlap of two sets: bits that differ, once the larger
+    bitmap is folded, are as many n-grams at least that only one of them has."""
+    a, b = np.frombuffer(parity_a, np.uint8), np.frombuffer(parity_b, np.uint8)
+    while len(a) != len(b):
+        if len(a) < len(b):
+            a, b = b, a
+        a = a[:len(a) // 2] ^ a[len(a) // 2:]
+    return (n_a + n_b - int(np.bitwise_count(a ^ b).sum())) // 2
 
 
 def prefix_length(size: int, percent: int) -> int:
@@ -105,17 +148,22 @@ def _fragment_of(grams: np.ndarray) -> np.ndarray:
 # ------------------------------------------------------------------ 1: sets
 def hot_ngrams(docs: DataFrame, text_col: str, n: int) -> np.ndarray:
     """N-grams counted in more than HOT documents, the most frequent MAX_HOT of
-    them. Counted in chunks of a task's documents; what occurs once in a chunk
-    is left out of the sum."""
+    them. Counts are taken in chunks of a task's documents and summed. Prefixes
+    lie at the beginning of the order, so n-grams of its first part are counted
+    all; from the rest, what occurs once in a chunk is left out of the sum."""
+    begins = np.uint64(int(COUNTED * (1 << 64)))
+
     def count(batches):
         held, seen, size = [], set(), 0
 
         def flush():
             grams, times = np.unique(np.concatenate(held), return_counts=True)
-            many = times > 1
-            return pa.RecordBatch.from_arrays(
-                [pa.array(grams[many]), pa.array(times[many].astype(np.int64))],
-                names=["gram", "times"])
+            kept = (times > 1) | ((grams.view(np.uint64) ^ np.uint64(1 << 63)) < begins)
+            grams, times = grams[kept], times[kept].astype(np.int32)
+            for lo in range(0, len(grams), 200_000):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(grams[lo:lo + 200_000]), pa.array(times[lo:lo + 200_000])],
+                    names=["gram", "times"])
 
         for batch in batches:
             for text in batch.column(0):
@@ -127,13 +175,13 @@ def hot_ngrams(docs: DataFrame, text_col: str, n: int) -> np.ndarray:
                 held.append(grams)
                 size += len(grams)
                 if size >= COUNT_AT_ONCE:
-                    yield flush()
+                    yield from flush()
                     held, seen, size = [], set(), 0
         if held:
-            yield flush()
+            yield from flush()
 
     counted = (docs.select(F.col(f"`{text_col}`").cast("string"))
-               .mapInArrow(count, "gram long, times long")
+               .mapInArrow(count, "gram long, times int")
                .groupBy("gram").agg(F.sum("times").alias("times"))
                .filter(F.col("times") > HOT))
     most = counted.orderBy(F.desc("times"), "gram").limit(MAX_HOT).select("gram")
@@ -142,15 +190,15 @@ def hot_ngrams(docs: DataFrame, text_col: str, n: int) -> np.ndarray:
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int,
                hot: np.ndarray) -> DataFrame:
-    """Per document: id, set size, node, number of cold n-grams, and the cold
-    and hot part of its prefix (packed 64-bit hashes)."""
+    """Per document: id, set size, node, number of cold n-grams, parity bitmap,
+    and the cold and hot part of its prefix (packed 64-bit hashes)."""
     kind = dict(docs.dtypes)[id_col]
     shared = docs.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches):
         hot = shared.value
         for batch in batches:
-            sizes, nodes, colds, cold_parts, hot_parts = [], [], [], [], []
+            sizes, nodes, colds, bitmaps, cold_parts, hot_parts = [], [], [], [], [], []
             for text in batch.column(1):
                 grams = ngrams(text.as_py(), n)
                 warm = _is_hot(hot, grams)
@@ -159,38 +207,38 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int
                 sizes.append(len(grams))
                 nodes.append(_node(_digest(grams)) if len(grams) else None)
                 colds.append(len(cold))
+                bitmaps.append(parity(grams))
                 cold_parts.append(cold[:take].tobytes())
                 hot_parts.append(grams[warm][:max(0, take - len(cold))].tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int32()), pa.array(nodes, pa.int64()),
-                 pa.array(colds, pa.int32()), pa.array(cold_parts, pa.binary()),
-                 pa.array(hot_parts, pa.binary())],
-                names=["id", "n", "node", "n_cold", "cold", "hot"])
+                 pa.array(colds, pa.int32()), pa.array(bitmaps, pa.binary()),
+                 pa.array(cold_parts, pa.binary()), pa.array(hot_parts, pa.binary())],
+                names=["id", "n", "node", "n_cold", "parity", "cold", "hot"])
 
     return docs.select(F.col(f"`{id_col}`").alias("id"),
                        F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(
-        run, f"id {kind}, n int, node long, n_cold int, cold binary, hot binary")
+        run, f"id {kind}, n int, node long, n_cold int, parity binary, cold binary, hot binary")
 
 
 # ------------------------------------------------------------------ 2: candidates
-def _entries(nodes: DataFrame, part: str) -> DataFrame:
-    """(gram, node, n, n_cold): one row per n-gram of that part of the prefix."""
+def _entries(nodes: DataFrame, part: str, size: str) -> DataFrame:
+    """(gram, node, size): one row per n-gram of that part of the prefix."""
     def run(batches):
         for batch in batches:
-            raw = batch.column(3)
-            grams = [np.frombuffer(x.as_py(), dtype=np.int64) for x in raw]
+            grams = [np.frombuffer(x.as_py(), dtype=np.int64) for x in batch.column(2)]
             times = np.array([len(g) for g in grams], dtype=np.int64)
             columns = [np.repeat(batch.column(i).to_numpy(zero_copy_only=False), times)
-                       for i in range(3)]
+                       for i in range(2)]
             flat = np.concatenate(grams) if grams else np.empty(0, np.int64)
             for lo in range(0, len(flat), 200_000):
                 cut = slice(lo, lo + 200_000)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(flat[cut]), *(pa.array(c[cut]) for c in columns)],
-                    names=["gram", "node", "n", "n_cold"])
+                    names=["gram", "node", "size"])
 
-    return (nodes.select("node", "n", "n_cold", part).filter(F.octet_length(part) > 0)
-            .mapInArrow(run, "gram long, node long, n int, n_cold int"))
+    return (nodes.select("node", size, part).filter(F.octet_length(part) > 0)
+            .mapInArrow(run, "gram long, node long, size int"))
 
 
 def _pairs_of(gram, node, size, percent):
@@ -213,9 +261,9 @@ def _pairs_of(gram, node, size, percent):
 
 def _cold_candidates(nodes: DataFrame, percent: int) -> DataFrame:
     """(a, b, star): pairs of n-grams in at most HOT prefixes; for others the
-    pairs with the centre a, the first by (n_cold, node)."""
+    pairs with the centre a, the first node."""
     def run(batches) -> Iterator[pa.RecordBatch]:
-        held = np.empty((0, 4), np.int64)  # rows of the last n-gram seen
+        held = np.empty((0, 3), np.int64)  # rows of the last n-gram seen
         star = False  # it has more than HOT rows; held is its centre
 
         def out(pairs, is_star):
@@ -232,7 +280,7 @@ def _cold_candidates(nodes: DataFrame, percent: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             new = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64)
-                            for i in range(4)], axis=1)
+                            for i in range(3)], axis=1)
             if star:
                 same = new[:, 0] == held[0, 0]
                 if same.any():
@@ -240,14 +288,14 @@ def _cold_candidates(nodes: DataFrame, percent: int) -> DataFrame:
                     new = new[~same]
                 if not len(new):
                     continue
-                held, star = np.empty((0, 4), np.int64), False
+                held, star = np.empty((0, 3), np.int64), False
             rows = np.concatenate([held, new])
             first = np.flatnonzero(np.concatenate([[True], rows[1:, 0] != rows[:-1, 0]]))
             count = np.diff(np.concatenate([first, [len(rows)]]))
             done = count <= HOT
             done[-1] = False
             small = np.repeat(done & (count > 1), count)
-            pairs = _pairs_of(*rows[small][:, :3].T, percent)
+            pairs = _pairs_of(*rows[small].T, percent)
             if len(pairs):
                 yield out(pairs, False)
             for i in np.flatnonzero(count > HOT):
@@ -256,25 +304,47 @@ def _cold_candidates(nodes: DataFrame, percent: int) -> DataFrame:
             star = count[-1] > HOT
             held = rows[first[-1]:first[-1] + 1] if star else rows[first[-1]:]
         if not star and len(held) > 1:
-            pairs = _pairs_of(*held[:, :3].T, percent)
+            pairs = _pairs_of(*held.T, percent)
             if len(pairs):
                 yield out(pairs, False)
 
-    return (_entries(nodes, "cold").repartition("gram")
-            .sortWithinPartitions("gram", "n_cold", "node")
+    return (_entries(nodes, "cold", "n").repartition("gram")
+            .sortWithinPartitions("gram", "node")
             .mapInArrow(run, "a long, b long, star boolean"))
 
 
 def _hot_stars(nodes: DataFrame) -> DataFrame:
     """(a, b): centre and node of every hot n-gram, the centre with itself too.
     Centres meet by partial minima; there are at most MAX_HOT of them."""
-    entries = _entries(nodes, "hot").select("gram", "n_cold", "node")
-    centres = entries.groupBy("gram").agg(F.min(F.struct("n_cold", "node")).alias("c")).select(
+    entries = _entries(nodes, "hot", "n_cold")
+    centres = entries.groupBy("gram").agg(F.min(F.struct("size", "node")).alias("c")).select(
         "gram", F.col("c.node").alias("a"))
     return (entries.join(F.broadcast(centres), "gram")
             .select("a", F.col("node").alias("b")).distinct())
 
 
+def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sizes and parity bitmaps allow a link."""
+    def side(name: str) -> DataFrame:
+        return nodes.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"),
+                            F.col("parity").alias(f"parity_{name}"))
+
+    both = (pairs.join(side("a"), "a").join(side("b"), "b")
+            .filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+            .select("a", "b", "n_a", "n_b", "parity_a", "parity_b"))
+
+    def run(batches):
+        for batch in batches:
+            n_a, n_b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            fits = [(100 + percent) * most_overlap(x, p.as_py(), y, q.as_py()) >= percent * (x + y)
+                    for x, y, p, q in zip(n_a, n_b, batch.column(4), batch.column(5))]
+            keep = pa.array(np.flatnonzero(fits))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(keep), batch.column(1).take(keep)], names=["a", "b"])
+
+    return both.mapInArrow(run, "a long, b long")
+
+
 # ------------------------------------------------------------------ 3: overlaps
 def _segments(docs: DataFrame, id_col: str, text_col: str, n: int, hot: np.ndarray,
               chosen: DataFrame, known: DataFrame) -> DataFrame:
@@ -285,8 +355,8 @@ def _segments(docs: DataFrame, id_col: str, text_col: str, n: int, hot: np.ndarr
     shared = docs.sparkSession.sparkContext.broadcast(hot)
     near = maybe_members(
         docs.select(F.col(f"`{id_col}`").alias("id"),
-                    F.col(f"`{text_col}`").cast("string").alias("text")), "id", ids, "id"
-    ).filter("_maybe or id is null").select("text")
+                    F.col(f"`{text_col}`").cast("string").alias("text")), "id", ids, "id",
+        "maybe").filter("maybe or id is null").select("text")
 
     def run(batches):
         hot, names = shared.value, ["node", "n", "fragment", "size", "grams"]
@@ -468,22 +538,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id_col, n_shingles, component_id) for every row of `docs`: the size of
     its set, and the smallest id reachable by links, itself included."""
     hot = hot_ngrams(docs, text_col, words)
-    known = persist(signatures(docs, id_col, text_col, words, percent, hot), "jaccard-sets")
-    nodes = known.filter("n > 0").select("node", "n", "n_cold", "cold", "hot").dropDuplicates(
-        ["node"])
+    known = persist(signatures(docs, id_col, text_col, words, percent, hot).withColumn(
+        "row", F.monotonically_increasing_id()), "jaccard-sets")
+    # One row per node. Only rows of equal sets move.
+    firsts = known.filter("n > 0").groupBy("node").agg(
+        F.min("row").alias("first"), F.count("*").alias("rows")).filter("rows > 1")
+    copies = persist(known.select("node", "row").join(firsts, "node").filter("row > first")
+                     .select("row"), "jaccard-copies")
+    nodes = anti_join(known.filter("n > 0"), "row", copies, "row")
     cold = persist(_cold_candidates(nodes, percent).distinct(), "jaccard-candidates")
     stars = persist(
         cold.filter("star").select("a", "b").unionByName(_hot_stars(nodes)).distinct(),
         "jaccard-stars")
-    pairs = persist(
-        cold.filter("not star").select("a", "b").unionByName(
-            stars.filter("a <> b").select(F.least("a", "b").alias("a"),
-                                          F.greatest("a", "b").alias("b"))).distinct(),
-        "jaccard-pairs")
+    pairs = cold.filter("not star").select("a", "b").unionByName(
+        stars.filter("a <> b").select(F.least("a", "b").alias("a"),
+                                      F.greatest("a", "b").alias("b"))).distinct()
+    pairs = persist(_possible(pairs, nodes, percent), "jaccard-pairs")
     light = known.select("id", "n", "node")
     chosen = persist(
-        pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(),
-        "jaccard-nodes")
+        pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(
+            stars.select("a")).union(stars.select("b")).distinct(), "jaccard-nodes")
     segments = persist(_segments(docs, id_col, text_col, words, hot, chosen, light),
                        "jaccard-segments")
     links = persist(_verified(pairs, segments, percent), "jaccard-links")
