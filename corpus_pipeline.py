@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import bpe, decontaminate, jaccard, quality
-from tidemark.llm.common import anti_join, persist, table
+from tidemark.llm.common import anti_join, persist, shipped, table
 from tidemark.llm.queries import tokenizer
 
 
@@ -36,10 +36,10 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
                               "token_ids")
 
 
-STAGES = [("quality_classifier", keep_quality),
-          ("ngram_jaccard_join", keep_one_of_near_copies),
-          ("benchmark_decontamination", drop_benchmark_leaks),
-          ("bpe_encoding", encode_tokens)]
+STAGES = [("quality_classifier", shipped(keep_quality)),
+          ("ngram_jaccard_join", shipped(keep_one_of_near_copies)),
+          ("benchmark_decontamination", shipped(drop_benchmark_leaks)),
+          ("bpe_encoding", shipped(encode_tokens))]
 
 # SQL has neither the language model, nor aligned edits, nor byte pair merges:
 # tests/llm holds run() against a brute-force version instead.

@@ -3,7 +3,11 @@ large semi / anti joins that shuffle only the rows that can match."""
 
 from __future__ import annotations
 
+import functools
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +19,31 @@ from tidemark.session import ensure_checkpoint_dir
 MAX_BITMAP_BITS = 1 << 24
 
 
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, wherever the driver
+    found it: once per Spark application, as `--py-files` would do."""
+    context = spark.sparkContext
+    if getattr(context, "_tidemark_shipped", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    # The driver serves the file to the executors for as long as it runs.
+    bundle = f"{tempfile.mkdtemp(prefix='tidemark-code-')}/tidemark.zip"
+    with zipfile.ZipFile(bundle, "w") as z:
+        for path in sorted(package.rglob("*.py")):
+            z.write(path, path.relative_to(package.parent))
+    context.addPyFile(bundle)
+    context._tidemark_shipped = True
+
+
+def shipped(query):
+    """A query or stage (spark, ...) that ships the package first."""
+    @functools.wraps(query)
+    def run(spark, *args):
+        ship(spark)
+        return query(spark, *args)
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
     ann, bpe, chat, decontaminate, html_extract, jaccard, quality, token_counts, url_rules, warc)
-from tidemark.llm.common import table
+from tidemark.llm.common import shipped, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -24,7 +24,7 @@ def tokenizer(name: str = "byte_bpe_50k.tiktoken") -> tuple[str, str]:
 
 def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        QUERIES[name] = shipped(fn)
         if sql is not None:
             ORACLE_SQL[name] = sql
         return fn
