@@ -16,10 +16,11 @@ query's order. The number of leaves to visit is widened until the share of true
 neighbours found reaches the target recall; it is the same for every query.
 
 Index. Every vector is put into the leaf that it reaches by going to the nearest
-centre at each node. Leaves are cut into pieces and the queries that visit a
-leaf into blocks, both of at most PIECE_ROWS rows on average, so a hot leaf is
-many tasks' work. A task scores one block against one piece by a matrix product
-and returns its best; partial results meet by query.
+centre at each node. Small neighbouring leaves form a bundle. Bundles are cut
+into pieces and the queries that visit one into blocks, both of about PIECE_ROWS
+rows, so a hot leaf is many tasks' work. A task scores one block against the
+visited leaves of one piece by a matrix product and returns its best; partial
+results meet by query.
 
 Equal vectors are one vector with its smallest k + 1 ids, which is all that k
 nearest can use of them, so copies cost nothing and tie exactly. Scores are
@@ -248,24 +249,34 @@ def search(spark: SparkSession, df: DataFrame, queries, id_col: str = "vec_id",
     query_vectors = vectors.join(asked.select("gid").distinct(), "gid", "left_semi")
     visits = persist(query_vectors.select("gid", "vec").mapInArrow(walk, "gid long, leaf long"),
                      "ann-visits")
-    # At most one row per leaf: how often a leaf is cut, on either side.
-    cuts = (index.groupBy("leaf").agg(F.ceil(F.count("*") / PIECE_ROWS).alias("pieces"))
-            .join(visits.groupBy("leaf").agg(F.ceil(F.count("*") / PIECE_ROWS).alias("blocks")),
-                  "leaf"))
-    cuts = F.broadcast(cuts)
+    # At most one row per leaf. Neighbouring leaves that are small together are
+    # one bundle, so that a task returns the best of a bundle, not of each leaf.
+    leaves = index.groupBy("leaf").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.orderBy("leaf").rowsBetween(
+        Window.unboundedPreceding, -1))
+    bundles = leaves.withColumn("bundle", F.floor(F.coalesce(before, F.lit(0)) / PIECE_ROWS))
+    bundles = persist(bundles, "ann-bundles")
+    pieces = bundles.groupBy("bundle").agg(F.ceil(F.sum("n") / PIECE_ROWS).alias("pieces"))
+    of_leaf = F.broadcast(bundles.select("leaf", "bundle"))
+    asked_of = persist(visits.join(of_leaf, "leaf").groupBy("bundle", "gid").agg(
+        F.collect_list("leaf").alias("leaves")), "ann-asked")
+    cuts = F.broadcast(pieces.join(asked_of.groupBy("bundle").agg(
+        F.ceil(F.count("*") / PIECE_ROWS).alias("blocks")), "bundle"))
     mix = F.xxhash64("gid")
-    side_q = (visits.join(cuts, "leaf").withColumn("block", F.pmod(mix, "blocks"))
+    side_q = (asked_of.join(cuts, "bundle").withColumn("block", F.pmod(mix, "blocks"))
               .withColumn("piece", F.explode(F.expr("sequence(0L, pieces - 1)")))
               .join(query_vectors.select("gid", "vec"), "gid")
-              .select("leaf", "block", "piece", F.lit(True).alias("q"), "gid", "vec"))
-    side_d = (index.join(cuts, "leaf").withColumn("piece", F.pmod(mix, "pieces"))
+              .select("bundle", "block", "piece", F.lit(True).alias("q"), "gid", "vec", "leaves"))
+    side_d = (index.join(of_leaf, "leaf").join(cuts, "bundle")
+              .withColumn("piece", F.pmod(mix, "pieces"))
               .withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)")))
-              .select("leaf", "block", "piece", F.lit(False).alias("q"), "gid", "vec"))
+              .select("bundle", "block", "piece", F.lit(False).alias("q"), "gid", "vec",
+                      F.array("leaf").alias("leaves")))
 
     def score(key, frame):
         return score_block(frame, k + 1)
 
-    found = side_q.unionByName(side_d).groupBy("leaf", "block", "piece").applyInPandas(
+    found = side_q.unionByName(side_d).groupBy("bundle", "block", "piece").applyInPandas(
         score, "q_gid long, gid long, score double")
     # Best vectors per query vector, then their ids, then per query row.
     ids = vectors.select("gid", "ids")
@@ -290,14 +301,18 @@ def score_block(frame, best: int):
         return pd.DataFrame({"q_gid": [], "gid": [], "score": []}).astype(
             {"q_gid": "int64", "gid": "int64", "score": "float64"})
     matrix = np.stack(frame["vec"].to_numpy()).astype(np.float64)
-    gid = frame["gid"].to_numpy()
+    gid, leaves = frame["gid"].to_numpy(), frame["leaves"].to_numpy()
     queries, rows = matrix[is_query], matrix[~is_query]
     q_gid, r_gid = gid[is_query], gid[~is_query]
-    rough = scaled(queries) @ scaled(rows).T
+    # Only the leaves that a query visits count for it.
+    known, leaf = np.unique([x[0] for x in leaves[~is_query]], return_inverse=True)
+    visited = np.array([np.isin(known, x) for x in leaves[is_query]])
+    rough = np.where(visited[:, leaf], scaled(queries) @ scaled(rows).T, -np.inf)
     take = min(best + 4, len(rows))
     part = np.argpartition(-rough, take - 1, axis=1)[:, :take]
     # All rows as near as the last one taken, but for rounding.
     floor = np.take_along_axis(rough, part, axis=1).min(axis=1) - 1e-12
+    rough[~visited[:, leaf]] = np.nan
     at_q, at_r = np.nonzero(rough >= floor[:, None])
     a, b = queries[at_q], rows[at_r]
     score = cosine(a, b)
