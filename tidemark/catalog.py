@@ -22,10 +22,17 @@ from tidemark.sources import extracts, testviews
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+
 def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse.from_testdata(spark, sf_dir)
 
 
+def _shared_wh(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """For queries over many models: the dimension and the resolved invoices are
+    written once under the checkpoint folder instead of planned again for each."""
+    return Warehouse.from_testdata(spark, sf_dir, materialize=True)
+
+
 def register(name: str) -> Callable[[Query], Query]:
     def deco(fn: Query) -> Query:
         QUERIES[name] = fn
@@ -52,7 +59,7 @@ def load_summary(spark, sf_dir):
 # ------------------------------------------------------------ expectations
 @register("expect_unique")
 def expect_unique(spark, sf_dir):
-    frames = [checks.unique_checks(_wh(spark, sf_dir))]
+    frames = [checks.unique_checks(_shared_wh(spark, sf_dir))]
     lineitem = testviews.table(spark, sf_dir, "lineitem")
     frames.append(quality.expect_unique(lineitem, ["l_orderkey", "l_linenumber"], "lineitem"))
     return quality.union_all(frames)
@@ -60,7 +67,7 @@ def expect_unique(spark, sf_dir):
 
 @register("expect_not_null")
 def expect_not_null(spark, sf_dir):
-    return checks.not_null_checks(_wh(spark, sf_dir))
+    return checks.not_null_checks(_shared_wh(spark, sf_dir))
 
 
 @register("expect_accepted_values")
@@ -70,7 +77,7 @@ def expect_accepted_values(spark, sf_dir):
 
 @register("expect_relationships")
 def expect_relationships(spark, sf_dir):
-    return checks.relationship_checks(_wh(spark, sf_dir))
+    return checks.relationship_checks(_shared_wh(spark, sf_dir))
 
 
 @register("assert_no_scd_overlap")

@@ -2,10 +2,10 @@
 marts, checks and reports out.
 
 `Warehouse` builds each model once as a DataFrame, in dependency order, on
-first use. With `materialize=True` the resolved invoices, which two marts read,
-are written once under `spark.checkpoint.dir` and re-read (see
-`tidemark.session.materialize`), and models read the marts that `run` has
-written; otherwise every model stays a lazy plan, which is what a single ad-hoc
+first use. With `materialize=True` the SCD2 dimension and the resolved invoices,
+which several models read, are written once under `spark.checkpoint.dir` and
+re-read (see `tidemark.session.materialize`); `run` writes the dimension as a mart
+and reads that. Otherwise every model stays a lazy plan, which is what a single ad-hoc
 query wants.
 """
 
@@ -49,6 +49,7 @@ class Warehouse:
         self.null_safe = null_safe
         self.wide_rows = wide_rows
         self.written: dict[str, DataFrame] = {}
+        self.owns_writes = False  # set by `run`, which writes the dimension itself
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> "Warehouse":
@@ -84,6 +85,9 @@ class Warehouse:
         """The written dimension where there is one: it holds the same rows."""
         if "dim_customer" in self.written:
             return self.written["dim_customer"]
+        return self._shared(self._scd(), "int_customer_scd")
+
+    def _scd(self) -> DataFrame:
         # built from the history with its helper columns kept, so the lag,
         # running sum, island grouping and lead share one exchange
         return marts.int_customer_scd(marts.int_customer_history(
@@ -99,7 +103,9 @@ class Warehouse:
     # marts
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return marts.dim_customer(self.int_customer_scd)
+        # the nightly run writes it first and then reads it as the SCD
+        shared = "int_customer_scd" in self.__dict__ or not self.owns_writes
+        return marts.dim_customer(self.int_customer_scd if shared else self._scd())
 
     @cached_property
     def dim_plan(self) -> DataFrame:
@@ -216,6 +222,7 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], out_dir: str,
 
     wh = Warehouse(spark, sources, materialize=True, run_id=run_id, calendar=calendar,
                    null_safe=null_safe, wide_rows=wide_rows)
+    wh.owns_writes = True
     root = f"{out_dir.rstrip('/')}/runs/{wh.run_id}"
     paths: dict[str, str] = {}
 
