@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import _rows, codec
-from tidemark.llm.common import open_shared, persist, scratch_dir
+from tidemark.llm.common import open_shared, persist, scratch_dir, tidy
 
 BLOCK_TOKENS = 1 << 20
 
@@ -56,6 +56,7 @@ def write_token_files(df: DataFrame, id_col: str, text_col: str, path: str, patt
     source = df.select(F.col(f"`{id_col}`").alias("id"),
                        F.col(f"`{text_col}`").cast("string").alias("text"))
 
+    @tidy
     def run(batches):
         filesystem, base = open_shared(folder)
         c = codec(path, pattern)
@@ -103,6 +104,7 @@ def scan_counts(files: DataFrame, folder: str, separator: int, dtype: str = "<u2
               .drop("n_bytes")
               .repartition("file", "start"))
 
+    @tidy
     def run(batches):
         filesystem, base = open_shared(folder)
         for batch in batches:
@@ -168,5 +170,6 @@ def token_counts(spark: SparkSession, df: DataFrame, id_col: str, text_col: str,
     dtype = id_type(max(codec(path, pattern).vocab.size, separator + 1))
     counts = scan_counts(with_size, folder, separator, dtype, block_tokens).filter("closed")
     names = known.filter("ordinal is not null").select("file", "ordinal", "id")
-    return (names.join(counts, ["file", "ordinal"])
+    # Both sides are a row per document: no broadcast, however small they look.
+    return (names.hint("merge").join(counts, ["file", "ordinal"])
             .select(F.col("id").alias(id_col), "n_tokens"))
