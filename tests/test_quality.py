@@ -41,9 +41,10 @@ def test_leave_one_out_does_not_mask_the_anomaly(spark):
 
 
 def test_threshold_is_configurable(spark):
-    base = [495, 505, 498, 502, 500, 497, 503, 499, 501, 496, 504, 500, 498]
+    # mean 200, variance 14; the last day is 2.7 deviations below
+    base = [194, 206, 197, 203, 200, 196, 204, 199, 201, 195, 205, 202, 198]
     c = {f"2026-08-{i:02d}": v for i, v in zip(range(1, 14), base)}
-    c["2026-08-14"] = 490
+    c["2026-08-14"] = 190
     assert zscore(spark, c, 1.0)[1].volume_status == "alert"
     assert zscore(spark, c, 5.0)[1].volume_status == "ok"
     # agrees with the population std of the other days
@@ -52,7 +53,7 @@ def test_threshold_is_configurable(spark):
     others = base
     mean = sum(others) / len(others)
     std = math.sqrt(sum((v - mean) ** 2 for v in others) / len(others))
-    assert abs(z - (490 - mean) / std) < 1e-12
+    assert abs(z - (190 - mean) / std) < 1e-12
 
 
 def test_one_day_only_has_no_baseline(spark):
