@@ -28,14 +28,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_CHARS = 1 << 21  # texts are encoded together up to so many characters
-CACHE_PIECES = 500_000  # matches kept by a Python worker
+from tidemark.llm.common import tidy
+
+CHUNK_CHARS = 1 << 20  # texts are encoded together up to so many characters
+CACHE_PIECES = 300_000  # matches kept by a Python worker
 CACHE_BYTES = 32  # longer matches are not kept
 NEVER = np.int64(1) << 60  # rank of a pair that does not merge
 POS_BITS = 24
 WIDE = 64  # longer matches get a tree of their own
 WIDTHS = (1, 2, 4, 8, 16, 32, 64)  # leaves of a tree
-ROWS_AT_ONCE = 20_000
+ROWS_AT_ONCE = 10_000
 
 
 class Vocabulary:
@@ -303,6 +305,7 @@ def encode(df: DataFrame, text_col: str, path: str, pattern: str,
     schema = T.StructType([df.schema[c] for c in rest]
                           + [T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
 
+    @tidy
     def run(batches):
         c = codec(path, pattern)
         for batch in batches:
@@ -331,6 +334,7 @@ def decode(df: DataFrame, ids_col: str, path: str, pattern: str,
     source = df.select(*[F.col(f"`{c}`") for c in rest])
     at = rest.index(ids_col)
 
+    @tidy
     def run(batches):
         c = codec(path, pattern)
         for batch in batches:
@@ -348,6 +352,7 @@ def round_trip(df: DataFrame, id_col: str, text_col: str, path: str, pattern: st
     source = df.select(F.col(f"`{id_col}`").alias(id_col),
                        F.col(f"`{text_col}`").cast("string").alias("__text"))
 
+    @tidy
     def run(batches):
         c = codec(path, pattern)
         for batch in batches:

@@ -3,6 +3,7 @@ large semi / anti joins that shuffle only the rows that can match."""
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import tempfile
 import uuid
@@ -17,6 +18,7 @@ from tidemark.session import ensure_checkpoint_dir
 # A membership bitmap has at most this many bits: as rows of 64 bits it is at
 # most 262,144 rows, the proven bound of its broadcast.
 MAX_BITMAP_BITS = 1 << 24
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
@@ -36,14 +38,34 @@ def ship(spark: SparkSession) -> None:
 
 
 def shipped(query):
-    """A query or stage (spark, ...) that ships the package first."""
+    """A query or stage (spark, ...) that ships the package first, and keeps
+    Arrow batches small where the session has Spark's default: texts are long,
+    and a worker holds a whole batch."""
     @functools.wraps(query)
     def run(spark, *args):
         ship(spark)
+        if spark.conf.get(BATCH_ROWS) == "10000":
+            spark.conf.set(BATCH_ROWS, "2000")
         return query(spark, *args)
     return run
 
 
+def tidy(run):
+    """A function of Arrow batches that gives freed memory back to the system
+    when its task ends: workers are used again, by other operators too."""
+    @functools.wraps(run)
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            import pyarrow
+            pyarrow.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+            if trim is not None:
+                trim(0)
+    return task
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

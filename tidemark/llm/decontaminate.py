@@ -35,13 +35,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import anti_join, persist
+from tidemark.llm.common import anti_join, persist, tidy
 
 Q = 8
 RATE = 0.1
 SHARD_CHARS = 4_000_000
 CHUNK_CHARS = 1 << 20  # documents are scanned together up to so many characters
-HITS_AT_ONCE = 1 << 21
+HITS_AT_ONCE = 1 << 19
 TABLE_BITS = 22
 BASE = 0x9E3779B97F4A7C15
 SPACE = np.uint32(32)
@@ -283,13 +283,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     source = docs.select(F.col(f"`{id_col}`").alias("id"),
                          F.col(f"`{text_col}`").cast("string").alias("text"))
     schema = f"`{id_col}` {kind}, `{item_col}` {item_kind}, `start` int, `end` int, edits int"
-    found = None
-    for shard in range(shards):
-        part = items if shards == 1 else items.filter(
-            F.pmod(F.xxhash64("item", "text"), F.lit(shards)) == shard)
-        shared = spark.sparkContext.broadcast([tuple(r) for r in part.collect()])
 
-        def run(batches, shared=shared):
+    def scanner(shared):
+        @tidy
+        def run(batches):
             bench, names = Benchmark(shared.value, rate), [id_col, item_col, "start", "end", "edits"]
             for batch in batches:
                 for lo in range(0, batch.num_rows, 500):
@@ -304,7 +301,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
                          *(pa.array([r[i] for r in rows], pa.int32()) for i in (2, 3, 4))],
                         names=names)
 
-        one = source.mapInArrow(run, schema)
+        return run
+
+    found = None
+    for shard in range(shards):
+        part = items if shards == 1 else items.filter(
+            F.pmod(F.xxhash64("item", "text"), F.lit(shards)) == shard)
+        shared = spark.sparkContext.broadcast([tuple(r) for r in part.collect()])
+        one = source.mapInArrow(scanner(shared), schema)
         found = one if found is None else found.unionByName(one)
     return found
 
