@@ -49,19 +49,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import anti_join, maybe_members, persist
+from tidemark.llm.common import anti_join, maybe_members, persist, tidy
 
 HOT = 16  # nodes in whose prefixes an n-gram may be before it is treated as a star
 MAX_HOT = 1 << 22  # 32 MB
-COUNTED = 0.3  # part of the order, from its beginning, whose n-grams are all counted
+COUNTED = 0.6  # part of the order, from its beginning, whose n-grams are all counted
 FRAGMENTS = 4  # hash ranges; the hot fragment comes after them
-COUNT_AT_ONCE = 1 << 22  # n-grams counted together
-BLOCK_NGRAMS = 200_000  # n-grams of one side of a block pair
+COUNT_AT_ONCE = 1 << 21  # n-grams counted together
+BLOCK_NGRAMS = 100_000  # n-grams of one side of a block pair
 MATCHES_AT_ONCE = 1 << 22
 
 
-_random = np.random.default_rng(20)
-_BYTE = _random.integers(0, 1 << 64, 256, dtype=np.uint64)  # a random number per byte
+# A random-looking number per byte, the same in every worker.
+_BYTE = np.array([int.from_bytes(hashlib.blake2b(bytes([b]), digest_size=8).digest(), "little")
+                  for b in range(256)], dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2 ** 64
 _powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
 
@@ -147,12 +148,13 @@ def _fragment_of(grams: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------------ 1: sets
 def hot_ngrams(docs: DataFrame, text_col: str, n: int) -> np.ndarray:
-    """N-grams counted in more than HOT documents, the most frequent MAX_HOT of
-    them. Counts are taken in chunks of a task's documents and summed. Prefixes
+    """N-grams counted in more than HOT documents, or in more than the least power
+    of two times HOT that leaves at most MAX_HOT of them. Counts are taken in chunks of a task's documents and summed. Prefixes
     lie at the beginning of the order, so n-grams of its first part are counted
     all; from the rest, what occurs once in a chunk is left out of the sum."""
     begins = np.uint64(int(COUNTED * (1 << 64)))
 
+    @tidy
     def count(batches):
         held, seen, size = [], set(), 0
 
@@ -180,12 +182,15 @@ def hot_ngrams(docs: DataFrame, text_col: str, n: int) -> np.ndarray:
         if held:
             yield from flush()
 
-    counted = (docs.select(F.col(f"`{text_col}`").cast("string"))
+    counted = persist(docs.select(F.col(f"`{text_col}`").cast("string"))
                .mapInArrow(count, "gram long, times int")
                .groupBy("gram").agg(F.sum("times").alias("times"))
-               .filter(F.col("times") > HOT))
-    most = counted.orderBy(F.desc("times"), "gram").limit(MAX_HOT).select("gram")
-    return np.sort(np.array(most.toPandas()["gram"], dtype=np.int64))
+               .filter(F.col("times") > HOT), "jaccard-hot")
+    least = HOT
+    while counted.filter(F.col("times") > least).count() > MAX_HOT:
+        least *= 2
+    found = counted.filter(F.col("times") > least).select("gram").toArrow().column(0)
+    return np.sort(found.to_numpy().astype(np.int64))
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int,
@@ -195,6 +200,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int
     kind = dict(docs.dtypes)[id_col]
     shared = docs.sparkSession.sparkContext.broadcast(hot)
 
+    @tidy
     def run(batches):
         hot = shared.value
         for batch in batches:
@@ -224,6 +230,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int
 # ------------------------------------------------------------------ 2: candidates
 def _entries(nodes: DataFrame, part: str, size: str) -> DataFrame:
     """(gram, node, size): one row per n-gram of that part of the prefix."""
+    @tidy
     def run(batches):
         for batch in batches:
             grams = [np.frombuffer(x.as_py(), dtype=np.int64) for x in batch.column(2)]
@@ -262,6 +269,7 @@ def _pairs_of(gram, node, size, percent):
 def _cold_candidates(nodes: DataFrame, percent: int) -> DataFrame:
     """(a, b, star): pairs of n-grams in at most HOT prefixes; for others the
     pairs with the centre a, the first node."""
+    @tidy
     def run(batches) -> Iterator[pa.RecordBatch]:
         held = np.empty((0, 3), np.int64)  # rows of the last n-gram seen
         star = False  # it has more than HOT rows; held is its centre
@@ -315,11 +323,11 @@ def _cold_candidates(nodes: DataFrame, percent: int) -> DataFrame:
 
 def _hot_stars(nodes: DataFrame) -> DataFrame:
     """(a, b): centre and node of every hot n-gram, the centre with itself too.
-    Centres meet by partial minima; there are at most MAX_HOT of them."""
+    Centres meet by partial minima; AQE splits an n-gram of many nodes."""
     entries = _entries(nodes, "hot", "n_cold")
     centres = entries.groupBy("gram").agg(F.min(F.struct("size", "node")).alias("c")).select(
         "gram", F.col("c.node").alias("a"))
-    return (entries.join(F.broadcast(centres), "gram")
+    return (entries.join(centres, "gram")
             .select("a", F.col("node").alias("b")).distinct())
 
 
@@ -333,6 +341,7 @@ def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             .filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
             .select("a", "b", "n_a", "n_b", "parity_a", "parity_b"))
 
+    @tidy
     def run(batches):
         for batch in batches:
             n_a, n_b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
@@ -358,6 +367,7 @@ def _segments(docs: DataFrame, id_col: str, text_col: str, n: int, hot: np.ndarr
                     F.col(f"`{text_col}`").cast("string").alias("text")), "id", ids, "id",
         "maybe").filter("maybe or id is null").select("text")
 
+    @tidy
     def run(batches):
         hot, names = shared.value, ["node", "n", "fragment", "size", "grams"]
         for batch in batches:
@@ -400,6 +410,7 @@ def _partial_overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     both = left.join(side("b").withColumnRenamed("b", "b2"),
                      (F.col("b") == F.col("b2")) & (F.col("f_a") == F.col("f_b")))
 
+    @tidy
     def run(batches):
         for batch in batches:
             overlap = [len(np.intersect1d(np.frombuffer(x.as_py(), np.int64),
@@ -511,11 +522,11 @@ def _compare_block(frame, percent: int):
 def connected_components(edges: DataFrame) -> DataFrame:
     """(l_node, label): the smallest node of each node's component, for all
     nodes with an edge (a, b). Large-star and small-star steps alternate, each
-    round written to the shared folder, until a round changes nothing."""
+    round written to the shared folder, until every node has one edge, to the
+    centre of a star. An edge always points to the smaller node."""
     now = persist(edges.filter("a <> b").select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc")
-    state = None
-    while True:
+    while not _stars_only(now):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
         large = both.filter("v > u").join(least, "u").select(
@@ -526,11 +537,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
                               F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e")
         ).select("e.u", "e.v").filter("u <> v").distinct()
         now = persist(small, "cc")
-        found = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(found) == state:
-            return now.select(F.col("u").alias("l_node"), F.col("v").alias("label")).unionByName(
-                now.select(F.col("v").alias("l_node"), F.col("v").alias("label")).distinct())
-        state = tuple(found)
+    return now.select(F.col("u").alias("l_node"), F.col("v").alias("label")).unionByName(
+        now.select(F.col("v").alias("l_node"), F.col("v").alias("label")).distinct())
+
+
+def _stars_only(edges: DataFrame) -> bool:
+    """No node has two edges to smaller ones, and no centre has any."""
+    ends = edges.select("u", F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("u"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("u").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter(
+        "up + down > 1").isEmpty()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
