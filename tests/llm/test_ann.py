@@ -82,6 +82,27 @@ def test_best_bin_first_order():
     assert ann.Tree(np.ones((100, 3))).n_leaves == 1
 
 
+def test_isolated_vectors_find_k_rows(spark):
+    rng = np.random.default_rng(1)
+    tight = np.repeat(rng.normal(size=(60, 8)), 20, axis=0) + rng.normal(size=(1200, 8)) * 1e-3
+    vectors = [list(v) for v in tight]
+    for i, v in enumerate(rng.normal(size=(12, 8))):
+        vectors.insert(5 * i, list(v))  # each is a query
+    got = run(spark, table(spark, vectors))
+    assert set(got) == set(range(0, len(vectors), 5))
+    assert all([x[0] for x in found] == [1, 2, 3, 4, 5] for found in got.values())
+
+
+def test_order_goes_on_until_enough_is_held():
+    tree = ann.Tree(np.random.default_rng(7).normal(size=(500, 6)), leaf_rows=20)
+    query, sizes = np.ones(6), np.zeros(tree.n_leaves, dtype=np.int64)
+    full = tree.order(query, tree.n_leaves)
+    sizes[full[1]] = sizes[full[4]] = 3
+    assert tree.order(query, 1, sizes, 6) == full[:5]
+    assert tree.order(query, 1, sizes, 7) == full
+    assert tree.order(query, 3, sizes, 2) == full[:3]
+
+
 @pytest.mark.parametrize("n", [1, 2, 7])
 def test_kmeans_gives_every_row_a_centre(n):
     rows = ann.scaled(np.random.default_rng(n).normal(size=(n, 3)))

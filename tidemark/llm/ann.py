@@ -13,7 +13,9 @@ in which leaves come out is the order in which they are searched.
 Calibration. For CALIBRATION sample rows the true neighbours among the sample
 are known by brute force, and for each of them the position of its leaf in the
 query's order. The number of leaves to visit is widened until the share of true
-neighbours found reaches the target recall; it is the same for every query.
+neighbours found reaches the target recall; it is the same for every query. A
+query whose leaves hold fewer than k + 1 indexed vectors (itself is one) goes on
+in its order until they do, or no leaf is left.
 
 Index. Every vector is put into the leaf that it reaches by going to the nearest
 centre at each node. Small neighbouring leaves form a bundle. Bundles are cut
@@ -106,15 +108,18 @@ class Tree:
                     todo.append((child, part))
         return out
 
-    def order(self, query: np.ndarray, visits: int) -> list[int]:
-        """The first `visits` leaves of a query, best bin first."""
+    def order(self, query: np.ndarray, visits: int, sizes: np.ndarray | None = None,
+              least: int = 0) -> list[int]:
+        """The first `visits` leaves of a query, best bin first; more, until
+        they hold `least` vectors by `sizes` (of each leaf)."""
         unit = scaled(query[None, :])[0]
         distance = ((self.centres - unit) ** 2).sum(axis=1)
-        heap, out = [(0.0, 0)], []
-        while heap and len(out) < visits:
+        heap, out, held = [(0.0, 0)], [], 0
+        while heap and (len(out) < visits or held < least):
             _, node = heapq.heappop(heap)
             if self.leaf[node] >= 0:
                 out.append(self.leaf[node])
+                held += sizes[self.leaf[node]] if sizes is not None else 0
             for child in self.children[node]:
                 heapq.heappush(heap, (distance[child], child))
         return out
@@ -230,6 +235,13 @@ def search(spark: SparkSession, df: DataFrame, queries, id_col: str = "vec_id",
     index = persist(vectors.select("gid", "vec").mapInArrow(
         place, f"gid long, leaf long, vec {kind}"), "ann-index")
 
+    # At most one row per leaf.
+    leaves = persist(index.groupBy("leaf").agg(F.count("*").alias("n")), "ann-leaves")
+    sizes = np.zeros(fitted[0].n_leaves, dtype=np.int64)
+    for leaf, n in leaves.collect():
+        sizes[leaf] = n
+    held = spark.sparkContext.broadcast(sizes)
+
     asked = rows.filter(queries).join(vectors.select("vec", "gid"), "vec").select(
         F.col("id").alias("query_id"), "gid")
     asked = persist(asked, "ann-queries")
@@ -239,7 +251,8 @@ def search(spark: SparkSession, df: DataFrame, queries, id_col: str = "vec_id",
         for batch in batches:
             matrix = _matrix(batch.column(1)) if batch.num_rows else []
             for lo in range(0, batch.num_rows, 64):
-                orders = [tree.order(q, tree.visits) for q in matrix[lo:lo + 64]]
+                orders = [tree.order(q, tree.visits, held.value, k + 1)
+                          for q in matrix[lo:lo + 64]]
                 times = [len(o) for o in orders]
                 at = pa.array(np.repeat(np.arange(lo, lo + len(orders)), times))
                 yield pa.RecordBatch.from_arrays(
@@ -249,9 +262,8 @@ def search(spark: SparkSession, df: DataFrame, queries, id_col: str = "vec_id",
     query_vectors = vectors.join(asked.select("gid").distinct(), "gid", "left_semi")
     visits = persist(query_vectors.select("gid", "vec").mapInArrow(walk, "gid long, leaf long"),
                      "ann-visits")
-    # At most one row per leaf. Neighbouring leaves that are small together are
-    # one bundle, so that a task returns the best of a bundle, not of each leaf.
-    leaves = index.groupBy("leaf").agg(F.count("*").alias("n"))
+    # Neighbouring leaves that are small together are one bundle, so that a task
+    # returns the best of a bundle, not of each leaf.
     before = F.sum("n").over(Window.orderBy("leaf").rowsBetween(
         Window.unboundedPreceding, -1))
     bundles = leaves.withColumn("bundle", F.floor(F.coalesce(before, F.lit(0)) / PIECE_ROWS))
