@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
-    ann, bpe, chat, decontaminate, html_extract, jaccard, quality, token_counts, url_rules, warc)
+    ann, bpe, chat, decontaminate, html_extract, jaccard, pieces, quality, token_counts, url_rules,
+    warc)
 from tidemark.llm.common import shipped, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -187,3 +188,12 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url judged by the rules."""
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_rules.apply_rules(spark, table(spark, sf_dir, "pages"), rules)
+
+
+@register("op13_pieces")
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text of `documents` encoded and decoded by the pieces of a
+    SentencePiece model; per document the token count and both digests."""
+    import public_tokenizers
+    return pieces.round_trip(table(spark, sf_dir, "documents"), "doc_id", "text",
+                             public_tokenizers.path("piece_bpe_32k.model"))
