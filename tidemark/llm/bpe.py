@@ -21,6 +21,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import json
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -34,20 +35,37 @@ CHUNK_CHARS = 1 << 20  # texts are encoded together up to so many characters
 CACHE_PIECES = 300_000  # matches kept by a Python worker
 CACHE_BYTES = 32  # longer matches are not kept
 NEVER = np.int64(1) << 60  # rank of a pair that does not merge
-POS_BITS = 24
+POS_BITS = 24  # of a position in a matrix tree, which has at most WIDE leaves
 WIDE = 64  # longer matches get a tree of their own
 WIDTHS = (1, 2, 4, 8, 16, 32, 64)  # leaves of a tree
 ROWS_AT_ONCE = 10_000
 
 
+def read_ranks(path: str) -> dict[bytes, int]:
+    """Tokens and ranks of a file: lines of a base64 token and its rank, or the
+    JSON of a byte-level BPE model whose ids follow its merges. There a byte that
+    prints stands for itself and the others for the code points from 256 on."""
+    with open(path, "rb") as f:
+        data = f.read()
+    if not path.endswith(".json"):
+        return {base64.b64decode(a): int(b)
+                for a, b in (line.split() for line in data.splitlines() if line.strip())}
+    parsed = json.loads(data)
+    prints = [*range(0x21, 0x7f), *range(0xa1, 0xad), *range(0xae, 0x100)]
+    byte_of = {chr(b): b for b in prints}
+    others = [b for b in range(256) if b not in set(prints)]
+    byte_of.update((chr(256 + k), b) for k, b in enumerate(others))
+    special = {t["content"] for t in parsed.get("added_tokens", [])}
+    return {bytes(map(byte_of.__getitem__, token)): rank
+            for token, rank in parsed["model"]["vocab"].items() if token not in special}
+
+
 class Vocabulary:
-    """Ranks of one file (lines: base64 token, rank) and pair ranks as a hash
-    table of numpy arrays, so that many pairs are looked up at once."""
+    """Ranks of one file and pair ranks as a hash table of numpy arrays, so that
+    many pairs are looked up at once."""
 
     def __init__(self, path: str):
-        with open(path, "rb") as f:
-            self.ranks = {base64.b64decode(a): int(b)
-                          for a, b in (line.split() for line in f if line.strip())}
+        self.ranks = read_ranks(path)
         self.size = max(self.ranks.values()) + 1
         self.tokens: list[bytes] = [b""] * self.size
         for token, rank in self.ranks.items():
@@ -168,9 +186,11 @@ def _update(tree, rows, position, value, width) -> None:
 
 
 def merge_one(vocab: Vocabulary, piece: bytes) -> list[int]:
-    """Ids of one long piece, by a tree in plain Python."""
-    n, ranks, never = len(piece), vocab.ranks, 1 << 60
-    width = 1 << max(1, (n - 1).bit_length())
+    """Ids of one long piece, by a tree in plain Python. Its integers have no
+    bound, so the position takes as many bits as the piece needs."""
+    n, ranks = len(piece), vocab.ranks
+    bits = max(1, (n - 1).bit_length())
+    width, never = 1 << bits, vocab.size << bits
     end = list(range(1, n + 1))  # where the live token that starts here ends
     start = list(range(-1, n))  # the live token before the one that starts here
     tree = [never] * (2 * width)
@@ -178,7 +198,7 @@ def merge_one(vocab: Vocabulary, piece: bytes) -> list[int]:
     def leaf(i: int) -> int:
         j = end[i]
         rank = ranks.get(piece[i:end[j]]) if j < n else None
-        return never if rank is None else rank << POS_BITS | i
+        return never if rank is None else rank << bits | i
 
     def update(i: int, value: int) -> None:
         node = i + width
@@ -192,7 +212,7 @@ def merge_one(vocab: Vocabulary, piece: bytes) -> list[int]:
         tree[width + i] = leaf(i)
     for node in range(width - 1, 0, -1):
         tree[node] = min(tree[2 * node], tree[2 * node + 1])
-    mask = (1 << POS_BITS) - 1
+    mask = width - 1
     while tree[1] < never:
         i = tree[1] & mask
         j = end[i]

@@ -95,6 +95,21 @@ def open_shared(path: str):
     return fs.FileSystem.from_uri(path)
 
 
+def compress(data: bytes) -> bytes:
+    """Bytes for a shuffle or a binary column; short ones stay as they are."""
+    if len(data) < 256:
+        return b"\0" + data
+    import pyarrow as pa
+    return b"\1" + len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def decompress(data: bytes) -> bytes:
+    if data[0] == 0:
+        return data[1:]
+    import pyarrow as pa
+    return pa.decompress(data[9:], int.from_bytes(data[1:9], "little"), "zstd", asbytes=True)
+
+
 def bitmap_bits(n: int) -> int:
     """Bits for `n` members: about 32 per member, a power of two, bounded."""
     bits = 1 << 16

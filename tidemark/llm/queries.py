@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
-    ann, bpe, chat, decontaminate, html_extract, jaccard, pieces, quality, token_counts, url_rules,
-    warc)
+    align, ann, bpe, chat, collocations, decontaminate, html_extract, jaccard, pieces,
+    quality, token_counts, url_rules, warc)
 from tidemark.llm.common import shipped, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -190,6 +190,56 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.apply_rules(spark, table(spark, sf_dir, "pages"), rules)
 
 
+@register("op11_align")
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the byte-level and the piece tokens of every
+    document, with the corpus-wide counts of the linked id pairs."""
+    import public_tokenizers
+    return align.score(table(spark, sf_dir, "documents"), "doc_id", "text",
+                       *tokenizer("byte_bpe_50k.json"),
+                       public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@register("op12_collocations", sql=r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+g AS (
+  SELECT lang, 1 AS words, unnest(ws) AS phrase FROM w
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(ws)),
+    lambda i: ws[i] || ' ' || ws[i + 1])) FROM w
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(ws) - 1),
+    lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) FROM w),
+f AS (SELECT lang, words, phrase, count(*) AS f FROM g GROUP BY ALL),
+c AS (SELECT lang, phrase, words, f AS a, string_split(phrase, ' ') AS ws FROM f
+  WHERE words > 1 AND f >= 10),
+cut AS (
+  SELECT c.lang, c.phrase, c.words, a, k, l.f AS l, r.f AS r,
+    (1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f) AS score
+  FROM (SELECT *, unnest(range(1, words)) AS k FROM c) c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1:k], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[k + 1:], ' ')),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase
+  ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, a, unnest([ws[1] || ' ' || ws[2], ws[2] || ' ' || ws[3]]) AS phrase
+    FROM c WHERE words = 3) GROUP BY ALL),
+kept AS (SELECT best.* FROM best LEFT JOIN inside USING (lang, phrase)
+  WHERE longer IS NULL OR 100 * longer < 50 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+  AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked
+JOIN (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE words = 1 GROUP BY lang) USING (lang)
+WHERE rank <= 2000
+""")
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2,000 best collocations of two and three words."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 @register("op13_pieces")
 def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text of `documents` encoded and decoded by the pieces of a
