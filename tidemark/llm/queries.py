@@ -212,15 +212,17 @@ g AS (
     lambda i: ws[i] || ' ' || ws[i + 1])) FROM w
   UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(ws) - 1),
     lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) FROM w),
-f AS (SELECT lang, words, phrase, count(*) AS f FROM g GROUP BY ALL),
+f AS MATERIALIZED (SELECT lang, words, phrase, count(*) AS f FROM g GROUP BY ALL),
 c AS (SELECT lang, phrase, words, f AS a, string_split(phrase, ' ') AS ws FROM f
   WHERE words > 1 AND f >= 10),
+part AS (SELECT lang, phrase AS part, f FROM f WHERE f >= 10),
 cut AS (
-  SELECT c.lang, c.phrase, c.words, a, k, l.f AS l, r.f AS r,
+  SELECT c.lang, c.phrase, a, k, l.f AS l, r.f AS r,
     (1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f) AS score
-  FROM (SELECT *, unnest(range(1, words)) AS k FROM c) c
-  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1:k], ' ')
-  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[k + 1:], ' ')),
+  FROM (SELECT *, array_to_string(ws[1:k], ' ') AS head, array_to_string(ws[k + 1:], ' ') AS tail
+    FROM (SELECT *, unnest(range(1, words)) AS k FROM c)) c
+  JOIN part l ON l.lang = c.lang AND l.part = c.head
+  JOIN part r ON r.lang = c.lang AND r.part = c.tail),
 best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase
   ORDER BY score, k) = 1),
 inside AS (
