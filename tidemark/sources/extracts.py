@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources.csv_split import split_records
+
 
 def _text(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
@@ -68,18 +70,23 @@ def read_extract(spark: SparkSession, path: str, schema: T.StructType,
     """Scan one CSV file or a glob of daily files (read as one union), with
     the column `MALFORMED` after the schema's.
 
-    `multi_line=True` reads quoted line ends; a file is then one task.
-    `multi_line=False` splits large files at line ends, for extracts known to
+    `multi_line=True` keeps quoted line ends and still splits large files: the
+    records are found by `csv_split.split_records` and parsed one by one.
+    `multi_line=False` splits at line ends, in one scan, for extracts known to
     quote none: a value that still begins with a quote is the sign of a quoted
     line end, so its row is malformed, like the rest of it on the next line."""
-    df = (spark.read.schema(with_malformed(schema))
+    fields = with_malformed(schema)
+    if multi_line:
+        records = split_records(spark, path, schema.names)
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        # inline() keeps filters and projections from parsing a record again
+        return records.select(F.inline(F.array(F.from_csv(
+            "text", ddl, {**CSV_OPTIONS, "multiLine": "true"}))))
+    df = (spark.read.schema(fields)
           .options(**CSV_OPTIONS)
           .option("header", True)
-          .option("multiLine", multi_line)
           .option("enforceSchema", False)   # header names are checked against the schema
           .csv(path))
-    if multi_line:
-        return df
     broken = reduce(lambda x, y: x | y, [F.coalesce(F.col(c).startswith('"'), F.lit(False))
                                          for c in schema.names])
     raw = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in schema.names])
