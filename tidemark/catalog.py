@@ -170,23 +170,22 @@ def dq_volume_summary(spark, sf_dir):
 
 @register("dq_quarantine_rate")
 def dq_quarantine_rate(spark, sf_dir):
-    wh = _wh(spark, sf_dir)
-    return quality.quarantine_rate_report(wh.fact_invoice, wh.fact_invoice_rejected)
+    return quality.resolved_quarantine_rate(_wh(spark, sf_dir).int_invoice_resolved)
 
 
 @register("dq_health_report")
 def dq_health_report(spark, sf_dir):
     wh = _wh(spark, sf_dir)
-    return quality.health_report(wh.sources["crm_customers"], wh.fact_invoice,
-                                 wh.fact_invoice_rejected)
+    return quality.rated_health_report(
+        wh.sources["crm_customers"], quality.resolved_quarantine_rate(wh.int_invoice_resolved))
 
 
 # ------------------------------------------------------------ reports
 @register("invoice_reconciliation")
 def invoice_reconciliation(spark, sf_dir):
     wh = _wh(spark, sf_dir)
-    return reports.invoice_reconciliation(wh.sources["invoices"], wh.stg_invoices,
-                                          wh.fact_invoice, wh.fact_invoice_rejected)
+    return reports.routed_reconciliation(
+        wh.sources["invoices"], marts.invoice_routes(wh.stg_invoices, wh.int_customer_scd))
 
 
 @register("rejection_counts")

@@ -66,6 +66,34 @@ def expect_accepted_values(df: DataFrame, column: str, values: list[str],
                 F.col("values"), F.coalesce(F.col("rows"), F.lit(0)))
 
 
+class RowChecks:
+    """Row-level tests of one model as metrics of the job that writes it, so that
+    they cost no scan. counts and accepted: see `row_level_checks`."""
+
+    def __init__(self, model: str, counts: dict[tuple[str, str], Column],
+                 accepted: dict[str, list[str]] | None = None):
+        self.model, self.counts, self.accepted = model, counts, accepted or {}
+
+    def metrics(self) -> list[Column]:
+        return ([F.count_if(c).alias(f"c{i}") for i, c in enumerate(self.counts.values())]
+                + [F.count_if(self._bad(c)).alias(f"r{i}") for i, c in enumerate(self.accepted)])
+
+    def _bad(self, column: str) -> Column:
+        return F.col(column).isNotNull() & ~F.col(column).isin(*self.accepted[column])
+
+    def results(self, found: dict, written: DataFrame) -> list[tuple]:
+        """Rows of CHECK_COLUMNS. Only where a value list is broken are its
+        distinct values counted, by a scan of one column."""
+        rows = [(check, self.model, column, found[f"c{i}"], found[f"c{i}"])
+                for i, (check, column) in enumerate(self.counts)]
+        for i, column in enumerate(self.accepted):
+            n = found[f"r{i}"]
+            values = n and written.where(self._bad(column)).select(
+                F.count_distinct(column)).first()[0]
+            rows.append(("accepted_values", self.model, column, values, n))
+        return rows
+
+
 def row_level_checks(df: DataFrame, model: str, counts: dict[tuple[str, str], Column],
                      accepted: dict[str, list[str]] | None = None) -> DataFrame:
     """Several row-level tests of one model in one aggregate. counts: offending
@@ -262,19 +290,31 @@ def quarantine_rate_report(fact: DataFrame, rejected: DataFrame,
     return q.select(*quarantine_rate(resolved + F.col("q"), F.col("q"), warn_threshold))
 
 
+def resolved_quarantine_rate(resolved: DataFrame, key: str = "customer_key",
+                             warn_threshold: float = 0.05) -> DataFrame:
+    """The same row from resolved facts in which rejected ones have no key: one
+    aggregate over one resolution."""
+    counts = resolved.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(key).isNull()).alias("q"))
+    return counts.select(*quarantine_rate(F.col("n"), F.col("q"), warn_threshold))
+
+
 def health_report(snapshots_raw: DataFrame, fact: DataFrame, rejected: DataFrame,
                   z_threshold: float = 2.0, warn_threshold: float = 0.05,
                   day: str = "snapshot_date") -> DataFrame:
     """Volume check on the raw snapshot rows + quarantine rate: one flat row,
     `overall_status` 'alert' if either check fires."""
-    scored = volume_zscore(daily_counts(snapshots_raw, day), day, z_threshold)
-    return _flat_report(scored, fact, rejected, warn_threshold)
+    return rated_health_report(snapshots_raw, quarantine_rate_report(fact, rejected, warn_threshold),
+                               z_threshold, day)
 
 
-def _flat_report(scored: DataFrame, fact: DataFrame, rejected: DataFrame,
-                 warn_threshold: float) -> DataFrame:
-    row = _one_row_concat(volume_summary(scored),
-                          quarantine_rate_report(fact, rejected, warn_threshold))
+def rated_health_report(snapshots_raw: DataFrame, rate: DataFrame, z_threshold: float = 2.0,
+                        day: str = "snapshot_date") -> DataFrame:
+    """`health_report` with the quarantine rate as a row of its own."""
+    return _flat_report(volume_zscore(daily_counts(snapshots_raw, day), day, z_threshold), rate)
+
+
+def _flat_report(scored: DataFrame, rate: DataFrame) -> DataFrame:
+    row = _one_row_concat(volume_summary(scored), rate)
     overall = F.when((F.col("volume_status") == "alert") | (F.col("rate_status") == "warn"),
                      "alert").otherwise("ok")
     return row.select("*", overall.alias("overall_status"))
@@ -296,6 +336,14 @@ def health_report_nested(snapshots_raw: DataFrame, fact: DataFrame, rejected: Da
     """The report shaped for the JSON sink: two sections, anomalies listed
     (one entry per anomalous day: bounded by the calendar). `fill_calendar`:
     see `daily_counts`; a day is then taken as a date."""
+    return rated_health_report_nested(
+        snapshots_raw, quarantine_rate_report(fact, rejected, warn_threshold), z_threshold, day,
+        fill_calendar)
+
+
+def rated_health_report_nested(snapshots_raw: DataFrame, rate: DataFrame, z_threshold: float = 2.0,
+                               day: str = "snapshot_date", fill_calendar: bool = False) -> DataFrame:
+    """`health_report_nested` with the quarantine rate as a row of its own."""
     counts = daily_counts(snapshots_raw, day, F.col(day).cast("date") if fill_calendar else None,
                           fill_calendar)
     scored = volume_zscore(counts, day, z_threshold)
@@ -304,7 +352,7 @@ def health_report_nested(snapshots_raw: DataFrame, fact: DataFrame, rejected: Da
                      F.col(day).cast("string").alias("date"),
                      F.col("row_count").alias("count"),
                      F.round("z_score", 2).alias("z_score")))).alias("anomalies")))
-    flat = _flat_report(scored, fact, rejected, warn_threshold)
+    flat = _flat_report(scored, rate)
     return flat.select(
         F.struct(F.col("n_days_checked"), F.col("mean_count"), F.col("std_count"),
                  F.coalesce(anomalies.select("anomalies").scalar(),

@@ -34,14 +34,27 @@ _K, _D, _V, _P = "_tj_key", "_tj_day", "_tj_version", "_tj_is_pair"
 def temporal_join(facts: DataFrame, dim: DataFrame, key: str, fact_date: str,
                   dim_cols: list[str], how: str = "left",
                   valid_from: str = "valid_from", valid_to: str = "valid_to",
-                  exclusive: bool = True) -> DataFrame:
+                  exclusive: bool = True, known: str | None = None) -> DataFrame:
     """facts ⋈ dim on key and fact_date within [valid_from, valid_to].
 
     `how` is "left" (unmatched facts kept, dim columns NULL) or "inner".
     `exclusive`: the ranges of a key do not overlap (see above).
+    `known` (left, exclusive): a boolean column of this name says whether the
+    fact's key is in any row of `dim`. The window that resolves the pairs has seen
+    all rows of the key, so this takes no join of its own.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
+    if known is not None:
+        if how != "left" or not exclusive:
+            raise ValueError("known needs a left join with exclusive ranges")
+        keyed = facts.where(F.col(key).isNotNull())
+        joined = _by_day(keyed, dim, key, fact_date, dim_cols, how, valid_from, valid_to, known)
+        types = dict(joined.dtypes)
+        aside = facts.where(F.col(key).isNull()).select(
+            *facts.columns, *[F.lit(None).cast(types[c]).alias(c) for c in dim_cols],
+            F.lit(False).alias(known))
+        return joined.unionByName(aside)
     matchable = F.col(key).isNotNull() & F.col(fact_date).isNotNull()
     keyed = facts.where(matchable)
     match = _by_day if exclusive else _by_range
@@ -54,10 +67,12 @@ def temporal_join(facts: DataFrame, dim: DataFrame, key: str, fact_date: str,
     return joined.unionByName(aside)
 
 
-def _by_day(facts, dim, key, fact_date, dim_cols, how, valid_from, valid_to) -> DataFrame:
+def _by_day(facts, dim, key, fact_date, dim_cols, how, valid_from, valid_to,
+            known=None) -> DataFrame:
     day_type = dict(facts.dtypes)[fact_date]
     body = F.struct(F.col(valid_to).alias("_end"), *dim_cols)
-    versions = dim.where(F.col(key).isNotNull() & F.col(valid_from).isNotNull()).select(
+    begins = F.lit(True) if known else F.col(valid_from).isNotNull()
+    versions = dim.where(F.col(key).isNotNull() & begins).select(
         F.col(key).alias(_K), F.col(valid_from).cast(day_type).alias(_D), body.alias(_V),
         F.lit(False).alias(_P))
     pairs = facts.select(F.col(key).alias(_K), F.col(fact_date).alias(_D)).distinct().select(
@@ -66,6 +81,8 @@ def _by_day(facts, dim, key, fact_date, dim_cols, how, valid_from, valid_to) ->
     order = Window.partitionBy(_K).orderBy(
         _D, _P, F.col(f"{_V}._end").asc_nulls_last()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
+    if known:
+        return _with_known(facts, versions, pairs, order, key, fact_date, dim_cols, known)
     begun = versions.unionByName(pairs).withColumn(
         _V, F.last(_V, ignorenulls=True).over(order))
     end = F.col(f"{_V}._end")
@@ -77,6 +94,23 @@ def _by_day(facts, dim, key, fact_date, dim_cols, how, valid_from, valid_to) ->
                          *[F.col(f"{_V}.{c}").alias(c) for c in dim_cols])
 
 
+def _with_known(facts, versions, pairs, order, key, fact_date, dim_cols, known) -> DataFrame:
+    """`_by_day` with all pairs kept: a version without a start, or a fact without
+    a date, resolves nothing but counts as (or asks for) its key."""
+    whole_key = Window.partitionBy(_K)
+    own = F.when(F.col(_D).isNotNull(), F.col(_V))
+    begun = versions.unionByName(pairs).withColumn(
+        known, F.max(~F.col(_P)).over(whole_key)).withColumn(
+        _V, F.last(own, ignorenulls=True).over(order))
+    end = F.col(f"{_V}._end")
+    covers = F.col(_D).isNotNull() & (end.isNull() | (F.col(_D) <= end))
+    asked = begun.where(F.col(_P)).select(_K, _D, F.when(covers, F.col(_V)).alias(_V), known)
+    joined = facts.join(
+        asked, (F.col(key) == F.col(_K)) & F.col(fact_date).eqNullSafe(F.col(_D)), "left")
+    return joined.select(*[facts[c] for c in facts.columns],
+                         *[F.col(f"{_V}.{c}").alias(c) for c in dim_cols], known)
+
+
 def _by_range(facts, dim, key, fact_date, dim_cols, how, valid_from, valid_to) -> DataFrame:
     d = dim.select(F.col(key).alias(_K), F.col(valid_from).alias(_D),
                    F.col(valid_to).alias("_tj_end"), *dim_cols)

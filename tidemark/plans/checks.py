@@ -39,6 +39,7 @@ ACCEPTED_VALUES = [
     ("fact_invoice_rejected", "rejection_reason",
      ["orphan_customer_id", "invoice_predates_scd_coverage"]),
 ]
+STAGING = [m for m in NOT_NULL if m.startswith("stg_")]
 RELATIONSHIPS = [("fact_invoice", "customer_key", "dim_customer", "customer_key"),
                  ("fact_invoice", "plan_id", "dim_plan", "plan_id"),
                  ("fact_usage_daily", "customer_key", "dim_customer", "customer_key")]
@@ -49,15 +50,21 @@ def unique_checks(models: Mapping[str, DataFrame], only=None) -> DataFrame:
                               if only is None or m in only])
 
 
-def row_checks(models: Mapping[str, DataFrame], model: str) -> DataFrame:
-    """All row-level tests of one model -- not_null, accepted_values and the two
-    row-level singular ones -- in one aggregate over it."""
+def declared_row_checks(model: str) -> quality.RowChecks:
+    """All row-level tests of one model: not_null, accepted_values and the two
+    row-level singular ones."""
     counts = {("not_null", c): F.col(c).isNull() for c in NOT_NULL.get(model, [])}
     if model == "fact_invoice":
         counts["assert_paid_non_negative", ""] = quality.paid_negative()
         counts["assert_fact_resolved", ""] = F.col("customer_key").isNull()
     accepted = {c: values for m, c, values in ACCEPTED_VALUES if m == model}
-    return quality.row_level_checks(models[model], model, counts, accepted)
+    return quality.RowChecks(model, counts, accepted)
+
+
+def row_checks(models: Mapping[str, DataFrame], model: str) -> DataFrame:
+    """The row-level tests in one aggregate over the model."""
+    declared = declared_row_checks(model)
+    return quality.row_level_checks(models[model], model, declared.counts, declared.accepted)
 
 
 def not_null_checks(models: Mapping[str, DataFrame]) -> DataFrame:
@@ -88,15 +95,27 @@ def model_checks(model: str | None, models: Mapping[str, DataFrame]) -> DataFram
     """The declared tests of one mart, or (None) of the staging models, with a
     `passed` flag. Row-level tests share one scan of their model; uniqueness,
     relationships and the overlap check each need a shuffle of their own."""
-    names = [model] if model else [m for m in NOT_NULL if m.startswith("stg_")]
+    names = [model] if model else STAGING
     frames = [row_checks(models, m) for m in names if m in NOT_NULL]
+    frames += _shuffled_checks(models, names)
+    return quality.union_all(frames).withColumn("passed", F.col("failures") == 0)
+
+
+def _shuffled_checks(models: Mapping[str, DataFrame], names: list[str]) -> list[DataFrame]:
+    frames = []
     if any(m in names for m, _ in UNIQUE):
         frames.append(unique_checks(models, names))
     if any(r[0] in names for r in RELATIONSHIPS):
         frames.append(relationship_checks(models, names))
     if "dim_customer" in names:
         frames.append(overlap_check(models))
-    return quality.union_all(frames).withColumn("passed", F.col("failures") == 0)
+    return frames
+
+
+def other_checks(model: str, models: Mapping[str, DataFrame]) -> DataFrame | None:
+    """The tests of a mart that are not row-level; None if there are none."""
+    frames = _shuffled_checks(models, [model])
+    return quality.union_all(frames) if frames else None
 
 
 def all_checks(models: Mapping[str, DataFrame]) -> DataFrame:

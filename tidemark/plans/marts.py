@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import day_of_week_sunday0, half_up_div, month_start
 from tidemark.operators.scd import IDENTITY, WIDE, close_ranges, snapshot_versions
-from tidemark.operators.temporal import classify_unresolved, temporal_join
+from tidemark.operators.temporal import ORPHAN, UNCOVERED, classify_unresolved, temporal_join
 
 # SCD2 attribute roles of the CRM snapshot.
 CUSTOMER_TRACKED = ["plan_id", "region", "segment"]
@@ -47,6 +47,17 @@ def int_invoice_resolved(stg_invoices: DataFrame, scd: DataFrame,
         "has_bad_amount", "customer_key")
 
 
+def invoice_routes(stg_invoices: DataFrame, scd: DataFrame) -> DataFrame:
+    """Every invoice with where it goes: `route` is NULL for the fact table, else
+    the reason of its rejection. One pass over the invoices and one version chain
+    resolve and classify them."""
+    routed = temporal_join(stg_invoices, scd, "customer_id", "invoice_date", ["customer_key"],
+                           known="known_customer")
+    reason = F.when(F.col("customer_key").isNotNull(), F.lit(None)).when(
+        F.col("known_customer"), F.lit(UNCOVERED)).otherwise(F.lit(ORPHAN))
+    return routed.withColumn("route", reason).drop("known_customer")
+
+
 def dim_customer(scd: DataFrame) -> DataFrame:
     return scd.select(*SCD_COLUMNS)
 

@@ -14,9 +14,10 @@ from __future__ import annotations
 import uuid
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.temporal import ORPHAN, UNCOVERED
 from tidemark.plans import marts, staging
 from tidemark.session import drop_run_folder
 from tidemark.session import materialize as write_and_reread
@@ -49,6 +50,7 @@ class Warehouse:
         self.null_safe = null_safe
         self.wide_rows = wide_rows
         self.written: dict[str, DataFrame] = {}
+        self.counted: dict[str, int] = {}  # rows of what was written
         self.owns_writes = False  # set by `run`, which writes the dimension itself
 
     @classmethod
@@ -56,7 +58,12 @@ class Warehouse:
         return cls(spark, testviews.load_sources(spark, sf_dir), **kw)
 
     def _shared(self, df: DataFrame, name: str) -> DataFrame:
-        return write_and_reread(df, name, self.run_id) if self.materialize else df
+        if not self.materialize:
+            return df
+        seen = Observation(name)
+        shared = write_and_reread(df.observe(seen, F.count(F.lit(1)).alias("rows")), name, self.run_id)
+        self.counted[name] = seen.get["rows"]
+        return shared
 
     # staging
     @cached_property
@@ -162,6 +169,19 @@ class _Written(dict):
         return self.wh.model(name)
 
 
+# The results of the declared tests, one row each.
+RESULT_SCHEMA = ("check_name string, model string, column_name string, failures long,"
+                 " failing_rows long, passed boolean")
+RESULT = [c.split()[0] for c in RESULT_SCHEMA.split(", ")]
+
+# Counts of the reconciliation that the writing of a mart observes.
+MART_METRICS = {
+    "fact_invoice": {"flagged": ("status_clean", marts.FLAGGED)},
+    "fact_invoice_rejected": {"orphan": ("rejection_reason", ORPHAN),
+                              "predates": ("rejection_reason", UNCOVERED)},
+}
+
+
 class ChecksFailed(RuntimeError):
     """Declared tests failed, so nothing was published. `failed`: their rows;
     `path`: where the results of all tests are."""
@@ -195,8 +215,8 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], out_dir: str,
 
     * `raw/<source>`: each source landed once as Parquet (full refresh), so
       a CSV extract is parsed once however many models read it,
-      `_load_summary`: rows per source, and `_rejects`: malformed extract rows,
-      if `rejects` is given;
+      `_load_summary`: rows per source, `_reconciliation`: where every invoice
+      went, and `_rejects`: malformed extract rows, if `rejects` is given;
     * every mart as Parquet, the invoice facts by invoice month. The customer
       dimension is written first and read back by what needs it; the resolved
       invoices are written once under the checkpoint folder;
@@ -204,6 +224,11 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], out_dir: str,
     * `dq_report`: the health report (snapshot volume z-score on the raw
       CRM rows + invoice quarantine rate) as one JSON document.
 
+    Row counts and row-level tests are metrics that the writing jobs observe, so
+    they take no job and no scan of their own; metrics sit in the stage that writes,
+    where a repeated task counts once. Uniqueness, relationships, overlaps and the
+    tests of the staging models, which are not written, are queries.
+
     The tests of a mart run before the marts that read it are built. If any
     fails, the run ends with `ChecksFailed` and nothing is published
     (`gate=False` publishes anyway). Publishing is the last step: one row
@@ -218,7 +243,8 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], out_dir: str,
     """
     from tidemark.operators import quality
     from tidemark.plans import checks as declared
-    from tidemark.sources.extracts import load_summary, write_json_report
+    from tidemark.plans import reports
+    from tidemark.sources.extracts import write_json_report
 
     wh = Warehouse(spark, sources, materialize=True, run_id=run_id, calendar=calendar,
                    null_safe=null_safe, wide_rows=wide_rows)
@@ -226,35 +252,64 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], out_dir: str,
     root = f"{out_dir.rstrip('/')}/runs/{wh.run_id}"
     paths: dict[str, str] = {}
 
-    def write(name: str, df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    found: dict[str, dict] = {}  # metrics observed by the jobs that wrote the tables
+
+    def write(name: str, df: DataFrame, by: tuple[str, ...] = (), metrics=()) -> DataFrame:
         paths[name] = f"{root}/{name}"
-        df.write.mode("overwrite").partitionBy(*by).parquet(paths[name])
+        seen = Observation(name)
+        (df.observe(seen, F.count(F.lit(1)).alias("rows"), *metrics)
+         .write.mode("overwrite").partitionBy(*by).parquet(paths[name]))
+        found[name] = seen.get
         return spark.read.schema(df.schema).parquet(paths[name])
 
+    def write_rows(name: str, rows: list[tuple], schema: str) -> None:
+        paths[name] = f"{root}/{name}"
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(paths[name])
+
+    results: list[tuple] = []
+
+    def settle(new: list[tuple], last: bool = False) -> None:
+        """Keep the results of some tests; stop the run if one failed."""
+        results.extend((*r, r[3] == 0) for r in new)
+        failed = [dict(zip(RESULT, r)) for r in results if not r[-1]] if gate else []
+        if failed or last:
+            write_rows("_checks", results, RESULT_SCHEMA)
+        if failed:
+            raise ChecksFailed(failed, paths["_checks"])
+
     if persist_raw:
         wh.sources = {name: write(f"raw/{name}", df) for name, df in sources.items()}
-        write("_load_summary", load_summary(wh.sources))
+        write_rows("_load_summary", [(name, found[f"raw/{name}"]["rows"]) for name in sources],
+                   "table_name string, row_count long")
         if rejects is not None:
             write("_rejects", rejects)
     try:
-        results = []
         for name in MART_MODELS:
-            wh.written[name] = _write_mart(write, name, wh.model(name))
+            own = declared.declared_row_checks(name)
+            extra = own.metrics() + [F.count_if(F.col(c) == v).alias(metric) for metric, (c, v)
+                                     in MART_METRICS.get(name, {}).items()]
+            wh.written[name] = _write_mart(
+                lambda n, df, by=(): write(n, df, by, extra), name, wh.model(name))
             if with_checks:
-                results.append(wh_checks := write(
-                    f"_checks_by_model/{name}", declared.model_checks(name, _Written(wh.written, wh))))
-                if gate:
-                    _stop_on_failure(wh_checks, paths[f"_checks_by_model/{name}"])
+                rows = own.results(found[name], wh.written[name])
+                other = declared.other_checks(name, _Written(wh.written, wh))
+                settle(rows + ([tuple(r) for r in other.collect()] if other is not None else []))
+        if persist_raw:
+            counts = [found["raw/invoices"]["rows"], wh.counted["int_invoice_resolved"],
+                      *(found["fact_invoice"][c] for c in ("rows", "flagged")),
+                      *(found["fact_invoice_rejected"][c] for c in ("rows", "orphan", "predates"))]
+            write("_reconciliation", spark.range(1).select(
+                *reports.reconciliation(*[F.lit(n).cast("long") for n in counts])))
         if with_checks:
-            staging_checks = write("_checks_by_model/staging", declared.model_checks(
-                None, _Written(wh.written, wh)))
-            write("_checks", quality.union_all([staging_checks, *results]))
-            if gate:
-                _stop_on_failure(staging_checks, paths["_checks"])
-            report = quality.health_report_nested(
-                wh.sources["crm_customers"], wh.written["fact_invoice"],
-                wh.written["fact_invoice_rejected"], z_threshold=z_threshold,
-                warn_threshold=warn_threshold, fill_calendar=fill_calendar)
+            # staging models are not written: one job for all their tests
+            staged = declared.model_checks(None, _Written(wh.written, wh)).drop("passed")
+            settle([tuple(r) for r in staged.collect()], last=True)
+            resolved, rejected = (found[m]["rows"] for m in ("fact_invoice", "fact_invoice_rejected"))
+            rate = spark.range(1).select(*quality.quarantine_rate(
+                F.lit(resolved + rejected), F.lit(rejected), warn_threshold))
+            report = quality.rated_health_report_nested(
+                wh.sources["crm_customers"], rate, z_threshold=z_threshold,
+                fill_calendar=fill_calendar)
             paths["dq_report"] = f"{root}/dq_report"
             write_json_report(report, paths["dq_report"])
     finally:
@@ -276,8 +331,3 @@ def _write_mart(write, name: str, df: DataFrame) -> DataFrame:
     return write(name, stored, ("invoice_month_part",)).select(*df.columns)
 
 
-def _stop_on_failure(results: DataFrame, path: str) -> None:
-    """At most one row per declared test."""
-    failed = [r.asDict() for r in results.where(~F.col("passed")).collect()]
-    if failed:
-        raise ChecksFailed(failed, path)
