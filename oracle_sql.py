@@ -427,6 +427,10 @@ WHERE first_day IS NULL OR i.invoice_date < first_day""", "stg_invoices", "first
     q["csv_documents"] = """
 SELECT doc_id, nullif(text, '') AS text, lang, source, n_chars FROM documents
 WHERE doc_id % 50 NOT IN (7, 9)"""
+    q["csv_split_documents"] = """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, nullif(text, '') AS text, nullif(lang, '') AS lang,
+       nullif(source, '') AS source, CAST(n_chars AS VARCHAR) AS n_chars
+FROM documents"""
     q["csv_rejects"] = f"""
 SELECT 'documents' AS table_name, {_csv_record()} AS record FROM documents
 WHERE doc_id % 50 IN (7, 9)"""
@@ -483,6 +487,11 @@ FROM (
     q["mrr_by_plan_segment"] = compose(
         "SELECT plan_name, segment, mrr, paying_customers FROM mrr_monthly ORDER BY plan_name, segment",
         "mrr_monthly")
+    q["reports_by_name"] = compose("""
+SELECT plan_name || '/' || segment AS item, mrr AS amount, paying_customers AS row_count FROM mrr_monthly
+UNION ALL
+SELECT rejection_reason, NULL, count(*) FROM fact_invoice_rejected GROUP BY 1""",
+        "mrr_monthly", "fact_invoice_rejected")
     q["scd_change_summary"] = compose("""
 SELECT versions, customers, customers_changed, snapshot_days,
        CAST(versions - customers AS DOUBLE)

@@ -6,6 +6,7 @@ and returns one relation; nothing is collected.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,9 @@ from tidemark.operators.scd import IDENTITY, WIDE, close_ranges, snapshot_versio
 from tidemark.operators.temporal import temporal_join
 from tidemark.plans import checks, marts, reports
 from tidemark.plans.pipeline import MODELS, Warehouse
+from tidemark.session import run_folder
 from tidemark.sources import extracts, testviews
+from tidemark.sources.tables import TableStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -146,6 +149,18 @@ def csv_documents(spark, sf_dir):
     return extracts.good_rows(_csv_records(spark, sf_dir), "documents", "reject")
 
 
+@register("csv_split_documents")
+def csv_split_documents(spark, sf_dir):
+    """`documents` written as CSV files with quoted line ends and read back, all
+    as text, by as many tasks as the files have splits."""
+    docs = testviews.table(spark, sf_dir, "documents").select(
+        *[F.col(c).cast("string") for c in ("doc_id", "text", "lang", "source", "n_chars")])
+    folder = f"{run_folder(spark, uuid.uuid4().hex)}/documents-csv"
+    extracts.write_csv(docs, folder)
+    read = extracts.read_extract(spark, f"{folder}/*.csv", docs.schema)
+    return extracts.good_rows(read, "documents")
+
+
 @register("csv_rejects")
 def csv_rejects(spark, sf_dir):
     return extracts.rejects({"documents": _csv_records(spark, sf_dir)})
@@ -188,6 +203,23 @@ def invoice_reconciliation(spark, sf_dir):
         wh.sources["invoices"], marts.invoice_routes(wh.stg_invoices, wh.int_customer_scd))
 
 
+@register("reports_by_name")
+def reports_by_name(spark, sf_dir):
+    """Revenue by plan and segment, and the rejections, from tables that were
+    overwritten and are read by name."""
+    wh = _shared_wh(spark, sf_dir)
+    store = TableStore(spark, "tidemark_reports")
+    for name in ("mrr_monthly", "fact_invoice_rejected"):
+        store.overwrite(name, wh.model(name))
+    revenue = reports.mrr_by_plan_segment(spark.table("tidemark_reports.mrr_monthly")).select(
+        F.concat_ws("/", "plan_name", "segment").alias("item"), F.col("mrr").alias("amount"),
+        F.col("paying_customers").alias("row_count"))
+    rejected = reports.rejection_counts(spark.table("tidemark_reports.fact_invoice_rejected")).select(
+        F.col("rejection_reason").alias("item"), F.lit(None).cast("decimal(38,2)").alias("amount"),
+        "row_count")
+    return revenue.unionByName(rejected)
+
+
 @register("rejection_counts")
 def rejection_counts(spark, sf_dir):
     return reports.rejection_counts(_wh(spark, sf_dir).fact_invoice_rejected)

@@ -22,6 +22,7 @@ from tidemark.plans import marts, staging
 from tidemark.session import drop_run_folder
 from tidemark.session import materialize as write_and_reread
 from tidemark.sources import testviews
+from tidemark.sources.tables import TableStore
 
 MODELS = ("stg_plans", "stg_customers", "stg_invoices", "stg_usage_events",
           "int_customer_history", "int_customer_scd", "int_invoice_resolved",
@@ -210,7 +211,7 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], out_dir: str,
         keep_intermediates: bool = False, gate: bool = True,
         calendar: tuple[str, str] | None = None, null_safe: bool = False,
         fill_calendar: bool = False, wide_rows: int | None = 10_000,
-        rejects: DataFrame | None = None) -> dict[str, str]:
+        rejects: DataFrame | None = None, tables: TableStore | None = None) -> dict[str, str]:
     """The nightly job. Writes under `out_dir/runs/<run_id>`:
 
     * `raw/<source>`: each source landed once as Parquet (full refresh), so
@@ -236,6 +237,10 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], out_dir: str,
     readers see the tables of the run before, and a run that breaks half way
     leaves them whole; folders of old runs are the store's to expire.
 
+    With `tables` the run is also registered in the catalog, and the store's
+    pointer is turned to it after `_published`: `tables.current().table(name)`
+    reads the tables of one whole run by name.
+
     The shared intermediates live under `spark.checkpoint.dir` for the run
     only and are deleted when it ends (`keep_intermediates=True` keeps them).
 
@@ -315,10 +320,14 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], out_dir: str,
     finally:
         if not keep_intermediates:
             drop_run_folder(spark, wh.run_id)
-    tables = F.array(*[F.lit(t) for t in paths])
+    named = tables and tables.register(
+        wh.run_id, {name: path for name, path in paths.items() if name != "dq_report"})
+    listed = F.array(*[F.lit(t) for t in paths])
     (spark.range(1).select(F.lit(wh.run_id).alias("run_id"), F.current_timestamp().alias(
-        "published_at"), tables.alias("tables"))
+        "published_at"), listed.alias("tables"))
      .write.mode("append").parquet(f"{out_dir.rstrip('/')}/{PUBLISHED}"))
+    if tables:
+        tables.publish(named)
     return paths
 
 
