@@ -55,6 +55,35 @@ def test_leaks_are_those_within_the_budget(monkeypatch):
             assert least_edits(plain(items[item][1]), plain(text[start:end])) == edits
 
 
+def test_short_items_are_found_within_their_budget(monkeypatch):
+    """Items of 1 to 31 characters: the whole budget, none skipped."""
+    monkeypatch.setattr(dc, "CHUNK_CHARS", 300)
+    rng = random.Random(9)
+    items = [(m, "".join(rng.choice("abcdefghij kl") for _ in range(m)).strip() or "q") for m in range(1, 32)]
+    bench = dc.Benchmark(items)
+    assert len(bench.ids) == 31 and bench.edits.tolist() == [len(plain(t)) // 10 for _, t in items]
+    assert min(bench.least) >= 1
+    texts = []
+    for m, item in items * 4:
+        spoiled = mutated(rng, item, rng.randint(0, 1 + len(item) // 10))
+        texts.append(f"{words(rng, rng.randint(0, 4))} {spoiled} {words(rng, 3)}")
+    for text, leaks in zip(texts, dc.scan(bench, texts)):
+        want = {}
+        for k, (_, item) in enumerate(items):
+            edits = least_edits(plain(item), plain(text))
+            if edits <= bench.edits[k]:
+                want[k] = edits
+        assert {k: min(x[3] for x in leaks if x[0] == k) for k in {x[0] for x in leaks}} == want
+        for item, start, end, edits in leaks:
+            assert least_edits(plain(items[item][1]), plain(text[start:end])) == edits
+
+
+def test_every_place_of_a_short_item(monkeypatch):
+    bench = dc.Benchmark([(1, "No"), (2, "\n ")])
+    found = dc.scan(bench, ["no" * 5000, "n o", "", "NO"])
+    assert [len(x) for x in found] == [5000, 0, 0, 1]
+
+
 def test_rows(spark):
     rng = random.Random(5)
     item = words(rng, 20)
@@ -66,6 +95,7 @@ def test_rows(spark):
     bench = spark.createDataFrame([(70, item), (71, None), (72, ""), (73, "short"), (70, item)],
                                   "item_id long, text string")
     got = sorted(map(tuple, dc.leaks(df, bench).collect()))
+    # "short" is an item like any other; none of these texts holds it
     assert sorted({r[0] for r in got}) == [1, 3, 7, 8, 9]
     assert [r for r in got if r[0] == 8][0] == (8, 70, 50, 50 + len(item), 0)
     assert [r[2:] for r in got if r[0] == 7 and r[1] == 70][::2] == [

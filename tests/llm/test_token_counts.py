@@ -45,3 +45,18 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert token_counts.token_counts(spark, df, "doc_id", "text", PATH, PATTERN,
                                      END).collect() == []
+
+
+def test_blocks_are_dealt_to_tasks_by_their_bytes(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tidemark.llm import common
+    monkeypatch.setattr(common, "READ_BYTES", 200)
+    (tmp_path / "f").write_bytes(np.array([7, END] * 2000, "<u2").tobytes())
+    df = spark.createDataFrame([("f", 8000)], "file string, n_bytes long")
+    got = token_counts.scan_counts(df, str(tmp_path), END, block_tokens=50)
+    assert got.count() == 2000
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(file#" in plan and ", 40), REPARTITION_BY_NUM" in plan
+    assert common.read_tasks(spark, 10 ** 6, 3) == 3 and common.read_tasks(spark, 0, 0) == 1
+    assert common.read_tasks(spark, 10 ** 6, 10 ** 9) == 5000

@@ -18,6 +18,7 @@ from tidemark.session import ensure_checkpoint_dir
 # A membership bitmap has at most this many bits: as rows of 64 bits it is at
 # most 262,144 rows, the proven bound of its broadcast.
 MAX_BITMAP_BITS = 1 << 24
+READ_BYTES = 128 << 20  # read by one task
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -95,6 +96,13 @@ def open_shared(path: str):
     return fs.FileSystem.from_uri(path)
 
 
+def read_tasks(spark: SparkSession, n_bytes: int, n_rows: int) -> int:
+    """Into how many partitions to deal rows that name byte ranges of files: such
+    rows are small, so their own size, which Spark sees, says nothing of the work.
+    READ_BYTES each, and at least as many as there are cores, up to a row each."""
+    return max(1, min(n_rows, max(-(-n_bytes // READ_BYTES), spark.sparkContext.defaultParallelism)))
+
+
 def compress(data: bytes) -> bytes:
     """Bytes for a shuffle or a binary column; short ones stay as they are."""
     if len(data) < 256:

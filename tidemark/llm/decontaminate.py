@@ -6,7 +6,9 @@ compared with case and white space made equal; positions are reported in the
 document as it is.
 
 Filtering. Of the m - q + 1 q-grams of an item, one edit spoils at most q, so a
-passage within k edits shares at least T = m - q + 1 - k * q of them. And since
+passage within k edits shares at least T = m - q + 1 - k * q of them. q is Q where
+the item is long enough, else the largest one with T >= 1, down to the whole of an
+item without a budget; the q-grams of each length have a table of their own. Since
 k edits shift an alignment by at most k diagonals (position in the document
 minus position in the item), those matches lie on at most k + 1 neighbouring
 diagonals. Diagonals are cut into bands of width 2 * (k + 1) that overlap by
@@ -22,14 +24,15 @@ table of the benchmark's q-grams. The benchmark is shipped to tasks in shards
 of at most SHARD_CHARS characters; with more shards the documents are scanned
 once per shard. Nothing of the documents is shuffled.
 
-k is lowered where T would be less than 1. Items of fewer than q characters
-(after white space is made equal) match nothing. Null and empty texts leak
-nothing; repeated rows and items are reported each by itself; an empty table
+Items of no characters (after white space is made equal) match nothing; an item of
+one character matches wherever it stands. Null and empty texts leak nothing; repeated rows and items are reported each by itself; an empty table
 gives no rows.
 """
 
 from __future__ import annotations
 
+import bisect
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -86,9 +89,15 @@ def normal(text: str) -> tuple[np.ndarray, np.ndarray]:
     return chars[at], at
 
 
-def qgram_hashes(chars: np.ndarray) -> np.ndarray:
-    """Hash of the 8 characters that begin at each position."""
+def qgram_hashes(chars: np.ndarray, q: int = Q) -> np.ndarray:
+    """Hash of the q characters that begin at each position."""
     h = chars.astype(np.uint64)
+    if q != Q:
+        n = max(0, len(h) - q + 1)
+        out = np.zeros(n, np.uint64)
+        for j in range(q):
+            out = out * np.uint64(BASE) + h[j:j + n]
+        return out
     for step in (1, 2, 4):
         if len(h) <= step:
             return np.empty(0, np.uint64)
@@ -100,45 +109,55 @@ def _slot(h: np.ndarray) -> np.ndarray:
     return ((h * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
 
 
+class QGrams:
+    """The q-grams of one length, sorted by hash, with item and position."""
+
+    def __init__(self, items: list[tuple[int, np.ndarray]], q: int):
+        self.q = q
+        hashes = [qgram_hashes(chars, q) for _, chars in items]
+        h = np.concatenate(hashes)
+        order = np.argsort(h, kind="stable")
+        self.hashes = h[order]
+        self.owner = np.repeat([i for i, _ in items], [len(x) for x in hashes])[order]
+        self.place = np.concatenate([np.arange(len(x), dtype=np.int64) for x in hashes])[order]
+        self.table = np.zeros(1 << TABLE_BITS, dtype=bool)
+        self.table[_slot(self.hashes)] = True
+
+
 class Benchmark:
-    """The q-grams of some items, sorted by hash, with item and position."""
+    """Some items, their budgets and the q-grams of each length that they need."""
 
     def __init__(self, items: list[tuple[object, str]], rate: float = RATE):
         self.ids, self.chars, self.edits, self.least = [], [], [], []
-        hashes, owner, place = [], [], []
+        by_q: dict[int, list[tuple[int, np.ndarray]]] = {}
         for item_id, text in items:
             chars, _ = normal(text or "")
             m = len(chars)
-            if m < Q:
+            if not m:
                 continue
-            k = min(int(rate * m), (m - Q) // Q)
-            h = qgram_hashes(chars)
-            hashes.append(h)
-            owner.append(np.full(len(h), len(self.ids), dtype=np.int64))
-            place.append(np.arange(len(h), dtype=np.int64))
+            k = int(rate * m)
+            q = max(1, min(Q, m // (k + 1)))
+            by_q.setdefault(q, []).append((len(self.ids), chars))
             self.ids.append(item_id)
             self.chars.append(chars)
             self.edits.append(k)
-            self.least.append(m - Q + 1 - k * Q)
-        h = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
-        order = np.argsort(h, kind="stable")
-        self.hashes = h[order]
-        self.owner = (np.concatenate(owner) if owner else np.empty(0, np.int64))[order]
-        self.place = (np.concatenate(place) if place else np.empty(0, np.int64))[order]
-        self.table = np.zeros(1 << TABLE_BITS, dtype=bool)
-        self.table[_slot(self.hashes)] = True
+            self.least.append(m - q + 1 - k * q)
+        self.grams = [QGrams(some, q) for q, some in sorted(by_q.items())]
         self.edits = np.array(self.edits, dtype=np.int64)
         self.least = np.array(self.least, dtype=np.int64)
 
     def regions(self, chars: np.ndarray) -> list[tuple[int, int, int]]:
         """(item, lowest diagonal, highest diagonal) of the bands that reach
         their item's bound, in characters of `chars`."""
-        h = qgram_hashes(chars)
-        if not len(h) or not len(self.hashes):
+        return [region for grams in self.grams for region in self._regions(grams, chars)]
+
+    def _regions(self, grams: QGrams, chars: np.ndarray) -> list[tuple[int, int, int]]:
+        h = qgram_hashes(chars, grams.q)
+        if not len(h):
             return []
-        at = np.flatnonzero(self.table[_slot(h)])
-        low = np.searchsorted(self.hashes, h[at], "left")
-        times = np.searchsorted(self.hashes, h[at], "right") - low
+        at = np.flatnonzero(grams.table[_slot(h)])
+        low = np.searchsorted(grams.hashes, h[at], "left")
+        times = np.searchsorted(grams.hashes, h[at], "right") - low
         at, low, times = at[times > 0], low[times > 0], times[times > 0]
         if not len(at):
             return []
@@ -150,8 +169,8 @@ class Benchmark:
             if not len(n):
                 continue
             entry = np.repeat(b - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-            item = self.owner[entry]
-            diagonal = np.repeat(a, n) - self.place[entry]
+            item = grams.owner[entry]
+            diagonal = np.repeat(a, n) - grams.place[entry]
             width = self.edits[item] + 1
             band = (diagonal + span) // width
             # the band that begins here, and the one that began a width before
@@ -262,11 +281,14 @@ def scan(bench: Benchmark, texts: list[str]) -> list[list[tuple[int, int, int, i
 def _best(leaks: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
     """Overlapping bands find one passage twice: of the overlapping finds of one
     item the one with the fewest edits stays."""
-    kept: list[tuple[int, int, int, int]] = []
-    for leak in sorted(set(leaks), key=lambda x: (x[0], x[3], x[1], x[2])):
-        if not any(x[0] == leak[0] and x[1] < leak[2] and leak[1] < x[2] for x in kept):
-            kept.append(leak)
-    return sorted(kept, key=lambda x: (x[1], x[0]))
+    kept: dict[int, list[tuple[int, int, int]]] = {}  # by item, apart from each other, by start
+    for item, start, end, edits in sorted(set(leaks), key=lambda x: (x[0], x[3], x[1], x[2])):
+        own = kept.setdefault(item, [])
+        at = bisect.bisect_left(own, (start,))
+        if (at == 0 or own[at - 1][1] <= start) and (at == len(own) or own[at][0] >= end):
+            own.insert(at, (start, end, edits))
+    return sorted(((item, *leak) for item, own in kept.items() for leak in own),
+                  key=lambda x: (x[1], x[0]))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -277,7 +299,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     kind, item_kind = dict(docs.dtypes)[id_col], dict(benchmark.dtypes)[item_col]
     items = benchmark.select(F.col(f"`{item_col}`").alias("item"),
                              F.col(f"`{item_text}`").cast("string").alias("text")).filter(
-        F.length("text") >= Q)
+        F.length("text") > 0)
     chars = items.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
     shards = max(1, -(-chars // SHARD_CHARS))
     source = docs.select(F.col(f"`{id_col}`").alias("id"),

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import _rows, codec
-from tidemark.llm.common import open_shared, persist, scratch_dir, tidy
+from tidemark.llm.common import open_shared, persist, read_tasks, scratch_dir, tidy
 
 BLOCK_TOKENS = 1 << 20
 
@@ -95,6 +95,8 @@ def scan_counts(files: DataFrame, folder: str, separator: int, dtype: str = "<u2
     ordinal, n_tokens, closed): documents by their order in the file."""
     width = np.dtype(dtype).itemsize
     step = block_tokens * width
+    total = files.agg(F.sum("n_bytes"), F.sum(F.ceil(F.col("n_bytes") / step))).first()
+    tasks = read_tasks(files.sparkSession, total[0] or 0, total[1] or 0)
     blocks = (files.select("file", F.col("n_bytes").cast("long").alias("n_bytes"))
               .filter("n_bytes > 0")
               .select("file", "n_bytes", F.explode(F.expr(
@@ -102,7 +104,7 @@ def scan_counts(files: DataFrame, folder: str, separator: int, dtype: str = "<u2
               .withColumn("size", F.least(F.lit(step), F.col("n_bytes") - F.col("start")))
               .withColumn("last_block", F.expr("start + size = n_bytes"))
               .drop("n_bytes")
-              .repartition("file", "start"))
+              .repartition(tasks, "file", "start"))
 
     @tidy
     def run(batches):

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import maybe_members, open_shared, persist, scratch_dir
+from tidemark.llm.common import maybe_members, open_shared, persist, read_tasks, scratch_dir
 
 # Fixed values of the ZIP format (APPNOTE 4.3): signatures, and the marks that
 # say "see the ZIP64 field".
@@ -352,9 +352,13 @@ def read_archives(spark: SparkSession, archives: DataFrame, folder: str) -> Data
                 if out:
                     yield _record_batch(out)
 
-    ranges = (archives.select("archive").repartition("archive")
+    total = archives.agg(F.sum("n_bytes"), F.count(F.lit(1)), F.sum(
+        F.ceil(F.col("n_records") / RECORDS_AT_ONCE))).first()
+    n_bytes = total[0] or 0
+    ranges = (archives.select("archive")
+              .repartition(read_tasks(spark, n_bytes, total[1]), "archive")
               .mapInArrow(plan, "archive string, offsets array<long>, sizes array<long>"))
-    return (ranges.repartition("archive", F.expr("offsets[0]"))
+    return (ranges.repartition(read_tasks(spark, n_bytes, total[2] or 0), "archive", F.expr("offsets[0]"))
             .mapInArrow(fetch, "id long, url string, record_type string, refers_to long,"
                                " payload_digest string, payload binary"))
 
