@@ -60,6 +60,34 @@ def test_markup(page, text):
     assert got == text or (page in ("<<<>>>", "<p") and len(got) <= len(page))
 
 
+@pytest.mark.parametrize("page", [
+    f"<article><section class='legal-analysis'>{BODY}</section></article>",
+    f"<article><div class='post-header'><h1>Title</h1></div>{BODY[14:]}</article>",
+    f"<article><div class='ad'>{LONG}</div>{BODY}<div class='comments'>{LONG}</div></article>",
+    f"<article>{BODY}<div id='cookie-notice'>{LONG}</div></article>",
+    f"<div><h1>Title</h1><p>{LONG}</p><p>Short.</p><p>{LONG}</p></div><div class='ad banner'>{LONG}</div>",
+])
+def test_a_listed_word_is_evidence_and_no_veto(page):
+    assert html.main_text(f"<html><body>{page}</body></html>") == TEXT
+
+
+def test_the_cut_changes_labels_without_an_article():
+    page = html.blocks(f"<body><div>{BODY}</div><div class=footer><p>{LONG}</p><p>x</p></div></body>")
+    kept = html.label(page)
+    assert [b[1] > 0 for b in page] != kept and kept == [True] * 4 + [False] * 2
+
+
+@pytest.mark.parametrize("page", [
+    "<i><article>" + "<b>" * 50000 + "</i>" * 50000 + "x", "<b>" * 50000 + "</i>" * 50000 + "x",
+    "<b>" * 50000 + "<hr>" * 50000 + "x", "<li><ul>" + "<div>" * 50000 + "<li></li>" * 50000 + "x",
+    "<div>" * 100000 + "x"])
+def test_deep_markup_takes_linear_time(page):
+    import time
+    began = time.process_time()
+    assert html.blocks(page)[-1][0] == "x"
+    assert time.process_time() - began < 4
+
+
 def test_long_pages_are_read_whole():
     page = "<nav>" + MENU * 300 + "</nav><article>" + f"<p>{LONG}</p>" * 3000 + "</article>"
     assert html.main_text(page) == " ".join((LONG * 3000).split())

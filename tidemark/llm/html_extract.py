@@ -15,7 +15,10 @@ page, inside Arrow batches; there is no shuffle and nothing is held beyond one
 page.
 
 A null or empty page has the empty text. Markup that is never closed ends with
-the page. Whole pages are read; no text is cut off.
+the page. Whole pages are read; no text is cut off, and the work grows with the
+page's length however deep its markup is. Repeated rows are read each by itself, an
+empty table gives no rows, and only the three named columns are read, so that others
+cannot clash.
 """
 
 from __future__ import annotations
@@ -43,6 +46,7 @@ SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"
             "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
             "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
             "option": ({"option"}, {"select", "datalist"})}
+SCOPES = ("article", "main", "body", "table", "td")
 
 # Scores: what markup and text say about a block.
 CONTENT_TAGS = frozenset(("article", "main"))
@@ -61,6 +65,9 @@ BOILERPLATE_WORDS = frozenset(
     " disclaimer search form".split())
 CONTENT_WORDS = frozenset("article content post entry story body text main".split())
 IN_CONTENT, IN_BOILERPLATE, IN_HEADER, CLASS_CONTENT = 4.0, -9.0, -7.0, 1.0
+# A class or id that is a listed word, and a listed word that is a part of one
+# (`legal-analysis`, `post-header`): evidence that adds up, and no veto.
+WHOLE_NAME, PART_OF_NAME = -8.0, -2.5
 OUTSIDE, PER_WORD, MOST_WORDS, LINKS, PARAGRAPH, RIGHTS = -1.0, 0.06, 3.0, -4.0, 0.5, -2.0
 # Smoothness: neighbours, by distance in the tree, and the chain of one parent.
 NEIGHBOUR, SAME_PARENT = 0.8, 2.0
@@ -103,15 +110,12 @@ def _open(tag: str, attributes: str, number: int, parent: _Open | None) -> _Open
         node.score = min(node.score, IN_BOILERPLATE)
     elif tag == "header" and not node.content:
         node.score = min(node.score, IN_HEADER)
+    named: list[str] = []
     if attributes and tag not in ("html", "body"):
         for m in _ATTRIBUTE.finditer(attributes):
             name, value = m[1].lower(), unescape(m[2] or m[3] or m[4] or "")
             if name in ("class", "id"):
-                words = set(_NAMES.findall(_CAMEL.sub(" ", value).lower()))
-                if words & BOILERPLATE_WORDS and tag not in ("article", "main"):
-                    node.score = min(node.score, IN_BOILERPLATE)
-                elif words & CONTENT_WORDS and not node.score:
-                    node.score = CLASS_CONTENT
+                named += value.split()
             elif name == "role" and value.strip().lower() in BOILERPLATE_ROLES:
                 node.score = min(node.score, IN_BOILERPLATE)
             elif name == "role" and value.strip().lower() in ("main", "article"):
@@ -123,12 +127,30 @@ def _open(tag: str, attributes: str, number: int, parent: _Open | None) -> _Open
                 node.hidden = True
         if re.search(r"(?:^|\s)hidden(?=[\s/=]|$)", attributes, re.I):
             node.hidden = True
+    if named and tag not in CONTENT_TAGS:
+        evidence = _evidence(named)
+        if evidence < 0:
+            node.score = min(node.score, evidence)
+        elif not node.score:
+            node.score = evidence
     return node
 
 
+def _evidence(names: list[str]) -> float:
+    """What the class names and ids of an element say about it."""
+    whole = {n.lower() for n in names}
+    parts = {w for n in names for w in _NAMES.findall(_CAMEL.sub(" ", n).lower())}
+    score = WHOLE_NAME * len(whole & BOILERPLATE_WORDS)
+    score += PART_OF_NAME * len((parts - whole) & BOILERPLATE_WORDS)
+    score += CLASS_CONTENT * bool(parts & CONTENT_WORDS)
+    return max(IN_BOILERPLATE, score)
+
+
 def blocks(html: str) -> list[tuple[str, float, int, int]]:
     """(text, score, parent, depth) of the blocks of a page that can be seen."""
     stack: list[_Open] = [_Open("#root", 0, None)]
+    places: dict[str, list[int]] = {}  # by tag, where its open elements stand in the stack
+    block_places = [0]  # the same for block elements
     out, parts = [], []
     number, chars, linked, at, size = 0, 0, 0, 0, len(html)
 
@@ -164,9 +186,17 @@ def blocks(html: str) -> list[tuple[str, float, int, int]]:
 
     def close_to(index: int) -> None:
         """Close all elements above and at `index`."""
-        if any(x.tag in BLOCK for x in stack[index:]):
+        if block_places[-1] >= index:
             flush()
-        del stack[index:]
+        while len(stack) > index:
+            tag = stack.pop().tag
+            places[tag].pop()
+            if tag in BLOCK:
+                block_places.pop()
+
+    def nearest(tags) -> int:
+        """Place of the innermost open element of some tags, 0 if there is none."""
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
 
     for m in _TOKEN.finditer(html):
         if m.start() < at:  # inside raw text
@@ -179,32 +209,21 @@ def blocks(html: str) -> list[tuple[str, float, int, int]]:
             continue
         tag = tag.lower()
         if m[1] or m[4]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    close_to(i)
-                    break
-                if stack[i].tag in ("article", "main", "body", "table", "td") and tag not in BLOCK:
-                    break  # a stray inline end tag closes nothing around it
-            else:
-                if tag in BLOCK:
-                    flush()
+            i = nearest((tag,))
+            if i and (tag in BLOCK or i > nearest(SCOPES)):
+                close_to(i)  # a stray inline end tag closes nothing around its scope
+            elif tag in BLOCK:
+                flush()
             continue
         attributes = m[3] if m[2] else m[6]
         if tag in CLOSES_P:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p":
-                    close_to(i)
-                    break
-                if stack[i].tag in BLOCK:
-                    break
+            if stack[block_places[-1]].tag == "p":
+                close_to(block_places[-1])
         if tag in SIBLINGS:
             ends, bounds = SIBLINGS[tag]
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in ends:
-                    close_to(i)
-                    break
-                if stack[i].tag in bounds:
-                    break
+            i = nearest(ends)
+            if i > nearest(bounds):
+                close_to(i)
         if tag in BLOCK:
             flush()
         if tag in RAW and not attributes.rstrip().endswith("/"):
@@ -214,6 +233,9 @@ def blocks(html: str) -> list[tuple[str, float, int, int]]:
         if tag in VOID:
             continue
         number += 1
+        places.setdefault(tag, []).append(len(stack))
+        if tag in BLOCK:
+            block_places.append(len(stack))
         stack.append(_open(tag, attributes, number, stack[-1]))
     if at < size:
         text(html[at:])
