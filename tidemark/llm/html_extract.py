@@ -63,11 +63,13 @@ BOILERPLATE_WORDS = frozenset(
     " sharing social related recommended recommendations trending comment comments commentlist"
     " disqus reply replies respond discussion widget widgets pagination pager copyright legal"
     " disclaimer search form".split())
+PLACE_WORDS = frozenset("left right top bottom container wrapper box block area inner outer list"
+                        " item section group".split())
 CONTENT_WORDS = frozenset("article content post entry story body text main".split())
 IN_CONTENT, IN_BOILERPLATE, IN_HEADER, CLASS_CONTENT = 4.0, -9.0, -7.0, 1.0
-# A class or id that is a listed word, and a listed word that is a part of one
-# (`legal-analysis`, `post-header`): evidence that adds up, and no veto.
-WHOLE_NAME, PART_OF_NAME = -8.0, -2.5
+# A class or id of listed words alone (`ad`, `cookie-notice`), and a listed word beside
+# others (`legal-analysis`, `post-header`): the latter is evidence and no veto.
+WHOLE_NAME, PART_OF_NAME = -9.0, -2.5
 OUTSIDE, PER_WORD, MOST_WORDS, LINKS, PARAGRAPH, RIGHTS = -1.0, 0.06, 3.0, -4.0, 0.5, -2.0
 # Smoothness: neighbours, by distance in the tree, and the chain of one parent.
 NEIGHBOUR, SAME_PARENT = 0.8, 2.0
@@ -138,12 +140,13 @@ def _open(tag: str, attributes: str, number: int, parent: _Open | None) -> _Open
 
 def _evidence(names: list[str]) -> float:
     """What the class names and ids of an element say about it."""
-    whole = {n.lower() for n in names}
-    parts = {w for n in names for w in _NAMES.findall(_CAMEL.sub(" ", n).lower())}
-    score = WHOLE_NAME * len(whole & BOILERPLATE_WORDS)
-    score += PART_OF_NAME * len((parts - whole) & BOILERPLATE_WORDS)
-    score += CLASS_CONTENT * bool(parts & CONTENT_WORDS)
-    return max(IN_BOILERPLATE, score)
+    score, content = 0.0, False
+    for name in names:
+        parts = set(_NAMES.findall(_CAMEL.sub(" ", name).lower())) - PLACE_WORDS
+        listed = len(parts & BOILERPLATE_WORDS)
+        score += WHOLE_NAME if listed and listed == len(parts) else PART_OF_NAME * listed
+        content = content or bool(parts & CONTENT_WORDS)
+    return max(IN_BOILERPLATE, score + CLASS_CONTENT * content)
 
 
 def blocks(html: str) -> list[tuple[str, float, int, int]]:
