@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import any_of
 from tidemark.operators.dedup import dedup_first
+from tidemark.operators.quality import unmatched_rows
 
 
 def snapshot_rows(snapshots: DataFrame, day: str = "snapshot_date") -> DataFrame:
@@ -43,13 +44,10 @@ def _known_keys(snapshots: DataFrame, key: str) -> DataFrame:
 
 def _unknown_count(rows: DataFrame, snapshots: DataFrame, key: str):
     """Rows whose key is in no snapshot (scalar). NULL keys are unknown by
-    definition and are counted without entering the anti join, where they
-    would all hash to one partition."""
+    definition and are counted without entering the anti join."""
     nulls = rows.select(F.count_if(F.col(key).isNull())).scalar()
-    unmatched = (rows.select(key).where(F.col(key).isNotNull())
-                 .join(_known_keys(snapshots, key), F.col(key) == F.col("_known"), "left_anti")
-                 .select(F.count(F.lit(1))).scalar())
-    return nulls + unmatched
+    unmatched = unmatched_rows(rows, key, _known_keys(snapshots, key), "_known")
+    return nulls + unmatched.select("n").scalar()
 
 
 def invoice_profile(invoices: DataFrame, snapshots: DataFrame,

@@ -118,19 +118,57 @@ def row_level_checks(df: DataFrame, model: str, counts: dict[tuple[str, str], Co
 
 def expect_relationships(child: DataFrame, column: str, parent: DataFrame, field: str,
                          model: str) -> DataFrame:
-    """Every non-NULL child key exists in the parent (left anti join)."""
-    keys = parent.select(F.col(field).alias("_parent_key")).where(F.col("_parent_key").isNotNull())
-    orphans = (child.select(column).where(F.col(column).isNotNull())
-               .join(keys, F.col(column) == F.col("_parent_key"), "left_anti")
-               .agg(F.count(F.lit(1)).alias("n")))
+    """Every non-NULL child key exists in the parent."""
+    orphans = unmatched_rows(child, column, parent, field)
     return _row(orphans, "relationships", model, column, F.col("n"), F.col("n"))
 
 
+def unmatched_rows(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
+    """One row `n`: child rows with a key that is not in the parent. Child rows are
+    counted by key before the anti join, so a task ships its distinct keys, never
+    its rows, and a key that holds a third of them is one row per task."""
+    keys = parent.select(F.col(field).alias("_parent_key")).where(F.col("_parent_key").isNotNull())
+    counted = (child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_child_key"))
+               .agg(F.count(F.lit(1)).alias("_n")))
+    return (counted.join(keys, F.col("_child_key") == F.col("_parent_key"), "left_anti")
+            .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")))
+
+
 # ------------------------------------------------------------ singular checks
 
+def _over_earlier(rows: DataFrame, key: str, day: Column, order: list[str],
+                  running: dict[str, tuple[str, Column]], sliced: bool) -> DataFrame:
+    """`rows` with running maxima or minima over the earlier rows of the key:
+    running gives by name ("max" or "min", column).
+
+    `sliced`: in two levels. A slice is a day of the key's rows; within it the
+    value runs by a window of its own, and what the slices before it amount to is
+    carried in by a prefix over one row per slice. No task holds a key."""
+    folds = {"max": (F.max, F.greatest), "min": (F.min, F.least)}
+    earlier = (Window.unboundedPreceding, -1)
+    if not sliced:
+        window = Window.partitionBy(key).orderBy(*order).rowsBetween(*earlier)
+        return rows.select("*", *[folds[kind][0](c).over(window).alias(name)
+                                  for name, (kind, c) in running.items()])
+    rows = rows.withColumn("_slice", day)
+    inside = Window.partitionBy(key, "_slice").orderBy(*order).rowsBetween(*earlier)
+    before = Window.partitionBy("_s_key").orderBy("_s_slice").rowsBetween(*earlier)
+    slices = rows.groupBy(F.col(key).alias("_s_key"), F.col("_slice").alias("_s_slice")).agg(
+        *[folds[kind][0](c).alias(f"_s_{name}") for name, (kind, c) in running.items()])
+    carried = slices.select("_s_key", "_s_slice", *[
+        folds[kind][0](f"_s_{name}").over(before).alias(f"_s_{name}")
+        for name, (kind, _) in running.items()])
+    own = rows.select("*", *[folds[kind][0](c).over(inside).alias(f"_o_{name}")
+                             for name, (kind, c) in running.items()])
+    joined = own.join(carried, (F.col(key) == F.col("_s_key")) & (F.col("_slice") == F.col("_s_slice")))
+    kept = [c for c in rows.columns if c != "_slice"]
+    return joined.select(*kept, *[folds[kind][1](f"_o_{name}", f"_s_{name}").alias(name)
+                                  for name, (kind, _) in running.items()])
+
+
 def assert_no_scd_overlap(dim: DataFrame, key: str = "customer_id",
                           version: str = "version_id", valid_from: str = "valid_from",
-                          valid_to: str = "valid_to") -> DataFrame:
+                          valid_to: str = "valid_to", wide_rows: int | None = 10_000) -> DataFrame:
     """Versions of one key whose [valid_from, valid_to] ranges overlap those of
     another version.
 
@@ -147,6 +185,10 @@ def assert_no_scd_overlap(dim: DataFrame, key: str = "customer_id",
     is the greatest "loser" so far, a loser being, at each row of another version
     than the leader's, the one of the two that ends first.
 
+    Keys of more than `wide_rows` rows are swept in slices by the day on which
+    ranges begin (see `_over_earlier`), with the same result; it costs a count per
+    key. None: every key is swept in its own window.
+
     NULL keys, versions or starts compare as unknown and a range that ends
     before it begins holds no day: they are left out, which also keeps a large
     NULL group out of one window partition.
@@ -157,18 +199,17 @@ def assert_no_scd_overlap(dim: DataFrame, key: str = "customer_id",
         key, F.struct(end.alias("end"), F.col(version).alias("version"),
                       F.col(valid_from).alias("valid_from"),
                       F.col(valid_to).alias("valid_to")).alias("own"))
-    order = Window.partitionBy(key).orderBy("own.valid_from", "own.version", "own.end")
-    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
-    led = ranges.withColumn("leader", F.max("own").over(earlier))
+    if wide_rows is None:
+        found = _swept(ranges, key, sliced=False)
+    else:
+        # at most rows / wide_rows keys
+        wide = (ranges.groupBy(F.col(key).alias("_w_key")).agg(F.count(F.lit(1)).alias("_n"))
+                .where(F.col("_n") > wide_rows).select("_w_key"))
+        same = F.col(key) == F.col("_w_key")
+        found = _swept(ranges.join(wide, same, "left_anti"), key, sliced=False).unionByName(
+            _swept(ranges.join(wide, same, "left_semi"), key, sliced=True))
     other = F.col("leader").isNotNull() & (F.col("leader.version") != F.col("own.version"))
-    led = led.withColumn("loser", F.when(other, F.least("own", "leader")))
-    # Of losers that end together both ends of the order by version are kept:
-    # one of them is of another version than the row's.
-    second = F.max(F.col("loser")).over(earlier)
-    low = F.min(F.struct(-F.datediff(F.col("loser.end"), F.lit("1970-01-01").cast("date")),
-                         F.col("loser.version"), F.col("loser").alias("row"))).over(earlier)
-    led = led.withColumn("second", second).withColumn("low", F.when(second.isNotNull(), low["row"]))
-    found = led.withColumn("hit", F.when(other, F.col("leader")).when(
+    found = found.withColumn("hit", F.when(other, F.col("leader")).when(
         F.col("second.version") != F.col("own.version"), F.col("second")).when(
         F.col("low.version") != F.col("own.version"), F.col("low")))
     hits = found.where(F.col("hit").isNotNull() & (F.col("own.valid_from") <= F.col("hit.end")))
@@ -186,6 +227,24 @@ def assert_no_scd_overlap(dim: DataFrame, key: str = "customer_id",
         pick("valid_to", False).alias("b_valid_to"))
 
 
+def _swept(ranges: DataFrame, key: str, sliced: bool) -> DataFrame:
+    """`ranges` with, of the earlier rows of the key: `leader`, the one of the
+    latest end, and `second` and `low`, the greatest losers."""
+    order, day = ["own.valid_from", "own.version", "own.end"], F.col("own.valid_from")
+    led = _over_earlier(ranges, key, day, order, {"leader": ("max", F.col("own"))}, sliced)
+    other = F.col("leader").isNotNull() & (F.col("leader.version") != F.col("own.version"))
+    led = led.withColumn("loser", F.when(other, F.least("own", "leader")))
+    # Of losers that end together both ends of the order by version are kept:
+    # one of them is of another version than the row's. NULL is the least value of a
+    # struct's field, so rows without a loser are no candidates for the minimum.
+    lowest = F.when(F.col("loser").isNotNull(), F.struct(
+        -F.datediff(F.col("loser.end"), F.lit("1970-01-01").cast("date")).alias("days"),
+        F.col("loser.version").alias("version"), F.col("loser").alias("row")))
+    swept = _over_earlier(led, key, day, order, {"second": ("max", F.col("loser")),
+                                                 "low": ("min", lowest)}, sliced)
+    return swept.withColumn("low", F.col("low.row"))
+
+
 def paid_negative() -> Column:
     return (F.col("status_clean") == "paid") & (F.col("amount").isNull() | (F.col("amount") < 0))
 

@@ -162,6 +162,65 @@ def snapshot_versions(snapshots: DataFrame, key: str, tracked: list[str],
     return out.select(key, *cols, "version_id", "valid_from", "last_seen_date", *extra)
 
 
+def last_rows(islands: DataFrame, key: str, attrs: list[str]) -> DataFrame:
+    """(key, identity, `_last`): of each key the last day seen, the last row of
+    that day in the order of all attributes, and its version."""
+    return islands.groupBy(key, IDENTITY).agg(F.max(F.struct(
+        F.col("last_seen_date").alias("day"), F.struct(*attrs).alias("row"),
+        F.col("version_id").alias("version"))).alias("_last"))
+
+
+def merge_snapshots(islands: DataFrame, snapshots: DataFrame, key: str, tracked: list[str],
+                    carried: list[str], day: str = "snapshot_date") -> DataFrame:
+    """The islands of `snapshot_versions` (default rules, helper columns kept)
+    after more snapshot days, from the islands before them instead of all history.
+
+    Every new day of a key must lie behind the last day of that key (see
+    `late_keys`). `islands` may be those of each key's last version alone: no other
+    can grow. The last row of a key stands before its new rows, so a change is seen
+    as in the full chain, and version numbers go on from its version. An island that
+    goes on is joined with its new days by key, attributes and version.
+
+    Adds `is_open`: whether the island is of its key's last version."""
+    attrs = [c for c in snapshots.columns if c in set(tracked) | set(carried)]
+    identity = [c for c in attrs if c in carried] or attrs
+    new = snapshots.select(key, *attrs, day).distinct().withColumn(
+        IDENTITY, record_identity(key, identity))
+    state = islands.select(key, IDENTITY, *attrs, "version_id", "valid_from", "last_seen_date")
+    last = last_rows(state, key, attrs).select(
+        key, IDENTITY, "_last.row.*", F.col("_last.day").alias(day), F.col("_last.version").alias("_base"))
+    rows = new.withColumn("_base", F.lit(None).cast("bigint")).unionByName(last)
+    of_key = Window.partitionBy(key, IDENTITY)
+    w = of_key.orderBy(day, *attrs)
+    prev = {c: F.lag(c).over(w) for c in tracked}
+    opens = F.when(F.col("_base").isNotNull(), 0).otherwise(
+        _opens(tracked, prev, F.row_number().over(w) == 1, False))
+    running = F.sum("_opens").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    numbered = (rows.withColumn("_opens", opens)
+                .withColumn("version_id", (F.coalesce(F.max("_base").over(of_key), F.lit(0))
+                                           + running).cast("bigint"))
+                .where(F.col("_base").isNull())
+                .select(key, IDENTITY, *attrs, "version_id", F.col(day).alias("valid_from"),
+                        F.col(day).alias("last_seen_date")))
+    merged = state.unionByName(numbered).groupBy(key, IDENTITY, *attrs, "version_id").agg(
+        F.min("valid_from").alias("valid_from"), F.max("last_seen_date").alias("last_seen_date"))
+    return merged.withColumn("is_open", F.col("version_id") == F.max("version_id").over(of_key))
+
+
+def late_keys(islands: DataFrame, snapshots: DataFrame, key: str, tracked: list[str],
+              carried: list[str], day: str = "snapshot_date") -> DataFrame:
+    """(key, identity) of the keys that have a new row on or before their last
+    day: their versions have to be built again from all their snapshots."""
+    attrs = [c for c in snapshots.columns if c in set(tracked) | set(carried)]
+    identity = [c for c in attrs if c in carried] or attrs
+    first = snapshots.select(key, record_identity(key, identity).alias(IDENTITY), day).groupBy(
+        key, IDENTITY).agg(F.min(day).alias("_first"))
+    seen = islands.groupBy(F.col(key).alias("_k"), F.col(IDENTITY).alias("_i")).agg(
+        F.max("last_seen_date").alias("_seen"))
+    return first.join(seen, F.col(key).eqNullSafe(F.col("_k")) & F.col(IDENTITY).eqNullSafe(F.col("_i"))
+                      ).where(F.col("_first") <= F.col("_seen")).select(key, IDENTITY)
+
+
 def close_ranges(history: DataFrame, key: str, version: str = "version_id",
                  valid_from: str = "valid_from", key_name: str = "customer_key",
                  drop: tuple[str, ...] = ("last_seen_date",),
