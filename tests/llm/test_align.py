@@ -75,6 +75,23 @@ def test_json_ranks_are_those_of_the_rank_file():
     assert bpe.read_ranks(PATH_A) == bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def test_units_are_what_both_tokenizers_cut(libraries):
+    rng = random.Random(8)
+    a_lib, b_lib = libraries
+    aligner = align.Aligner(PATH_A, PATTERN, PATH_B)
+    texts = ["".join(rng.choice(["a", "b!", " ", " ", "\n", "\t", "\x1c", "\x85", "\u00a0", "\u3000", "'s", "1", "é"])
+                     for _ in range(rng.randint(1, 25))) for _ in range(1500)]
+    block = aligner.block(texts)
+    a, b, a_ends, b_ends = block.tokens()
+    stops = [np.cumsum(x) for x in (block.n_a, block.n_b)]
+    for k, text in enumerate(texts):
+        assert align._cut_units(text)[0] is not None and " ".join(align._cut_units(text)) == text
+        own_a = a[stops[0][k] - block.n_a[k]:stops[0][k]].tolist()
+        own_b = b[stops[1][k] - block.n_b[k]:stops[1][k]].tolist()
+        assert own_a == a_lib.encode(" " + text, add_special_tokens=False).ids, repr(text)
+        assert own_b == b_lib.encode(text), repr(text)
+
+
 def test_large_groups_count_as_small_ones(monkeypatch):
     aligner = align.Aligner(PATH_A, PATTERN, PATH_B)
     want = [x.tolist() for x in aligner.block(ODD).links()]

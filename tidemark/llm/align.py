@@ -7,10 +7,12 @@ lies a group of tokens A and tokens B that cover the same bytes.
 
 * Common ends are found by a galloping intersection: the ends of the shorter
   list are looked up in the longer one by an exponential search from a known
-  lower bound and a binary search in the range it leaves. The texts of a block
-  are laid end to end, so one call serves a block, and the searches of a block
-  run as vectors: first every STRIDE-th end from the start of the list, then the
-  others from the place of the one before.
+  lower bound and a binary search in the range it leaves. A space behind a
+  character that is no white space begins a token of both tokenizers, whatever
+  stands around it, so a text is cut there into units and each distinct unit of a
+  block of texts is tokenized and aligned once. The units are laid end to end: one
+  call serves a block, and its searches run as vectors, first every STRIDE-th end
+  from the start of the list, then the others from the place of the one before.
 * The places of the common ends in both lists slice the groups; the differences
   of their ranks are the groups' sizes, that is, the range of tokens B that
   every token A of the group overlaps.
@@ -25,8 +27,8 @@ to the documents' links (`score`). What is shuffled is a row per block and
 distinct pair; a pair that every document holds is one row per block. Blocks are
 written in the shared folder once; a lost executor costs reading them again.
 
-Texts that are null, empty or that one of the tokenizers does not give back byte
-for byte (B turns U+2581 into a space) have no tokens, groups or links. Repeated
+Texts that are null, empty or not given back byte for byte (those with U+2581,
+which B turns into a space) have no tokens, groups or links. Repeated
 rows and rows with equal or null ids are documents of their own; an empty table
 gives no rows; only the two named columns are read, so others cannot clash. A
 block holds BLOCK_CHARS characters or one longer text. Links of large groups are
@@ -36,6 +38,7 @@ counted by distinct ids, so a group's memory is that of its distinct pairs.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -90,29 +93,27 @@ def common_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, found[at]
 
 
-class Block:
-    """Tokens of some texts laid end to end, cut into groups. Groups g hold the
-    tokens a_end[g - 1]..a_end[g] and b_end[g - 1]..b_end[g]."""
-
-    def __init__(self, a_ids: list[np.ndarray], b_ids: list[np.ndarray],
-                 a_size: np.ndarray, b_size: np.ndarray):
-        self.n_a = np.array([len(x) for x in a_ids], dtype=np.int64)
-        self.n_b = np.array([len(x) for x in b_ids], dtype=np.int64)
-        self.a = np.concatenate([np.zeros(0, np.int64), *a_ids]).astype(np.int64)
-        self.b = np.concatenate([np.zeros(0, np.int64), *b_ids]).astype(np.int64)
-        at_a, at_b = common_ends(np.cumsum(a_size[self.a]), np.cumsum(b_size[self.b]))
+class Units:
+    """Tokens of some strings laid end to end, cut into groups. Group g holds the
+    tokens a_end[g] - a_n[g] .. a_end[g] and b_end[g] - b_n[g] .. b_end[g]."""
+
+    def __init__(self, a: np.ndarray, b: np.ndarray, a_size: np.ndarray, b_size: np.ndarray,
+                 stops: np.ndarray):
+        """Ids of both tokenizers, the sizes of all ids in bytes, where units end."""
+        self.a, self.b = a.astype(np.int64), b.astype(np.int64)
+        ends_a, ends_b = np.cumsum(a_size[self.a]), np.cumsum(b_size[self.b])
+        self.n_a, self.n_b = (np.diff(np.searchsorted(ends, stops, "right"), prepend=0)
+                              for ends in (ends_a, ends_b))
+        at_a, at_b = common_ends(ends_a, ends_b)
         self.a_end, self.b_end = at_a + 1, at_b + 1
         self.a_n, self.b_n = np.diff(self.a_end, prepend=0), np.diff(self.b_end, prepend=0)
-        self.doc = np.repeat(np.arange(len(a_ids)), self.n_a)[at_a]  # of each group
-        docs = len(a_ids)
-        self.n_groups = np.bincount(self.doc, minlength=docs)
-        self.group_stop = np.cumsum(self.n_groups)
-        links = np.concatenate([[0], np.cumsum(self.a_n * self.b_n)])
-        self.n_links = links[self.group_stop] - links[self.group_stop - self.n_groups]
+        self.unit = np.repeat(np.arange(len(stops)), self.n_a)[at_a]  # of each group
+        self.n_groups = np.bincount(self.unit, minlength=len(stops))
+        self.n_links = _sums(self.a_n * self.b_n, self.n_groups)
 
     def links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(document, id pair, times) for each document and distinct linked pair,
-        by document and pair. A pair is A's id << ID_BITS | B's id."""
+        """(unit, id pair, times) for each unit and distinct linked pair, by unit
+        and pair. A pair is A's id << ID_BITS | B's id."""
         size = self.a_n * self.b_n
         few = np.flatnonzero(size <= WIDE_GROUP)
         n = size[few]
@@ -121,26 +122,20 @@ class Block:
         width = self.b_n[group]
         a = self.a[self.a_end[group] - self.a_n[group] + k // width]
         b = self.b[self.b_end[group] - width + k % width]
-        keys = [self.doc[group] << 2 * ID_BITS | a << ID_BITS | b]
+        owner, pairs = [self.unit[group]], [a << ID_BITS | b]
         times = [np.ones(len(group), dtype=np.int64)]
         for g in np.flatnonzero(size > WIDE_GROUP).tolist():
             a, n_a = np.unique(self.a[self.a_end[g] - self.a_n[g]:self.a_end[g]], return_counts=True)
             b, n_b = np.unique(self.b[self.b_end[g] - self.b_n[g]:self.b_end[g]], return_counts=True)
-            keys.append((self.doc[g] << 2 * ID_BITS | a[:, None] << ID_BITS | b).ravel())
+            pairs.append((a[:, None] << ID_BITS | b).ravel())
+            owner.append(np.full(len(pairs[-1]), self.unit[g]))
             times.append((n_a[:, None] * n_b).ravel())
-        keys, times = np.concatenate(keys), np.concatenate(times)
-        order = np.argsort(keys, kind="stable")
-        keys, times = keys[order], times[order]
-        first = np.flatnonzero(np.diff(keys, prepend=-1) != 0)
-        if not len(first):
-            return keys, keys, times
-        keys = keys[first]
-        return keys >> 2 * ID_BITS, keys & ((1 << 2 * ID_BITS) - 1), np.add.reduceat(times, first)
+        return _summed(np.concatenate(owner), np.concatenate(pairs), np.concatenate(times))
 
     def listed(self, words: list[bytes], a_words: int) -> Iterator[bytes]:
-        """Per document its groups as text. words: for each id of A and then each
-        of B (from a_words on) the text inside a group, and the text at the end of
-        a list."""
+        """Per unit its groups as text. words: for each id of A and then each of B
+        (from a_words on) the text inside a group, and the text at the end of a
+        list."""
         n = len(self.a) + len(self.b)
         order = np.empty(n, dtype=np.int64)
         last_a, last_b = np.zeros(len(self.a), np.int64), np.zeros(len(self.b), np.int64)
@@ -153,9 +148,89 @@ class Block:
         listed = list(map(words.__getitem__, order.tolist()))
         stop = 0
         for n in (self.n_a + self.n_b).tolist():
+            yield b"".join(listed[stop:stop + n])
+            stop += n
+
+
+def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums over neighbouring runs of the given sizes."""
+    total, stop = np.concatenate([[0], np.cumsum(values)]), np.cumsum(sizes)
+    return total[stop] - total[stop - sizes]
+
+
+def _gathered(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of the runs that begin at `starts`, one run after the other."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+def _summed(owner: np.ndarray, pairs: np.ndarray, times: np.ndarray):
+    """Times added up by owner and pair, in that order."""
+    keys = owner << 2 * ID_BITS | pairs
+    order = np.argsort(keys, kind="stable")
+    keys, times = keys[order], times[order]
+    first = np.flatnonzero(np.diff(keys, prepend=-1) != 0)
+    if not len(first):
+        return keys, keys, times
+    keys = keys[first]
+    return keys >> 2 * ID_BITS, keys & ((1 << 2 * ID_BITS) - 1), np.add.reduceat(times, first)
+
+
+class Block:
+    """Some texts as lists of units. codes: the units of all texts in order; sizes:
+    how many each text has."""
+
+    def __init__(self, units: Units, codes: np.ndarray, sizes: np.ndarray):
+        self.units, self.codes, self.sizes = units, codes, sizes
+        self.n_a, self.n_b, self.n_groups, self.n_links = (
+            _sums(x[codes], sizes) for x in (units.n_a, units.n_b, units.n_groups, units.n_links))
+
+    def links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """`Units.links` by text."""
+        unit, pair, times = self.units.links()
+        n = np.bincount(unit, minlength=len(self.units.n_a))
+        start = np.cumsum(n) - n
+        text = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        both, again = np.unique(text << 32 | self.codes, return_counts=True)
+        text, code = both >> 32, both & 0xFFFFFFFF
+        at = _gathered(start[code], n[code])
+        return _summed(np.repeat(text, n[code]), pair[at], times[at] * np.repeat(again, n[code]))
+
+    def listed(self, words: list[bytes], a_words: int) -> Iterator[bytes]:
+        of_unit = list(self.units.listed(words, a_words))
+        listed, stop = list(map(of_unit.__getitem__, self.codes.tolist())), 0
+        for n in self.sizes.tolist():
             yield b"".join(listed[stop:stop + n])[:-1]
             stop += n
 
+    def tokens(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of A and of B of all texts, and the groups' ends in both, counted
+        from the start of each text."""
+        u, c = self.units, self.codes
+        a = u.a[_gathered((np.cumsum(u.n_a) - u.n_a)[c], u.n_a[c])]
+        b = u.b[_gathered((np.cumsum(u.n_b) - u.n_b)[c], u.n_b[c])]
+        groups = _gathered((np.cumsum(u.n_groups) - u.n_groups)[c], u.n_groups[c])
+        ends = []
+        for n, whole in ((u.a_n, self.n_a), (u.b_n, self.n_b)):
+            ends.append(np.cumsum(n[groups]) - np.repeat(np.cumsum(whole) - whole, self.n_groups))
+        return a, b, *ends
+
+
+_BLANK_AND_SPACE = re.compile(r"\s ").search
+
+
+def _cut_units(text: str) -> list[str]:
+    """The units of a space and the text, without the space that each begins with."""
+    parts = text.split(" ")
+    if not _BLANK_AND_SPACE(" " + text):
+        return parts
+    units = parts[:1]
+    for part in parts[1:]:
+        if not units[-1] or units[-1][-1].isspace():
+            units[-1] += " " + part  # white space may be one token with the space
+        else:
+            units.append(part)
+    return units
+
 
 class Aligner:
     """The two tokenizers of a Python worker."""
@@ -163,28 +238,49 @@ class Aligner:
     def __init__(self, path_a: str, pattern: str, path_b: str):
         self.a = bpe.codec(path_a, pattern)
         self.b = pieces.codec(path_b)
-        self.a_bytes, self.b_bytes = self.a.vocab.tokens, self.b.model.bytes
-        if max(len(self.a_bytes), len(self.b_bytes)) > 1 << ID_BITS:
+        a_tokens, b_tokens = self.a.vocab.tokens, self.b.model.bytes
+        if max(len(a_tokens), len(b_tokens)) > 1 << ID_BITS:
             raise ValueError(f"token ids of more than {ID_BITS} bits")
-        self.a_size = np.array([len(x) for x in self.a_bytes], dtype=np.int64)
-        self.b_size = np.array([len(x) for x in self.b_bytes], dtype=np.int64)
-        self.a_words = 2 * len(self.a_bytes)
-        self.words = [w for i in range(len(self.a_bytes)) for w in (b"%d," % i, b"%d|" % i)]
-        self.words += [w for i in range(len(self.b_bytes)) for w in (b"%d," % i, b"%d;" % i)]
+        if any(re.search(r"\S ", t.decode("utf-8", "replace")) for t in self.a.vocab.ranks):
+            raise ValueError("tokens of A go on behind the end of a word")
+        # all tokens' bytes one after the other, and their sizes
+        self.a_bytes, self.b_bytes = (np.frombuffer(b"".join(t), dtype=np.uint8)
+                                      for t in (a_tokens, b_tokens))
+        self.a_size, self.b_size = (np.array([len(x) for x in t], dtype=np.int64)
+                                    for t in (a_tokens, b_tokens))
+        self.a_words = 2 * len(a_tokens)
+        self.words = [w for i in range(len(a_tokens)) for w in (b"%d," % i, b"%d|" % i)]
+        self.words += [w for i in range(len(b_tokens)) for w in (b"%d," % i, b"%d;" % i)]
 
     def block(self, texts: list[str | None]) -> Block:
-        """The texts' tokens; none for texts that a tokenizer does not give back."""
-        a_all, b_all = [], []
-        spaced = [" " + t if t else None for t in texts]
-        for text, a, b in zip(spaced, self.a.encode_all(spaced), self.b.encode_all(texts)):
-            a, b = np.frombuffer(a, "<i4"), np.frombuffer(b, "<i4")
-            whole = (text or "").encode()
-            if (b"".join(map(self.a_bytes.__getitem__, a.tolist())) != whole
-                    or b"".join(map(self.b_bytes.__getitem__, b.tolist())) != whole):
-                a = b = np.zeros(0, "<i4")
-            a_all.append(a)
-            b_all.append(b)
-        return Block(a_all, b_all, self.a_size, self.b_size)
+        """The texts' tokens; none for texts that hold a marker, which B turns into a
+        space. Both tokenizers give all others back, which is checked."""
+        listed, sizes = [], []
+        for text in texts:
+            units = _cut_units(text) if text and pieces.MARK not in text else []
+            sizes.append(len(units))
+            listed += units
+        coded = pa.array(listed, pa.string()).dictionary_encode()
+        codes, sizes = coded.indices.to_numpy().astype(np.int64), np.array(sizes, dtype=np.int64)
+        distinct = coded.dictionary.to_pylist()
+        # a unit that ends in white space has to be the last one of what is encoded
+        ends_blank = [k for k, u in enumerate(distinct) if not u or u[-1].isspace()]
+        order = np.array(ends_blank + np.setdiff1d(np.arange(len(distinct)), ends_blank).tolist(), dtype=np.int64)
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        whole = [" " + distinct[k] for k in order.tolist()]
+        n = len(ends_blank)
+        parts = whole[:n] + (["".join(whole[n:])] if len(whole) > n else [])
+        a = np.frombuffer(b"".join(self.a.encode_all(parts)), "<i4")
+        b = np.frombuffer(b"".join(self.b.encode_all(
+            [p.replace(" ", pieces.MARK) for p in parts], marked=True)), "<i4")
+        data = "".join(parts).encode()
+        for ids, tokens, size in ((a, self.a_bytes, self.a_size), (b, self.b_bytes, self.b_size)):
+            at = _gathered((np.cumsum(size) - size)[ids], size[ids])
+            if tokens[at].tobytes() != data:
+                raise ValueError("a tokenizer does not give back a text without markers")
+        stops = np.cumsum([len(u.encode()) for u in whole], dtype=np.int64)
+        return Block(Units(a, b, self.a_size, self.b_size, stops), place[codes], sizes)
 
 
 def _aligner(path_a: str, pattern: str, path_b: str, kept={}) -> Aligner:
@@ -229,13 +325,11 @@ def align(df: DataFrame, id_col: str, text_col: str, path_a: str, pattern: str,
         aligner = _aligner(path_a, pattern, path_b)
         for ids, texts in _cut(batches):
             block = aligner.block(texts)
-            from_a = np.repeat(np.cumsum(block.n_a) - block.n_a, block.n_groups)
-            from_b = np.repeat(np.cumsum(block.n_b) - block.n_b, block.n_groups)
+            a, b, a_ends, b_ends = block.tokens()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([i.as_py() for i in ids], ids[0].type),
-                 _lists(block.a, block.n_a), _lists(block.b, block.n_b),
-                 _lists(block.a_end - from_a, block.n_groups),
-                 _lists(block.b_end - from_b, block.n_groups)],
+                 _lists(a, block.n_a), _lists(b, block.n_b),
+                 _lists(a_ends, block.n_groups), _lists(b_ends, block.n_groups)],
                 names=["id", "a_ids", "b_ids", "a_ends", "b_ends"])
 
     return source.mapInArrow(run, f"id {kind}, a_ids array<int>, b_ids array<int>,"

@@ -60,26 +60,13 @@ def read_ranks(path: str) -> dict[bytes, int]:
             for token, rank in parsed["model"]["vocab"].items() if token not in special}
 
 
-class Vocabulary:
-    """Ranks of one file and pair ranks as a hash table of numpy arrays, so that
+class PairTable:
+    """Values of pairs of ids (below 2^24) as a hash table of numpy arrays, so that
     many pairs are looked up at once."""
 
-    def __init__(self, path: str):
-        self.ranks = read_ranks(path)
-        self.size = max(self.ranks.values()) + 1
-        self.tokens: list[bytes] = [b""] * self.size
-        for token, rank in self.ranks.items():
-            self.tokens[rank] = token
-        self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int64)
-        keys, merged = [], []
-        for token, rank in self.ranks.items():
-            for cut in range(1, len(token)):
-                a = self.ranks.get(token[:cut])
-                b = self.ranks.get(token[cut:])
-                if a is not None and b is not None:
-                    keys.append(a << 24 | b)
-                    merged.append(rank)
-        self._build(np.array(keys, dtype=np.int64), np.array(merged, dtype=np.int64))
+    def __init__(self, pairs: dict[tuple[int, int], int]):
+        self._build(np.array([a << 24 | b for a, b in pairs], dtype=np.int64),
+                    np.array(list(pairs.values()), dtype=np.int64))
 
     def _build(self, keys: np.ndarray, merged: np.ndarray) -> None:
         bits = max(4, int(len(keys) * 3).bit_length())
@@ -102,7 +89,7 @@ class Vocabulary:
         return (mixed >> self._shift).astype(np.int64)
 
     def pair_ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Rank of each joined pair, NEVER where the pair is no token."""
+        """Value (rank) of each pair, NEVER where it has none."""
         keys = a << 24 | b
         slot = self._slots(keys)
         found = self._keys[slot]
@@ -117,6 +104,27 @@ class Vocabulary:
         return out
 
 
+class Vocabulary(PairTable):
+    """Ranks of one file, and the ranks of the pairs that join to a token."""
+
+    def __init__(self, path: str):
+        self.ranks = read_ranks(path)
+        self.size = max(self.ranks.values()) + 1
+        self.tokens: list[bytes] = [b""] * self.size
+        for token, rank in self.ranks.items():
+            self.tokens[rank] = token
+        self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int64)
+        keys, merged = [], []
+        for token, rank in self.ranks.items():
+            for cut in range(1, len(token)):
+                a = self.ranks.get(token[:cut])
+                b = self.ranks.get(token[cut:])
+                if a is not None and b is not None:
+                    keys.append(a << 24 | b)
+                    merged.append(rank)
+        self._build(np.array(keys, dtype=np.int64), np.array(merged, dtype=np.int64))
+
+
 def merge_rows(vocab: Vocabulary, pieces: list[bytes], width: int) -> list[bytes]:
     """Ids of each piece (little-endian, 32 bits); every piece has at most
     `width` bytes (a power of two). Row r of `tree` is the segment tree of piece
@@ -247,8 +255,9 @@ class Codec:
         extra: dict[str, bytes] = {}
         fresh = [m for m in matches if m not in cache]
         if len(cache) + len(fresh) > CACHE_PIECES:
+            kept = {m: cache[m] for m in matches if m in cache}  # what these texts use stays
             cache.clear()
-            fresh = list(matches)
+            cache.update(kept)
         for match in fresh:
             piece = match.encode("utf-8")
             n = len(piece)

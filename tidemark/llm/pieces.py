@@ -19,8 +19,8 @@ Nulls are empty texts; an empty text has no ids and decodes to the empty text.
 Repeated rows are encoded each by itself, an empty table gives no rows, and
 columns that share a name with the result's column are replaced. Work is per
 row: no shuffle and nothing collected. Memory is bounded by BLOCK_CHARS, the
-table (TABLE_CHUNKS chunks of at most TABLE_CHARS characters, begun anew when
-full) and the longest text; a chunk of n characters takes n log n steps.
+table (TABLE_CHUNKS chunks of at most TABLE_CHARS characters; when it is full,
+those of the block at hand stay) and the longest text; a chunk of n characters takes n log n steps.
 """
 
 from __future__ import annotations
@@ -37,6 +37,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.bpe import NEVER as NO_PAIR
+from tidemark.llm.bpe import PairTable
 from tidemark.llm.common import tidy
 
 MARK = "▁"
@@ -45,7 +47,7 @@ TABLE_CHUNKS = 300_000
 TABLE_CHARS = 48  # longer chunks are not kept
 LONG_CHUNK = 64  # longer chunks are merged by a heap
 ROWS_AT_ONCE = 20_000
-NEVER = 1 << 40
+NEVER = NO_PAIR >> 24  # rank of two symbols that do not join
 PROBES = ("", " ", "  a  b ", "x\ty\nz", "Ａ① é é ﬁ", "​﻿ .", "a▁b")
 
 
@@ -111,18 +113,9 @@ class PieceModel:
             for cut in range(1, len(piece)):
                 a, b = symbol(piece[:cut]), symbol(piece[cut:])
                 if a is not None and b is not None:
-                    found[a << 21 | b] = (self.ranks[piece], i)
-        self._keys = np.array(sorted(found), dtype=np.int64)
-        self._joined = np.array([found[k] for k in self._keys.tolist()] + [(NEVER, 0)],
-                                dtype=np.int64).reshape(-1, 2)
-
-    def _order(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Row of `_joined` for each pair; the last one where they do not join."""
-        keys = a << 21 | b
-        at = np.searchsorted(self._keys, keys)
-        at[at == len(self._keys)] = 0
-        hit = self._keys[at] == keys if len(self._keys) else np.zeros(len(keys), dtype=bool)
-        return np.where(hit, at, len(self._keys))
+                    found[a, b] = self.ranks[piece] << 24 | i
+        # rank and id of what a pair joins to; NEVER has the largest rank
+        self._joined = PairTable(found).pair_ranks
 
     def segment(self, chunks: Iterable[str]) -> dict[str, bytes]:
         """The ids of each chunk."""
@@ -156,7 +149,7 @@ class PieceModel:
         # best[r, i]: rank of joining symbols i and i + 1 of row r
         best = np.full((n, width), NEVER, dtype=np.int64)
         r, c = np.nonzero(column + 1 < left[:, None])
-        best[r, c] = self._joined[self._order(rows[r, c], rows[r, c + 1]), 0]
+        best[r, c] = self._joined(rows[r, c], rows[r, c + 1]) >> 24
         done = np.empty_like(rows)
         live = np.arange(n)
         while True:
@@ -167,7 +160,7 @@ class PieceModel:
             if not len(live):
                 break
             k = np.arange(len(live))
-            joined = self._joined[self._order(rows[k, at], rows[k, at + 1]), 1]
+            joined = self._joined(rows[k, at], rows[k, at + 1]) & 0xFFFFFF
             # the symbols behind the pair move one place to the left
             source = np.minimum(column + (column > at[:, None]), width - 1)
             rows = np.take_along_axis(rows, source, axis=1)
@@ -176,9 +169,9 @@ class PieceModel:
             left[live] -= 1
             best[k, at] = NEVER
             has = np.flatnonzero(at + 1 < left[live])
-            best[has, at[has]] = self._joined[self._order(joined[has], rows[has, at[has] + 1]), 0]
+            best[has, at[has]] = self._joined(joined[has], rows[has, at[has] + 1]) >> 24
             has = np.flatnonzero(at > 0)
-            best[has, at[has] - 1] = self._joined[self._order(rows[has, at[has] - 1], joined[has]), 0]
+            best[has, at[has] - 1] = self._joined(rows[has, at[has] - 1], joined[has]) >> 24
         kept = column < left[:, None]
         ids = done[kept]
         ends = np.cumsum(left)
@@ -241,11 +234,13 @@ class PieceCodec:
         self.model = PieceModel(path)
         self._table: dict[str, bytes] = {}
 
-    def encode_all(self, texts: Iterable[str | None]) -> Iterator[bytes]:
-        """The ids of each text, in order."""
+    def encode_all(self, texts: Iterable[str | None], marked: bool = False) -> Iterator[bytes]:
+        """The ids of each text, in order. marked: the texts are parts of one that
+        has its markers already."""
         block, chars = [], 0
         for text in texts:
-            block.append(self.model.chunks(self.model.marked(text)) if text else [])
+            whole = text if marked else self.model.marked(text or "")
+            block.append(self.model.chunks(whole) if whole else [])
             chars += len(text or "")
             if chars >= BLOCK_CHARS:
                 yield from self._encode_block(block)
@@ -256,8 +251,8 @@ class PieceCodec:
         distinct = set().union(*block)
         fresh = distinct.difference(self._table)
         if len(self._table) + len(fresh) > TABLE_CHUNKS:
-            self._table.clear()
-            fresh = distinct
+            # what this block uses stays
+            self._table = {c: self._table[c] for c in distinct.difference(fresh)}
         table, once = self._table, self.model.segment(c for c in fresh if len(c) > TABLE_CHARS)
         table.update(self.model.segment(c for c in fresh if len(c) <= TABLE_CHARS))
         find = table.__getitem__ if not once else lambda c: table.get(c) or once[c]
