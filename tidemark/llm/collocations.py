@@ -53,6 +53,7 @@ SLOTS = 1 << 16
 BUDGET = 1 << 20  # suffixes of a group
 MAX_GROUPS = 1 << 20
 PARTS = 8  # parts of an extended class per budget
+SHARES = 16  # of a language's phrases, ranked by themselves first
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 _BREAK = re.compile(rb"[.,;:!?\n-\r]")
 # ASCII letters to lower case, what ends a piece to a byte that is in no UTF-8 text
@@ -395,8 +396,14 @@ def collocations(df: DataFrame, lang_col: str = "lang", text_col: str = "text",
             .filter(F.col("longer").isNull()
                     | (F.lit(100).cast("decimal(20,0)") * F.col("longer")
                        < F.lit(covered).cast("decimal(20,0)") * F.col("a"))))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    # A language's first phrases are among the first of each of its shares, so that
+    # the last sort holds SHARES * top phrases of it, however many it has.
+    best_first = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    share = F.pmod(F.xxhash64("phrase"), F.lit(SHARES))
+    some = kept.withColumn("share", share).withColumn("rank", F.row_number().over(
+        Window.partitionBy("lang", "share").orderBy(*best_first))).filter(F.col("rank") <= top)
+    ranked = some.withColumn("rank", F.row_number().over(
+        Window.partitionBy("lang").orderBy(*best_first))).filter(F.col("rank") <= top)
     return (ranked.join(total, "lang")
             .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n",
                     "score"))
