@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from tidemark.operators.scd import (
     IDENTITY, WIDE, close_ranges, late_keys, merge_snapshots, record_identity, snapshot_versions)
 from tidemark.plans.marts import CUSTOMER_CARRIED, CUSTOMER_TRACKED, SCD_COLUMNS
+from tidemark.session import path_exists
 
 KEY = "customer_id"
 STEP_COLUMNS = ["number", "step", "rebuilt", "schema"]
@@ -41,12 +42,9 @@ class IncrementalDimension:
 
     def _committed(self) -> list:
         """(number, step, rebuilt, schema) of the steps, in order: one row per day or so."""
-        try:
-            rows = self.spark.read.parquet(self._steps)
-        except Exception as error:  # noqa: BLE001 - before the first step there is no folder
-            if "PATH_NOT_FOUND" in str(error):
-                return []
-            raise
+        if not path_exists(self.spark, self._steps):
+            return []
+        rows = self.spark.read.parquet(self._steps)
         return sorted(tuple(r) for r in rows.select(*STEP_COLUMNS).collect())
 
     def _write(self, number: int, step: str, islands: DataFrame, rebuilt: bool) -> tuple:

@@ -103,6 +103,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return root
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, through the Hadoop FileSystem of the path."""
+    sc = _context(spark)
+    if sc is None:
+        raise RuntimeError("looking for a folder needs a classic session")
+    found = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(found.getFileSystem(sc._jsc.hadoopConfiguration()).exists(found))
+
+
 def run_folder(spark: SparkSession, run_id: str) -> str:
     """Where `materialize` writes the intermediates of one run."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemark/{run_id}"
