@@ -64,7 +64,8 @@ def test_symbols_mark_repetition_and_digits():
     s = kn.symbols("No no  NO\nyes 19").tolist()
     assert s == [*map(ord, "No "), kn.REPEAT, 32, kn.REPEAT + 1, *map(ord, " yes 00")]
     assert kn.symbols("a " * 9).tolist()[-1] == kn.REPEAT + kn.RUNS - 1
-    assert all(0 <= x < 1024 for x in kn.symbols("\U0001f600 ￿ Ͽ z"))
+    assert all(0 <= x < 1 << kn.BITS for x in kn.symbols("\U0001f600 ￿ Ͽ 豈 힣 z"))
+    assert kn.symbols("жא中").tolist() == [*map(ord, "жא中")]
 
 
 def test_counts_of_counts_may_be_zero():
@@ -99,6 +100,20 @@ def test_rows(spark):
     assert all((r.perplexity is None) == (r.id in (1003, 1004)) for r in judged)
 
 
+@pytest.mark.parametrize("words, letters", [
+    ("дом стоит у реки и там часто идёт дождь а потом снова светит солнце", "абвгдежзийклмнопрстуфхцчшщъыьэюя"),
+    ("我们 今天 去 河边 看 房子 明天 他们 再 回来 学习 中文", "的一是不了人在有这中大来上国个到说们为子和你地出道也时年得就那要下以生会自着去之过家学对可她里后小么心多天而能好都然没日于起还发成事只作当想看文无开手十用主行方又如前所本见经头面公同三已老从动两长")])
+def test_junk_in_other_scripts_is_rejected(spark, words, letters):
+    rng = np.random.default_rng(2)
+    said = words.split()
+    good = [(i, " ".join(rng.choice(said) for _ in range(rng.integers(20, 80))), "xx") for i in range(400)]
+    junk = [(1000 + i, " ".join("".join(rng.choice(list(letters)) for _ in range(rng.integers(2, 8)))
+                                for _ in range(60)), "xx") for i in range(20)]
+    df = spark.createDataFrame(good + junk, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(300)], "doc_id long, quality int")
+    assert sorted(r.doc_id for r in kn.kept(spark, df, labels).collect()) == list(range(400))
+
+
 def sample(sizes):
     """(lang, entropy) of held-out documents; a language's own level and span,
     the same for any size but for its first rows."""

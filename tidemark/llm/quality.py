@@ -2,10 +2,10 @@
 trusted text, and thresholds on perplexity by language.
 
 Symbols. A text is a string of symbols: its characters, with white space as one
-space and every digit as 0; characters beyond the first thousand code points
-fall into 16 classes. A word that repeats the one before it becomes a symbol of
+space and every digit as 0; characters from code point 32,000 on fall into 700
+classes, all others stand for themselves. A word that repeats the one before it becomes a symbol of
 its own (first, second, ... repetition), so that a text that says one fluent
-word a hundred times is as unlikely as it should be. ORDER symbols of 10 bits
+word a hundred times is as unlikely as it should be. ORDER symbols of 15 bits
 fit one 64-bit integer, in which the context is a shift and the shorter n-gram
 a mask.
 
@@ -55,8 +55,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import (
     anti_join, open_shared, persist, scratch_dir, semi_join, tidy)
 
-ORDER, BITS = 4, 10
-PLAIN, CLASSES, BEGIN, REPEAT, RUNS = 1000, 16, 1016, 1017, 5
+ORDER, BITS = 4, 15
+PLAIN, CLASSES, BEGIN, REPEAT, RUNS = 32_000, 700, 32_700, 32_701, 5
 CHUNK_CHARS = 1 << 20
 SHARD_ROWS = 1_000_000
 SHARDS_IN_MEMORY = 4
