@@ -42,3 +42,35 @@ def test_stages_keep_the_columns_and_take_any_rows(spark):
             out.collect()
         last = corpus_pipeline.STAGES[-1][1](spark, frame, SF_SMALL)
         assert len(last.collect()) == frame.count()
+
+
+def test_stages_decide_by_row(spark):
+    """Repeated and null ids: a copy, a leak or junk goes, its clean namesake stays."""
+    import random
+    rng = random.Random(4)
+    item = table(spark, SF_SMALL, "benchmark").first().text
+
+    def prose(n):
+        return " ".join("".join(rng.choice("aeinrstl") for _ in range(rng.randint(3, 8))) for _ in range(n))
+
+    clean, other, third = prose(60), prose(60), prose(60)
+    rows = [(7, clean), (7, clean), (None, clean), (7, f"{other} {item}"), (None, f"{prose(40)} {item}"),
+            (None, third), (9, third), (None, ""), (None, None), (8, other)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    stages = dict(corpus_pipeline.STAGES)
+    copies = sorted(map(repr, ((r.doc_id, r.text) for r in stages["ngram_jaccard_join"](
+        spark, docs, SF_SMALL).collect())))
+    left = [(7, clean), rows[3], rows[4], (9, third), (None, ""), (None, None), (8, other)]
+    assert copies == sorted(map(repr, left))
+    leaks = [(r.doc_id, r.text) for r in stages["benchmark_decontamination"](
+        spark, docs, SF_SMALL).collect()]
+    assert sorted(map(repr, leaks)) == sorted(map(repr, [r for r in rows if not (r[1] or "").endswith(item)]))
+    good = table(spark, SF_SMALL, "documents").join(
+        table(spark, SF_SMALL, "labels").filter("quality = 1"), "doc_id").select(docs.columns)
+    text = good.first().text
+    junk = spark.createDataFrame([(-5, "#$% @@ ~~ " * 40, "en", "s", 1), (None, "zzq xxj " * 90, "en", "s", 1),
+                                  (-5, text, "en", "s", 1), (None, text, "en", "s", 1)], docs.schema)
+    kept = stages["quality_classifier"](spark, good.unionByName(junk), SF_SMALL).collect()
+    assert sum(r.text == text for r in kept) >= 3
+    assert not any((r.text or "").startswith(("#$%", "zzq")) for r in kept)

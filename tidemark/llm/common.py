@@ -10,6 +10,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,6 +86,20 @@ def persist(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_row_key(df: DataFrame, name: str = "__row") -> DataFrame:
+    """`df` with a key of its own for every row, whatever its columns hold, and the
+    same each time it is computed: the file and place it is read from; a table that
+    is no scan of Parquet files is written first."""
+    if "_metadata" not in df.columns:
+        try:
+            return df.select("*", F.concat_ws(
+                "#", F.xxhash64("_metadata.file_path").cast("string"),
+                F.expr("cast(_metadata.row_index as string)")).alias(name))
+        except AnalysisException:  # its rows come from elsewhere
+            pass
+    return persist(df.withColumn(name, F.monotonically_increasing_id().cast("string")), "rows")
+
+
 def open_shared(path: str):
     """(filesystem, path inside it) of a shared folder or file, for tasks that
     read byte ranges or write files. Any store that pyarrow opens will do."""

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import anti_join, persist, tidy
+from tidemark.llm.common import tidy
 
 Q = 8
 RATE = 0.1
@@ -291,17 +291,30 @@ def _best(leaks: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, i
                   key=lambda x: (x[1], x[0]))
 
 
+def _items(benchmark: DataFrame, item_col: str, item_text: str) -> tuple[DataFrame, int]:
+    """(item, text) of the items with text, and into how many shards they go."""
+    items = benchmark.select(F.col(f"`{item_col}`").alias("item"),
+                             F.col(f"`{item_text}`").cast("string").alias("text")).filter(
+        F.length("text") > 0)
+    chars = items.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
+    return items, max(1, -(-chars // SHARD_CHARS))
+
+
+def _shards(spark, items: DataFrame, shards: int):
+    """The broadcast items of each shard."""
+    for shard in range(shards):
+        part = items if shards == 1 else items.filter(
+            F.pmod(F.xxhash64("item", "text"), F.lit(shards)) == shard)
+        yield spark.sparkContext.broadcast([tuple(r) for r in part.collect()])
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           item_col: str = "item_id", item_text: str = "text", rate: float = RATE) -> DataFrame:
     """(id_col, item_col, start, end, edits) of every passage of `docs` that is
     within the edit budget of a whole item of `benchmark`."""
     spark = docs.sparkSession
     kind, item_kind = dict(docs.dtypes)[id_col], dict(benchmark.dtypes)[item_col]
-    items = benchmark.select(F.col(f"`{item_col}`").alias("item"),
-                             F.col(f"`{item_text}`").cast("string").alias("text")).filter(
-        F.length("text") > 0)
-    chars = items.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
-    shards = max(1, -(-chars // SHARD_CHARS))
+    items, shards = _items(benchmark, item_col, item_text)
     source = docs.select(F.col(f"`{id_col}`").alias("id"),
                          F.col(f"`{text_col}`").cast("string").alias("text"))
     schema = f"`{id_col}` {kind}, `{item_col}` {item_kind}, `start` int, `end` int, edits int"
@@ -326,10 +339,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         return run
 
     found = None
-    for shard in range(shards):
-        part = items if shards == 1 else items.filter(
-            F.pmod(F.xxhash64("item", "text"), F.lit(shards)) == shard)
-        shared = spark.sparkContext.broadcast([tuple(r) for r in part.collect()])
+    for shared in _shards(spark, items, shards):
         one = source.mapInArrow(scanner(shared), schema)
         found = one if found is None else found.unionByName(one)
     return found
@@ -337,7 +347,26 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           rate: float = RATE) -> DataFrame:
-    """The rows of `docs` without a leak, all columns as they are."""
-    found = persist(leaks(docs, benchmark, id_col, text_col, rate=rate).select(id_col).distinct(),
-                    "leaking")
-    return anti_join(docs, id_col, found, id_col)
+    """The rows of `docs` without a leak, all columns as they are. Each row is judged
+    by its own text where it is read, whatever its id: nothing is joined."""
+    items, shards = _items(benchmark, "item_id", "text")
+    names, schema = docs.columns, docs.schema
+    kept = docs.select(*[F.col(f"`{c}`") for c in names],
+                       F.col(f"`{text_col}`").cast("string").alias("__text"))
+
+    def sieve(shared):
+        @tidy
+        def run(batches):
+            bench = Benchmark(shared.value, rate)
+            for batch in batches:
+                for lo in range(0, batch.num_rows, 500):
+                    cut = batch.slice(lo, 500)
+                    hits = scan(bench, cut.column(len(names)).to_pylist())
+                    yield cut.filter(pa.array([not x for x in hits], pa.bool_()))
+
+        return run
+
+    whole = kept.schema
+    for shared in _shards(docs.sparkSession, items, shards):
+        kept = kept.mapInArrow(sieve(shared), whole)
+    return kept.select(*[F.col(f"`{c}`") for c in names])

@@ -49,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import anti_join, maybe_members, persist, tidy
+from tidemark.llm.common import anti_join, maybe_members, persist, tidy, with_row_key
 
 HOT = 16  # nodes in whose prefixes an n-gram may be before it is treated as a star
 MAX_HOT = 1 << 22  # 32 MB
@@ -549,6 +549,21 @@ def _stars_only(edges: DataFrame) -> bool:
         "up + down > 1").isEmpty()
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
+                percent: int = 80) -> DataFrame:
+    """The rows of `docs` of which each component keeps one, all columns as they
+    are: the row of the smallest id that is not null, the first of equal ones.
+    Rows are told apart by where they stand, so repeated and null ids are rows like
+    others. Rows without words are near copies of nothing and stay."""
+    keyed = with_row_key(docs)
+    named = keyed.withColumn("__id", F.struct(
+        F.col(f"`{id_col}`").isNull().alias("lost"), F.col(f"`{id_col}`").alias("id"),
+        F.col("__row").alias("row")))
+    found = near_duplicates(named.select("__id", text_col), "__id", text_col, words, percent)
+    copies = persist(found.filter("__id <> component_id").select("__id.row"), "near-copies")
+    return anti_join(keyed, "__row", copies, "row").drop("__row")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     words: int = 5, percent: int = 80) -> DataFrame:
     """(id_col, n_shingles, component_id) for every row of `docs`: the size of

@@ -37,8 +37,8 @@ of a short text is drawn to the median by PRIOR symbols, as it is noisy.
 
 An empty or null text has no perplexity and is rejected. Without trusted text
 nothing is judged and all documents with text are kept. Several labels of one
-document count by the least. Rows that repeat an id share its fate; rows
-without an id stay.
+document count by the least; they go by id, so rows that repeat an id are all
+trusted or none is. Each row is judged by its own text.
 """
 
 from __future__ import annotations
@@ -53,7 +53,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import (
-    anti_join, open_shared, persist, scratch_dir, semi_join, tidy)
+    anti_join, open_shared, persist, scratch_dir, semi_join, tidy, with_row_key)
 
 ORDER, BITS = 4, 15
 PLAIN, CLASSES, BEGIN, REPEAT, RUNS = 32_000, 700, 32_700, 32_701, 5
@@ -233,13 +233,15 @@ def log_probabilities(grams: np.ndarray, folder: str, shards: int) -> np.ndarray
 
 
 def entropies(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
-              model: tuple[str, int] | None) -> DataFrame:
-    """(id, lang, n_symbols, entropy): entropy is NULL for a document without
-    text, or without a model."""
+              model: tuple[str, int] | None, row_col: str | None = None) -> DataFrame:
+    """(id, lang, n_symbols, entropy), and `row` from row_col where that is given:
+    entropy is NULL for a document without text, or without a model."""
     kind = dict(docs.dtypes)[id_col]
     source = docs.select(F.col(f"`{id_col}`").alias("id"),
                          F.col(f"`{lang_col}`").cast("string").alias("lang"),
-                         F.col(f"`{text_col}`").cast("string").alias("text"))
+                         F.col(f"`{text_col}`").cast("string").alias("text"),
+                         *([F.col(f"`{row_col}`").cast("string").alias("row")] if row_col else []))
+    rows = ["row"] if row_col else []
 
     @tidy
     def run(batches):
@@ -255,10 +257,11 @@ def entropies(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
             blank = (sizes == 0) | (model is None)
             entropy = pa.array(-total / np.maximum(sizes, 1), mask=blank)
             yield pa.RecordBatch.from_arrays(
-                [piece.column(0), piece.column(1), pa.array(sizes), entropy],
-                names=["id", "lang", "n_symbols", "entropy"])
+                [piece.column(0), piece.column(1), pa.array(sizes), entropy,
+                 *piece.columns[3:]], names=["id", "lang", "n_symbols", "entropy", *rows])
 
-    return source.mapInArrow(run, f"id {kind}, lang string, n_symbols long, entropy double")
+    return source.mapInArrow(run, f"id {kind}, lang string, n_symbols long, entropy double"
+                                  + ", row string" * len(rows))
 
 
 def _held_out(id_col: str):
@@ -294,16 +297,17 @@ def limits(sample: DataFrame) -> tuple[DataFrame, float | None, float | None]:
 
 
 def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
-             text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+             text_col: str = "text", lang_col: str = "lang", row_col: str | None = None) -> DataFrame:
     """(id, lang, perplexity, threshold, keep) for every row of `docs`, written
-    once. labels: (id_col, quality); quality 1 is trusted."""
+    once; also `row`, the key of the row in row_col, where that is given. labels:
+    (id_col, quality); quality 1 is trusted."""
     trusted_ids = persist(
         labels.select(F.col(f"`{id_col}`").alias("id"), "quality").filter("id is not null")
         .groupBy("id").agg(F.min("quality").alias("quality")).filter("quality = 1").select("id"),
         "kn-trusted")
     texts = docs.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias("text"))
     model = train(semi_join(texts, "doc", trusted_ids.filter(~_held_out("id")), "id"), "text")
-    scored = persist(entropies(docs, id_col, text_col, lang_col, model), "kn-scores")
+    scored = persist(entropies(docs, id_col, text_col, lang_col, model, row_col), "kn-scores")
 
     sample = persist(scored.filter("entropy is not null").join(
         trusted_ids.filter(_held_out("id")), "id", "left_semi").select("lang", "entropy"),
@@ -315,13 +319,15 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: st
               .withColumn("drawn", F.expr(
                   f"median + (entropy - median) * n_symbols / (n_symbols + {PRIOR}D)")))
     return judged.select(
-        "id", "lang", F.exp("drawn").alias("perplexity"), F.exp("limit").alias("threshold"),
+        *(["row"] if row_col else []), "id", "lang", F.exp("drawn").alias("perplexity"), F.exp("limit").alias("threshold"),
         F.expr("n_symbols > 0 and coalesce(drawn <= limit, true)").alias("keep"))
 
 
 def kept(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
          text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of `docs` that are kept, all columns as they are."""
-    judged = classify(spark, docs, labels, id_col, text_col, lang_col)
-    rejected = persist(judged.filter("not keep").select("id"), "kn-rejected")
-    return anti_join(docs, id_col, rejected, "id")
+    """The rows of `docs` that are kept, all columns as they are. Rows are told apart
+    by where they stand, so each is judged by its own text, whatever its id."""
+    keyed = with_row_key(docs)
+    judged = classify(spark, keyed, labels, id_col, text_col, lang_col, row_col="__row")
+    rejected = persist(judged.filter("not keep").select("row"), "kn-rejected")
+    return anti_join(keyed, "__row", rejected, "row").drop("__row")
