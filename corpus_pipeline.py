@@ -1,12 +1,13 @@
 """The training-data pipeline over `documents`: stages that are each written as
-Parquet and read again."""
+Parquet and read again. Every stage decides by row, never by id: rows that share an
+id, or have none, are judged each by its own text."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import bpe, decontaminate, jaccard, quality
-from tidemark.llm.common import anti_join, persist, shipped, table
+from tidemark.llm.common import persist, shipped, table
 from tidemark.llm.queries import tokenizer
 
 
@@ -16,11 +17,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near duplicates the document of the smallest id
-    stays. Documents without words are no duplicates and stay."""
-    found = jaccard.near_duplicates(docs)
-    copies = persist(found.filter("doc_id <> component_id").select("doc_id"), "near-copies")
-    return anti_join(docs, "doc_id", copies, "doc_id")
+    """Of each component of near duplicates the row of the smallest id stays, the
+    first of equal ones. Documents without words are no duplicates and stay."""
+    return jaccard.one_of_each(docs)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
