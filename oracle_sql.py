@@ -595,5 +595,5 @@ ASOF LEFT JOIN closed c ON l.o_custkey = c.o_custkey AND l.ship_day >= c.valid_f
     q["volume_events"] = _zscore(
         "SELECT CAST(ts AS DATE) AS event_day, count(*) AS row_count FROM events GROUP BY 1",
         "event_day")
-    q["scd_incremental"] = q["int_customer_scd"]
+    q["scd_incremental"] = q["scd_two_levels"] = q["int_customer_scd"]
     return q

@@ -315,6 +315,14 @@ def scd_null_ids(spark, sf_dir):
     return marts.int_customer_scd(marts.int_customer_history(lost, keep_helpers=True))
 
 
+@register("scd_two_levels")
+def scd_two_levels(spark, sf_dir):
+    """The customer dimension with every key on the path of placeholder ids: rows
+    numbered within (key, day), days chained by their first and last rows."""
+    return marts.int_customer_scd(marts.int_customer_history(
+        _wh(spark, sf_dir).stg_customers, wide_rows=0, keep_helpers=True))
+
+
 @register("lineitem_versions")
 def lineitem_versions(spark, sf_dir):
     """Every line item with the customer's order priority as of its ship date,
