@@ -21,6 +21,7 @@ that of the session; with a metastore the names outlive it.
 from __future__ import annotations
 
 import re
+import time
 import uuid
 from dataclasses import dataclass
 
@@ -70,15 +71,15 @@ class TableStore:
         self.location = (location or f"{ensure_checkpoint_dir(spark)}/tidemark-tables").rstrip("/")
 
     def _database(self, name: str) -> str:
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION "
-                       f"{_text(f'{self.location}/{name}.db')}")
+        """Its comment is when it was made."""
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} COMMENT {_text(str(time.time_ns()))} "
+                       f"LOCATION {_text(f'{self.location}/{name}.db')}")
         return name
 
     def _create(self, full_name: str, path: str) -> None:
         self.spark.catalog.createTable(full_name, path=path, source="parquet")
-        partitioned = any(c.isPartition for c in self.spark.catalog.listColumns(full_name))
-        if partitioned and self.spark.conf.get("spark.sql.catalogImplementation") == "hive":
-            self.spark.catalog.recoverPartitions(full_name)  # a metastore lists partitions itself
+        if any(c.isPartition for c in self.spark.catalog.listColumns(full_name)):
+            self.spark.catalog.recoverPartitions(full_name)  # the catalog lists them itself
 
     def register(self, run_id: str, paths: dict[str, str]) -> Run:
         """Register the Parquet tables of a run; readers do not see it yet."""
@@ -99,11 +100,12 @@ class TableStore:
         return Run(self.spark, row.run_database, row.run_id)
 
     def expire(self, keep: int = 3) -> list[str]:
-        """Drop the databases of old runs, in the order of their names' creation
-        folder; the published one always stays. Returns what was dropped."""
+        """Drop the databases of all but the `keep` runs registered last; the
+        published one always stays. Returns what was dropped, oldest first."""
         published = self.current().database
-        runs = [d.name for d in self.spark.catalog.listDatabases(f"{self.name}_run_*")]
-        old = sorted(set(runs) - {published})[:max(0, len(runs) - keep)]
+        runs = sorted((d for d in self.spark.catalog.listDatabases(f"{self.name}_run_*")),
+                      key=lambda d: int(d.description))
+        old = [d.name for d in runs if d.name != published][:max(0, len(runs) - keep)]
         for database in old:
             self.spark.sql(f"DROP DATABASE {database} CASCADE")
         return old
