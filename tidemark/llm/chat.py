@@ -27,8 +27,11 @@ over the turns of one conversation is sequential by nature, so one conversation
 is one task's stream.
 
 Nulls: a null role or text is empty, null turns come first, a null conversation
-id is a conversation. Turns of the same number follow by role and text. An
-empty table gives no rows.
+id is a conversation. Turns of the same number follow by role and text; repeated
+rows are turns of their own. An empty table gives no rows. Texts have no limit of
+length: a task holds two turns. Only the four named columns are read, so others
+cannot clash. Rows that have the id of a conversation added by the caller (the
+query's control conversation is -1) are turns of that conversation.
 """
 
 from __future__ import annotations

@@ -26,7 +26,10 @@ is as large as any other.
 Host: after the first `://` up to `/`, `?`, `#` or the end, A-Z lower-cased;
 path: from there up to `?`, `#` or the end. A url that is null or has no `://`
 has an empty host and an empty path, fits no rule and gets the default verdict.
-Of equal rules, "block" wins over "allow" (the smaller word).
+Of equal rules, "block" wins over "allow" (the smaller word). Repeated rows are judged
+each by itself; an empty table gives no rows, and without rules every url gets the
+default. Urls have no limit of length: a task holds the longest one. Only the two
+named columns are read, so others cannot clash.
 """
 
 from __future__ import annotations
