@@ -35,6 +35,13 @@ def _fl(x: Column) -> Column:
     return F.floor(x).cast("int")
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """`rows` dealt evenly over `spark.sql.shuffle.partitions` tasks, whatever their
+    values, for a step that makes many rows of each. The number is given: AQE would
+    merge partitions by the bytes of the few rows before that step."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def plans_from(region: DataFrame) -> DataFrame:
     k = F.col("r_regionkey")
     return region.select(
@@ -48,7 +55,10 @@ def plans_from(region: DataFrame) -> DataFrame:
 def crm_customers_from(customer: DataFrame, nation: DataFrame, events: DataFrame) -> DataFrame:
     # The snapshot calendar is the set of distinct event days: bounded by the
     # number of calendar days, not by data volume, so it is computed once as a
-    # scalar subquery and exploded per customer (no cross join).
+    # scalar subquery and exploded per customer (no cross join). A file of customers
+    # is few tasks but becomes a row per customer and day: the customers are dealt out
+    # first. That is before the join with nation, not after it: AQE would take the few
+    # bytes dealt out for the size of the snapshots and broadcast them.
     days = events.select(F.array_sort(F.collect_set(F.to_date("ts")))).scalar()
     c = F.col("c_custkey")
     day_no = F.dayofmonth("snapshot_date")
@@ -57,7 +67,7 @@ def crm_customers_from(customer: DataFrame, nation: DataFrame, events: DataFrame
     switched = (c % 5 == 2) & (_fl((c + day_no) / F.lit(9.0)) % 2 == 1)
     left_out = ((c % 10 == 9) & (day_no < 8)) | ((c % 13 == 5) & day_no.isin(14, 15))
     return (
-        customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+        _dealt(customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"))
         .join(nation.select("n_nationkey", "n_name", "n_regionkey"),
               F.col("c_nationkey") == F.col("n_nationkey"))
         .select("*", F.explode(days).alias("snapshot_date"))
